@@ -29,6 +29,16 @@ def first_existing(aliases, columns) -> str | None:
     return None
 
 
+def all_existing(aliases, columns) -> list[str]:
+    """Actual names of every alias present, in alias order (no duplicates)."""
+    out: list[str] = []
+    for alias in aliases:
+        hit = first_existing((alias,), columns)
+        if hit is not None and hit not in out:
+            out.append(hit)
+    return out
+
+
 def require_column(name: str, columns) -> str:
     """Exact-name lookup (case-insensitive) that fails with a clear message."""
     hit = first_existing((name,), columns)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import coerce
-from ..functions.resolve import Resolution, resolve
+from ..functions.resolve import Resolution, all_existing, resolve
 from ..spec import BATCH_SPEC, CANONICAL_COLUMNS, CanonicalSpec
 
 
@@ -20,26 +20,37 @@ def _typed(df: DataFrame, name: str):
     return df.schema[name].dataType
 
 
-def canonical_columns(df: DataFrame, res: Resolution, spec: CanonicalSpec) -> list[Column]:
-    """The canonical column expressions for ``df`` given a resolution."""
+def canonical_columns(
+    df: DataFrame, res: Resolution, spec: CanonicalSpec, coalesce_aliases: bool = False
+) -> list[Column]:
+    """The canonical column expressions for ``df`` given a resolution.
+
+    With ``coalesce_aliases`` every present alias of a field is tried per row,
+    in alias order (for merged JSON/Parquet schemas where different records
+    carry different names); otherwise the first present alias is used."""
 
     def raw(name):
         return F.col(f"`{name}`")
 
+    def pick(aliases, first, conv):
+        names = all_existing(aliases, df.columns) if coalesce_aliases else [first]
+        exprs = [conv(raw(n), _typed(df, n)) for n in names]
+        return exprs[0] if len(exprs) == 1 else F.coalesce(*exprs)
+
     if res.date is not None:
-        order_ts = coerce.to_timestamp(raw(res.date), _typed(df, res.date))
+        order_ts = pick(spec.date, res.date, coerce.to_timestamp)
         sale_date = order_ts.cast("date")
     else:
         order_ts = F.lit(None).cast("timestamp")
         sale_date = F.lit(None).cast("date")
 
     if res.quantity is not None:
-        quantity = coerce.to_long(raw(res.quantity), _typed(df, res.quantity))
+        quantity = pick(spec.quantity, res.quantity, coerce.to_long)
     else:
         quantity = F.lit(spec.default_quantity).cast("long")
 
     if res.price is not None:
-        total_price = coerce.to_double(raw(res.price), _typed(df, res.price))
+        total_price = pick(spec.price, res.price, coerce.to_double)
     elif res.unit_price is not None and res.quantity is not None:
         total_price = F.try_multiply(
             coerce.to_double(raw(res.unit_price), _typed(df, res.unit_price)),
@@ -48,21 +59,21 @@ def canonical_columns(df: DataFrame, res: Resolution, spec: CanonicalSpec) -> li
     else:
         total_price = F.lit(spec.default_price).cast("double")
 
-    def text_or(name, default):
+    def text_or(aliases, name, default):
         if name is not None:
-            return coerce.to_text(raw(name), _typed(df, name))
+            return pick(aliases, name, coerce.to_text)
         return F.lit(default).cast("string")
 
     exprs = {
-        "order_id": text_or(res.order_id, None),
-        "customer_id": text_or(res.customer_id, None),
+        "order_id": text_or(spec.order_id, res.order_id, None),
+        "customer_id": text_or(spec.customer_id, res.customer_id, None),
         "order_ts": order_ts,
         "sale_date": sale_date,
         "total_price": total_price,
         "quantity": quantity,
-        "product_id_canon": text_or(res.product, None),
-        "category_canon": text_or(res.category, spec.default_category),
-        "seller_canon": text_or(res.seller, None),
+        "product_id_canon": text_or(spec.product, res.product, None),
+        "category_canon": text_or(spec.category, res.category, spec.default_category),
+        "seller_canon": text_or(spec.seller, res.seller, None),
     }
     return [exprs[name].alias(name) for name in CANONICAL_COLUMNS]
 
@@ -73,6 +84,7 @@ def canonicalise(
     *,
     keep_raw: bool = True,
     drop_internal: bool = False,
+    coalesce_aliases: bool = False,
 ) -> DataFrame:
     """Add the canonical columns to ``df`` in one projection.
 
@@ -81,7 +93,7 @@ def canonicalise(
     ``drop_internal`` also drops raw columns starting with ``_``.
     """
     res = resolve(df.columns, spec)
-    canon = canonical_columns(df, res, spec)
+    canon = canonical_columns(df, res, spec, coalesce_aliases)
     kept = []
     if keep_raw:
         taken = {c.lower() for c in CANONICAL_COLUMNS}

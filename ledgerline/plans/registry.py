@@ -16,7 +16,10 @@ from pyspark.sql import functions as F
 
 from ..operators import charts, cli, marts, reports
 from ..operators.canonical import canonicalise
+from ..session import scratch_path
+from ..sinks.tables import cluster
 from ..sources import raw
+from ..streaming.ingest import run_available
 from ..sources.driver import CANONICAL_SALES_SQL, SALES_VIEW_SQL, sales_view, table
 from ..spec import BATCH_SPEC, CANONICAL_COLUMNS
 
@@ -161,6 +164,38 @@ def q_source_manifest(spark, sf_dir):
     return raw.source_manifest(table(spark, sf_dir, "lineitem")).select("file_name", "rows")
 
 
+def q_clustered_layout(spark, sf_dir):
+    """Publish the canonical rows clustered by (sale_date, seller, product) and read them back."""
+    path = scratch_path(spark, "clustered-sales")
+    cluster(q_canonical_sales(spark, sf_dir), path)
+    return spark.read.parquet(path).select(*CANONICAL_COLUMNS, "region")
+
+
+def q_stream_ingest(spark, sf_dir):
+    """Events land as time-ordered CSV drops under another naming; the stream
+    ingests them batch by batch and the sink is read back through its log."""
+    base = scratch_path(spark, "stream-ingest")
+    events = table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("order_id"),
+        F.col("ts").alias("timestamp"),
+        F.col("user_id").alias("customer_id"),
+        "event_type",
+        F.col("value").alias("amount"),
+    )
+    drops = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (
+        events.repartitionByRange(drops, "timestamp")
+        .write.option("header", True)
+        .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        .csv(f"{base}/landing")
+    )
+    out = run_available(
+        spark, f"{base}/landing", f"{base}/table", f"{base}/_checkpoint",
+        fmt="csv", max_files_per_trigger=max(1, drops // 4),
+    )
+    return out.select(*CANONICAL_COLUMNS, "event_type")
+
+
 QUERIES: dict[str, Query] = {
     "total_revenue_units": q_total_revenue_units,
     "daily_aggregates": q_daily_aggregates,
@@ -186,6 +221,8 @@ QUERIES: dict[str, Query] = {
     "schema_preview": q_schema_preview,
     "detected_columns": q_detected_columns,
     "source_manifest": q_source_manifest,
+    "clustered_layout": q_clustered_layout,
+    "stream_ingest": q_stream_ingest,
 }
 
 
@@ -312,4 +349,14 @@ ORACLE: dict[str, str] = {
        UNION ALL SELECT 'order_id', 'order_id', COUNT(order_id) FROM v
        UNION ALL SELECT 'customer_id', 'customer_id', COUNT(customer_id) FROM v""",
     "source_manifest": "SELECT 'lineitem.parquet' AS file_name, COUNT(*) AS rows FROM lineitem",
+    "clustered_layout": _SALES
+    + """SELECT order_id, customer_id, order_ts, sale_date, total_price, quantity,
+              product_id_canon, category_canon, seller_canon, region
+       FROM sales""",
+    "stream_ingest": """
+       SELECT CAST(event_id AS VARCHAR) AS order_id, CAST(user_id AS VARCHAR) AS customer_id,
+              ts AS order_ts, CAST(ts AS DATE) AS sale_date, value AS total_price,
+              CAST(1 AS BIGINT) AS quantity, CAST(NULL AS VARCHAR) AS product_id_canon,
+              'unknown' AS category_canon, CAST(NULL AS VARCHAR) AS seller_canon, event_type
+       FROM events""",
 }
