@@ -192,4 +192,10 @@ def run_available(spark: SparkSession, source_path: str, output_path: str, check
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
-    return spark.read.parquet(output_path)
+    return read_sink(spark, output_path)
+
+
+def read_sink(spark: SparkSession, output_path: str) -> DataFrame:
+    """Committed sink rows; ``mergeSchema`` so columns added by a later start
+    (schema evolution) are visible next to older files that lack them."""
+    return spark.read.option("mergeSchema", True).parquet(output_path)
