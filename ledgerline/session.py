@@ -27,11 +27,22 @@ DEFAULT_CONF = {
 }
 
 
+# Single-JVM runs: listing a few thousand partition folders in-process takes
+# well under a second, while the parallel-listing job launches one task per
+# folder.  Clusters keep Spark's default (parallel listing on executors).
+LOCAL_CONF = {
+    "spark.sql.sources.parallelPartitionDiscovery.threshold": "100000",
+}
+
+
 def build_session(master: str | None = None, app_name: str = "ledgerline", conf: dict | None = None) -> SparkSession:
     b = SparkSession.builder.appName(app_name)
+    settings = dict(DEFAULT_CONF)
     if master:
         b = b.master(master)
-    for k, v in {**DEFAULT_CONF, **(conf or {})}.items():
+        if master.startswith("local"):
+            settings.update(LOCAL_CONF)
+    for k, v in {**settings, **(conf or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

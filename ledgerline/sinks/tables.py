@@ -53,10 +53,10 @@ def publish(
     """Write the canonical table: append (default) or full overwrite (schema
     replaced), partitioned by ``partition_by`` when that column exists.
 
-    ``layout="clustered"`` (default) range-partitions on (partition column,
-    seller, product) and sorts inside each task before writing -- one shuffle
-    that yields few files per date (hot dates split across tasks) and the
-    seller/product clustering in the same pass, instead of a narrow write
+    ``layout="clustered"`` (default) rebalances on the partition column and
+    sorts by (partition column, seller, product) inside each task -- one
+    shuffle that yields few files per date (hot dates split across tasks) and
+    the seller/product clustering in the same pass, instead of a narrow write
     followed by a full rewrite.  ``layout="as_is"`` is the narrow write: no
     shuffle, but each task writes one file per date it holds, which explodes
     into small files when input files are not ordered by time.
@@ -65,9 +65,7 @@ def publish(
     cols = partition_columns(df, partition_by)
     data = conform(df)
     if layout == "clustered":
-        keys = _range_keys(data, cols, CLUSTER_COLUMNS)
-        n = int(num_partitions or data.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        data = data.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+        data = clustered(data, cols, CLUSTER_COLUMNS, num_partitions)
     elif layout != "as_is":
         raise ValueError(f"unknown layout {layout!r}")
     w = data.write.mode("overwrite" if overwrite else "append").format(fmt)
@@ -105,12 +103,20 @@ def write_mart(df: DataFrame, root: str, name: str, fmt: str = "parquet") -> str
     return path
 
 
-def _range_keys(df: DataFrame, pcols: list[str], by) -> list:
-    keys = [F.col(f"`{c}`") for c in pcols + [c for c in by if c in df.columns]]
-    if len(keys) == len(pcols):
-        # no clustering column present: a row hash still splits hot dates
-        keys.append(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
-    return keys
+def clustered(df: DataFrame, partition_cols: list[str], by=CLUSTER_COLUMNS, num_partitions: int | None = None) -> DataFrame:
+    """Lay rows out for a partitioned write: a REBALANCE on the partition
+    columns, then a sort on (partition columns, *by) inside each task.
+
+    REBALANCE is planned by AQE from runtime sizes: partitions of small dates
+    are coalesced towards the advisory size and a hot date is split over
+    several tasks -- no sampling pass over the input (a range repartition would
+    read the input twice) and no task that has to hold a third of the rows.
+    Each date lands in few files, and the sort makes Parquet min/max statistics
+    on seller/product selective (the point-lookup goal of Z-ordering)."""
+    args: list = ([int(num_partitions)] if num_partitions else []) + list(partition_cols)
+    laid = df.hint("rebalance", *args) if args else df.hint("rebalance")
+    keys = list(partition_cols) + [c for c in by if c in df.columns]
+    return laid.sortWithinPartitions(*keys) if keys else laid
 
 
 def cluster(
@@ -122,19 +128,9 @@ def cluster(
     num_partitions: int | None = None,
     fmt: str = "parquet",
 ) -> str:
-    """Rewrite so rows with the same (seller, product) sit together: range
-    partitioning on (partition column, *by) then a sort inside each task.
-
-    Range bounds come from a sample, and the clustering keys follow the
-    partition column in the range key, so one hot date is split over many
-    tasks instead of landing in one.  Each task covers a contiguous key range,
-    so a date gets few files and Parquet min/max statistics on seller/product
-    become selective for point lookups."""
+    """Rewrite ``df`` into ``path`` with the clustered layout (see ``clustered``)."""
     pcols = partition_columns(df, partition_by)
-    keys = _range_keys(df, pcols, by)
-    n = int(num_partitions or df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    laid = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-    w = laid.write.mode("overwrite").format(fmt)
+    w = clustered(df, pcols, by, num_partitions).write.mode("overwrite").format(fmt)
     if pcols:
         w = w.partitionBy(*pcols)
     w.save(path)
@@ -166,7 +162,7 @@ def compact(
 ) -> str:
     """Rewrite ``path`` into ~``target_file_bytes`` files at ``out_path`` (the
     input is never overwritten in place).  The file count comes from the input
-    size; the layout is ``cluster``'s, so each date lands in few large files."""
+    size (the REBALANCE's initial partition count); the layout is ``cluster``'s."""
     n = max(1, math.ceil(total_bytes(spark, path, fmt) / target_file_bytes))
     df = spark.read.format(fmt).load(path)
     return cluster(df, out_path, by=by, partition_by=partition_by, num_partitions=n, fmt=fmt)
