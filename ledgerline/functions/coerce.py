@@ -17,6 +17,10 @@ _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _TIMELIKE = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
+def is_timelike(dtype: T.DataType) -> bool:
+    return isinstance(dtype, _TIMELIKE)
+
+
 def to_double(c: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.DoubleType):
         return c

@@ -39,7 +39,12 @@ def canonical_columns(
 
     if res.date is not None:
         order_ts = pick(spec.date, res.date, coerce.to_timestamp)
-        sale_date = order_ts.cast("date")
+        if not coalesce_aliases and coerce.is_timelike(_typed(df, res.date)):
+            # DATE / TIMESTAMP_NTZ carry the wall-clock date already: no
+            # per-row time-zone round trip through TIMESTAMP
+            sale_date = raw(res.date).cast("date")
+        else:
+            sale_date = order_ts.cast("date")
     else:
         order_ts = F.lit(None).cast("timestamp")
         sale_date = F.lit(None).cast("date")
