@@ -4,7 +4,7 @@ Reading a folder of CSV files as one DataFrame takes the column names from
 *one* file and maps every other file by position, so a file whose columns are
 in another order silently puts quantities into prices.  ``read_sales`` instead
 
-1. lists the input files (Spark's own file index, as any file scan does),
+1. lists the input files with a metadata-only ``binaryFile`` scan,
 2. reads the first line of each file in a distributed job (one small read per
    file, never the data),
 3. groups files by header text, and reads each layout with its own header as
@@ -34,9 +34,11 @@ from ..operators.canonical import canonicalise, validate_required
 from ..spec import BATCH_SPEC, CURATED_RAW_SCHEMA, CanonicalSpec
 
 
-def list_files(spark: SparkSession, path) -> list[str]:
+def file_paths(spark: SparkSession, path) -> DataFrame:
+    """One row per input file (``path``), listed by Spark's file index exactly as
+    the CSV source would list it; file contents are not read."""
     paths = [path] if isinstance(path, str) else list(path)
-    return sorted(spark.read.format("text").load(paths).inputFiles())
+    return spark.read.format("binaryFile").load(paths).select("path")
 
 
 def read_first_line(path: str, max_bytes: int = 1 << 20) -> str | None:
@@ -67,11 +69,14 @@ def _header_job(it):
         yield pd.DataFrame({"path": pdf["path"], "header": [read_first_line(p) for p in pdf["path"]]})
 
 
-def file_headers(spark: SparkSession, files: list[str]) -> DataFrame:
-    """(path, header) for each file, computed on executors."""
-    paths = spark.createDataFrame([(p,) for p in files], "path string")
-    slices = max(1, min(len(files) // 256 + 1, 4096))
-    return paths.repartition(slices).mapInPandas(_header_job, "path string, header string")
+def file_headers(spark: SparkSession, path) -> DataFrame:
+    """(path, header) for each input file, computed on executors.
+
+    The file scan makes one partition per ~128 MB of files; those are merged
+    (narrowly, no shuffle) so each header task handles a few dozen files."""
+    files = file_paths(spark, path)
+    n = files.rdd.getNumPartitions()
+    return files.coalesce(max(1, n // 32)).mapInPandas(_header_job, "path string, header string")
 
 
 def parse_header(line: str, sep: str = ",", quote: str = '"') -> list[str]:
@@ -88,12 +93,12 @@ def parse_header(line: str, sep: str = ",", quote: str = '"') -> list[str]:
 
 
 def csv_layouts(spark: SparkSession, path, sep: str = ",") -> list[tuple[list[str], list[str]]]:
-    """[(column names, files)] per distinct header line."""
-    files = list_files(spark, path)
-    if not files:
-        return []
+    """[(column names, files)] per distinct header line.
+
+    Only the distinct header lines and their file paths reach the driver --
+    the same path list Spark's own file index keeps there for any file scan."""
     grouped = (
-        file_headers(spark, files)
+        file_headers(spark, path)
         .where(F.col("header").isNotNull())
         .groupBy("header")
         .agg(F.sort_array(F.collect_list("path")).alias("paths"))
