@@ -23,7 +23,6 @@ from __future__ import annotations
 
 import csv
 import functools
-import gzip
 import io
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +31,7 @@ from pyspark.sql import types as T
 
 from ..operators.canonical import canonicalise, validate_required
 from ..spec import BATCH_SPEC, CURATED_RAW_SCHEMA, CanonicalSpec
+from .header_probe import first_lines, read_first_line  # noqa: F401 - re-exported
 
 
 def file_paths(spark: SparkSession, path) -> DataFrame:
@@ -41,34 +41,6 @@ def file_paths(spark: SparkSession, path) -> DataFrame:
     return spark.read.format("binaryFile").load(paths).select("path")
 
 
-def read_first_line(path: str, max_bytes: int = 1 << 20) -> str | None:
-    """First line of a (possibly gzip-compressed) file; small per-task helper."""
-    if path.startswith("file:"):
-        local = path[5:]
-        while local.startswith("//"):
-            local = local[1:]
-        opener = functools.partial(open, local, "rb")
-    else:
-        from pyarrow import fs as pafs
-
-        filesystem, inner = pafs.FileSystem.from_uri(path)
-        opener = functools.partial(filesystem.open_input_stream, inner)
-    with opener() as fh:
-        stream = gzip.GzipFile(fileobj=fh) if path.endswith(".gz") else fh
-        head = stream.read(max_bytes)
-    if not head:
-        return None
-    line = head.split(b"\n", 1)[0].rstrip(b"\r")
-    return line.decode("utf-8-sig", errors="replace")
-
-
-def _header_job(it):
-    import pandas as pd
-
-    for pdf in it:
-        yield pd.DataFrame({"path": pdf["path"], "header": [read_first_line(p) for p in pdf["path"]]})
-
-
 def file_headers(spark: SparkSession, path) -> DataFrame:
     """(path, header) for each input file, computed on executors.
 
@@ -76,7 +48,7 @@ def file_headers(spark: SparkSession, path) -> DataFrame:
     (narrowly, no shuffle) so each header task handles a few dozen files."""
     files = file_paths(spark, path)
     n = files.rdd.getNumPartitions()
-    return files.coalesce(max(1, n // 32)).mapInPandas(_header_job, "path string, header string")
+    return files.coalesce(max(1, n // 32)).mapInPandas(first_lines, "path string, header string")
 
 
 def parse_header(line: str, sep: str = ",", quote: str = '"') -> list[str]:

@@ -7,10 +7,11 @@ files arriving in a folder (csv / json / parquet)
      exactly-once: readers see only committed files, a restart re-runs no batch)
   -> optional catalog registration once the first batch is committed.
 
-Schema handling.  A file stream needs its schema up front.  It is inferred once
-from the files present at the first start and stored beside the checkpoint
-(``_ingest_schema``); a restart reuses it and appends any new columns found
-(the "add new columns" evolution mode).  CSV files are read into one VARIANT
+Schema handling.  A file stream needs its schema up front.  It is inferred from
+the newest ``SCHEMA_SAMPLE_FILES`` files (CSV: their header lines only) and
+stored beside the checkpoint (``_ingest_schema``); a restart reuses it and
+appends any new columns found (the "add new columns" evolution mode), so the
+work at start is bounded however many files the landing folder holds.  CSV files are read into one VARIANT
 column per row (``singleVariantColumn``), which keys every value by *its own
 file's* header -- reordered or renamed headers across files stay correct.
 VARIANT types each value, so zero-padded ids lose their zeros; pass an explicit
@@ -29,10 +30,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.canonical import canonicalise
 from ..sinks.tables import conform, register_table
+from ..sources.files import csv_layouts
 from ..spec import STREAM_SPEC, CanonicalSpec
 
 VARIANT_COL = "_raw"
 SCHEMA_DIR = "_ingest_schema"
+SCHEMA_SAMPLE_FILES = 1000
 
 
 # ----------------------------------------------------------- schema store ---
@@ -52,27 +55,37 @@ def _store(spark: SparkSession, checkpoint: str, doc: dict) -> None:
     )
 
 
-def _observed_variant_keys(spark: SparkSession, path: str, options: dict) -> list[str]:
-    """Distinct top-level keys over the files present now (one aggregation job;
-    only the distinct key names reach the driver)."""
-    df = (
-        spark.read.format("csv").option("header", True).options(**options)
-        .option("singleVariantColumn", VARIANT_COL).load(path)
-    )
-    as_map = F.from_json(F.to_json(F.col(VARIANT_COL)), "map<string,string>")
-    keys = df.select(F.explode(F.map_keys(as_map)).alias("k")).distinct()
-    return sorted(r["k"] for r in keys.collect())
+def sample_files(spark: SparkSession, path: str, n: int) -> list[str]:
+    """The ``n`` most recently modified input files (metadata-only listing;
+    a bounded top-n, so a landing folder of millions of files costs n paths)."""
+    listing = spark.read.format("binaryFile").load(path).select("path", "modificationTime")
+    top = listing.orderBy(F.desc("modificationTime"), F.desc("path")).limit(n)
+    return [r["path"] for r in top.collect()]
+
+
+def _sampled_csv_keys(spark: SparkSession, files: list[str], options: dict) -> list[str]:
+    """Column names over the sampled files, from their header lines only."""
+    keys: list[str] = []
+    for names, _ in csv_layouts(spark, files, options.get("sep", ",")):
+        keys += [n for n in names if n not in keys]
+    return keys
 
 
-def resolve_stream_schema(spark: SparkSession, path: str, fmt: str, checkpoint: str, options: dict) -> dict:
-    """Schema document for this start: stored one plus any new columns."""
+def resolve_stream_schema(
+    spark: SparkSession, path: str, fmt: str, checkpoint: str, options: dict, sample: int = SCHEMA_SAMPLE_FILES
+) -> dict:
+    """Schema document for this start: the stored one plus any new columns
+    found in the ``sample`` newest files (the first start infers from them)."""
     stored = _load_stored(spark, checkpoint)
+    files = sample_files(spark, path, sample)
+    if not files and not stored:
+        raise ValueError(f"no input files under {path} to infer a schema from; pass schema=")
     if fmt == "csv":
-        keys = _observed_variant_keys(spark, path, options)
+        keys = _sampled_csv_keys(spark, files, options) if files else []
         old = stored["keys"] if stored else []
         doc = {"format": "csv", "keys": old + [k for k in keys if k not in old]}
     else:
-        inferred = spark.read.format(fmt).options(**options).load(path).schema
+        inferred = spark.read.format(fmt).options(**options).load(files).schema if files else T.StructType()
         if stored:
             base = T.StructType.fromJson(json.loads(stored["schema"]))
             names = {f.name for f in base.fields}
