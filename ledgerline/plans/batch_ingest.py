@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import marts
 from ..sinks.tables import publish, register_table, write_mart
-from ..sources.files import read_raw, read_raw_by_header, read_sales
+from ..sources.files import csv_layouts, read_raw, read_raw_by_header, read_sales, read_sales_csv
 from ..sources.raw import detected_columns, schema_preview
 from ..spec import BATCH_SPEC, DEFAULT_PARTITION_COLUMN, SAMPLE_ROWS_FOR_SCHEMA, CanonicalSpec
 
@@ -50,8 +50,13 @@ def run(
     required=("order_id",),
     mart_format: str = "parquet",
 ) -> IngestResult:
-    raw = read_raw_by_header(spark, input_path) if input_format == "csv" else read_raw(spark, input_path, input_format)
-    canonical = read_sales(spark, input_path, input_format, spec, required=required)
+    if input_format == "csv":
+        layouts = csv_layouts(spark, input_path)  # one header probe serves both reads
+        raw = read_raw_by_header(spark, input_path, layouts=layouts)
+        canonical = read_sales_csv(spark, input_path, spec, required=required, layouts=layouts)
+    else:
+        raw = read_raw(spark, input_path, input_format)
+        canonical = read_sales(spark, input_path, input_format, spec, required=required)
     cols = publish(canonical, output_path, overwrite=overwrite, partition_by=partition_by, layout=layout)
     if table_name:
         register_table(spark, table_name, output_path, partitioned=bool(cols))

@@ -86,14 +86,15 @@ def read_csv_layout(spark: SparkSession, names: list[str], files: list[str], **o
 
 
 def read_sales_csv(
-    spark: SparkSession, path, spec: CanonicalSpec = BATCH_SPEC, *, sep: str = ",", required=(), **options
+    spark: SparkSession, path, spec: CanonicalSpec = BATCH_SPEC, *, sep: str = ",", required=(), layouts=None, **options
 ) -> DataFrame:
     """Canonical rows from a folder of CSV files whose headers may differ.
 
     ``required`` names canonical fields (e.g. ``"order_id"``) every layout must
-    provide; a layout without one fails here, before anything is written."""
+    provide; a layout without one fails here, before anything is written.
+    ``layouts`` reuses a ``csv_layouts`` result instead of probing again."""
     parts = []
-    for names, files in csv_layouts(spark, path, sep):
+    for names, files in layouts if layouts is not None else csv_layouts(spark, path, sep):
         raw = read_csv_layout(spark, names, files, sep=sep, **options)
         if required:
             validate_required(raw, required, spec)
@@ -103,9 +104,11 @@ def read_sales_csv(
     return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def read_raw_by_header(spark: SparkSession, path, *, sep: str = ",", **options) -> DataFrame:
+def read_raw_by_header(spark: SparkSession, path, *, sep: str = ",", layouts=None, **options) -> DataFrame:
     """All-STRING raw rows of every layout, aligned by column *name*."""
-    parts = [read_csv_layout(spark, n, f, sep=sep, **options) for n, f in csv_layouts(spark, path, sep)]
+    if layouts is None:
+        layouts = csv_layouts(spark, path, sep)
+    parts = [read_csv_layout(spark, n, f, sep=sep, **options) for n, f in layouts]
     if not parts:
         raise ValueError(f"no CSV files with a header under {path}")
     return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
