@@ -47,3 +47,19 @@ def test_cli_report_job(spark, scratch):
     assert len(daily) == 3
     with pytest.raises(ValueError, match="no_such"):
         cli_report.run(spark, src, os.path.join(scratch, "r2"), CliColumns(price_col="no_such"))
+
+
+def test_charts_read_back_cli_marts(spark, scratch):
+    """S10: the chart selections read the CSV report folders the CLI job wrote."""
+    from ledgerline.operators import charts
+
+    src = os.path.join(scratch, "raw")
+    fx.write(src, "a.csv", fx.F1)
+    fx.write(src, "b.csv", fx.F5)
+    written = cli_report.run(spark, src, os.path.join(scratch, "reports"))
+    daily = spark.read.option("header", True).csv(written["daily_revenue"])
+    series = [(d.isoformat(), v) for d, v in charts.revenue_timeseries(daily).collect()]
+    assert series == [("2024-01-01", 15.75), ("2024-01-02", 15.75), ("2024-01-05", 9.99)]
+    top = spark.read.option("header", True).csv(written["top_products"])
+    chart = charts.top_categories_chart(top, top_n=1).collect()
+    assert chart[0]["category"] == "p1" and chart[0]["revenue"] == 26.25

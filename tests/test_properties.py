@@ -84,3 +84,8 @@ def test_hot_customer_cohort_exact(spark):
     sql = {(r[0], r[1]): (r[2], r[3]) for r in run_report(spark, "cohort_retention", "hot_sales").collect()}
     assert ours == sql
     hot.unpersist()
+
+
+def test_canonicalisation_keeps_row_count(spark):
+    base = sales_view(spark, SF_SMALL)
+    assert canonicalise(base).count() == base.count() == spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count()
