@@ -46,22 +46,16 @@ def daily_revenue_trailing(sales: DataFrame, days: int = TRAILING_DAYS, as_of=No
     """Daily revenue for dates in ``[as_of - days, ...)`` (no upper bound, NULL dates dropped).
 
     ``as_of``: ``None`` = today (``current_date()``, the reference behaviour); a
-    ``date``/ISO string = that day (constant-folded, so a ``sale_date``-partitioned
-    table prunes partitions); ``"latest"`` = the newest sale date in the data.
+    ``date``/ISO string = that day (constant-folded); ``"latest"`` = the newest
+    sale date in the data, as a scalar subquery.  In every case the filter sits
+    on ``sale_date`` below the aggregate, so on a ``sale_date``-partitioned table
+    it prunes partitions (at runtime for the subquery, whose own scan reads only
+    the partition column).
     """
     dated = sales.where(F.col("sale_date").isNotNull())
     if as_of == "latest":
-        # Aggregate first, then find the newest day on the (tiny, one row per
-        # day) daily result: one pass over the facts, no second scan.
-        daily = _daily_sums(dated)
-        newest = F.max("sale_date").over(Window.partitionBy(F.lit(0)))
-        return (
-            daily.withColumn("_newest", newest)
-            .where(F.col("sale_date") >= F.date_sub(F.col("_newest"), days))
-            .drop("_newest")
-            .orderBy("sale_date")
-        )
-    if as_of is None:
+        anchor = dated.select(F.max("sale_date")).scalar()
+    elif as_of is None:
         anchor = F.current_date()
     else:
         if isinstance(as_of, str):

@@ -71,3 +71,16 @@ def test_marts_on_published_table_prune_columns(spark, scratch):
     publish(read_sales_csv(spark, src), out)
     p = plan(marts.top_categories(spark.read.parquet(out)))
     assert read_schemas(p) == ["struct<total_price:double,category_canon:string>"]
+
+
+def test_latest_trailing_window_prunes_at_runtime(spark, scratch):
+    src = os.path.join(scratch, "raw")
+    fx.write(src, "a.csv", fx.F1)
+    fx.write(src, "b.csv", fx.F2)
+    out = os.path.join(scratch, "table")
+    publish(read_sales_csv(spark, src), out)
+    df = reports.daily_revenue_trailing(spark.read.parquet(out), 1, as_of="latest")
+    assert [r["sale_date"] for r in df.collect()] == [dt.date(2024, 1, 2), dt.date(2024, 1, 3)]
+    p = plan(df)
+    assert "PartitionFilters: [isnotnull(sale_date" in p and "subquery" in p.lower()
+    assert "Window" not in p
