@@ -16,8 +16,23 @@ import sys
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-from ledgerline.plans.registry import QUERIES  # noqa: E402
-from ledgerline.session import build_session  # noqa: E402
+from ledgerline.operators import marts, reports  # noqa: E402
+from ledgerline.plans.registry import QUERIES, q_canonical_sales  # noqa: E402
+from ledgerline.session import build_session, scratch_path  # noqa: E402
+from ledgerline.sinks.tables import publish  # noqa: E402
+
+# Reports as they run in production: over the published canonical table.
+TABLE_REPORTS = {
+    "total_revenue_units": reports.total_revenue_units,
+    "daily_aggregates": marts.daily_aggregates,
+    "daily_revenue_365d (as_of literal)": lambda t: reports.daily_revenue_trailing(t, 365, as_of="2001-08-01"),
+    "daily_revenue_365d (as_of latest)": lambda t: reports.daily_revenue_trailing(t, 365, as_of="latest"),
+    "top_products_20": reports.top_products,
+    "seller_performance": reports.seller_performance,
+    "cohort_retention": reports.cohort_retention,
+    "top_categories": marts.top_categories,
+    "revenue_by_region": reports.revenue_by_region,
+}
 
 
 def tree_and_scans(text: str) -> str:
@@ -30,7 +45,7 @@ def tree_and_scans(text: str) -> str:
             continue
         if in_tree:
             tree.append(ln)
-        elif ln.startswith(("PushedFilters", "PartitionFilters", "ReadSchema", "Location")):
+        elif ln.startswith(("PushedFilters", "PartitionFilters", "ReadSchema", "Location")) and "[]" not in ln:
             scans.append("    " + ln)
         elif ln.startswith("(") and "Scan" in ln:
             scans.append(ln)
@@ -47,6 +62,16 @@ def main(argv):
         with contextlib.redirect_stdout(buf):
             q(spark, sf_dir).explain("formatted")
         out += [f"## {key}", "", "```", tree_and_scans(buf.getvalue()).rstrip(), "```", ""]
+    table = scratch_path(spark, "plans-table")
+    publish(q_canonical_sales(spark, sf_dir), table, overwrite=True)
+    out += ["# Reports over the published table", "",
+            "The canonical rows of the driver view published with `sinks.tables.publish` "
+            "(partitioned by `sale_date`, clustered); this is the production read path -- no joins.", ""]
+    for key, report in TABLE_REPORTS.items():
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            report(spark.read.parquet(table)).explain("formatted")
+        out += [f"## table: {key}", "", "```", tree_and_scans(buf.getvalue()).rstrip(), "```", ""]
     path = os.path.join(ROOT, "docs", "PLANS.md")
     with open(path, "w") as fh:
         fh.write("\n".join(out))
