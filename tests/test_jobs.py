@@ -63,3 +63,25 @@ def test_charts_read_back_cli_marts(spark, scratch):
     top = spark.read.option("header", True).csv(written["top_products"])
     chart = charts.top_categories_chart(top, top_n=1).collect()
     assert chart[0]["category"] == "p1" and chart[0]["revenue"] == 26.25
+
+
+def test_cli_entry_point_as_a_process(scratch):
+    """``python -m ledgerline.plans.cli_report`` with named columns, own session."""
+    import subprocess
+    import sys
+
+    src = os.path.join(scratch, "raw")
+    fx.write(src, "a.csv", fx.F3)  # date / unit_price / qty names
+    out = os.path.join(scratch, "reports")
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    proc = subprocess.run(
+        [sys.executable, "-m", "ledgerline.plans.cli_report", "--input", src, "--output", out,
+         "--datecol", "date", "--pricecol", "unit_price", "--qtycol", "qty"],
+        cwd=root, capture_output=True, text=True, timeout=600,
+    )
+    assert proc.returncode == 0, proc.stderr[-2000:]
+    names = sorted(os.listdir(out))
+    assert names == ["daily_revenue", "daily_with_rolling", "top_products", "top_sellers"]
+    lines = [ln for f in os.listdir(os.path.join(out, "daily_revenue")) if f.endswith(".csv")
+             for ln in open(os.path.join(out, "daily_revenue", f)).read().splitlines()]
+    assert "date,revenue,units_sold" in lines and "2024-01-04,2.5,4" in lines
