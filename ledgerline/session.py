@@ -49,6 +49,19 @@ def build_session(master: str | None = None, app_name: str = "ledgerline", conf:
     return spark
 
 
+def choose_root(current: str | None, configured: str | None, master: str) -> str | None:
+    """Which shared folder to use: the context's checkpoint dir, else the
+    configured ``spark.checkpoint.dir``; ``None`` means "make a private one",
+    allowed only in local mode (a temp folder would be machine-local on a cluster)."""
+    if current:
+        return current
+    if configured:
+        return configured
+    if not master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+    return None
+
+
 def shared_root(spark: SparkSession) -> str:
     """The cluster-shared folder for lineage cuts and intermediate tables.
 
@@ -59,20 +72,16 @@ def shared_root(spark: SparkSession) -> str:
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
-    if current:
-        return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         try:
             configured = spark.conf.get("spark.checkpoint.dir")
         except Exception:  # noqa: BLE001 - unset key
             configured = None
-    if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerline-ckpt-"))
+    root = choose_root(current, configured, sc.master)
+    if root == current and current:
+        return current
+    sc.setCheckpointDir(root or tempfile.mkdtemp(prefix="ledgerline-ckpt-"))
     return sc.getCheckpointDir()
 
 
