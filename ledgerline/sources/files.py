@@ -132,9 +132,10 @@ def read_raw(spark: SparkSession, path, fmt: str = "csv", how: str = "inferred",
         elif how != "text":
             raise ValueError(f"unknown CSV read mode {how!r}")
         return r.csv(path)
+    paths = [path] if isinstance(path, str) else list(path)
     if fmt == "parquet":
-        return r.option("mergeSchema", True).parquet(path)
-    return r.format(fmt).load(path)
+        return r.option("mergeSchema", True).parquet(*paths)
+    return r.format(fmt).load(paths)
 
 
 def read_sales(
@@ -143,7 +144,14 @@ def read_sales(
     """Canonical sales rows from raw files of any supported format."""
     if fmt == "csv":
         return read_sales_csv(spark, path, spec, required=required, **options)
-    raw = read_raw(spark, path, fmt, **options)
-    if required:
-        validate_required(raw, required, spec)
-    return canonicalise(raw, spec, coalesce_aliases=True)
+    # Each given path is one layout (a drop folder): its files are merged by name
+    # (``mergeSchema``), canonicalised, and the layouts unioned.  Canonical columns
+    # have fixed types, so drops that disagree on a type (INT vs BIGINT quantity,
+    # which Parquet refuses to merge) still union cleanly.
+    parts = []
+    for p in [path] if isinstance(path, str) else list(path):
+        raw = read_raw(spark, p, fmt, **options)
+        if required:
+            validate_required(raw, required, spec)
+        parts.append(canonicalise(raw, spec, coalesce_aliases=True))
+    return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

@@ -87,3 +87,29 @@ def test_source_manifest(spark, scratch):
     m = {r["file_name"]: r for r in source_manifest(df).collect()}
     assert m["a.csv"]["rows"] == 3 and m["b.csv"]["rows"] == 2
     assert m["a.csv"]["bytes"] == len(fx.F1)
+
+
+def test_parquet_drops_with_drift_and_int_bigint(spark, scratch):
+    from ledgerline.sources.files import read_sales
+
+    a, b = os.path.join(scratch, "a"), os.path.join(scratch, "b")
+    spark.createDataFrame([("1", "2024-01-01", 2, 5.0)],
+                          "order_id string, order_date string, quantity int, total_price double").write.parquet(a)
+    spark.createDataFrame([("2", "2024-01-02", 3, "7.5")],
+                          "order_id string, date string, quantity long, revenue string").write.parquet(b)
+    df = read_sales(spark, [a, b], fmt="parquet")
+    got = sorted((r["order_id"], str(r["sale_date"]), r["quantity"], r["total_price"]) for r in df.collect())
+    assert got == [("1", "2024-01-01", 2, 5.0), ("2", "2024-01-02", 3, 7.5)]
+    assert dict(df.dtypes)["quantity"] == "bigint"
+
+
+def test_json_records_with_different_names(spark, scratch):
+    from ledgerline.sources.files import read_sales
+
+    fx.write(scratch, "a.json", '{"order_id": "3", "Date": "2024-01-03", "amount": 1.5}\n')
+    fx.write(scratch, "b.json", '{"order_id": "4", "order_date": "2024-01-04", "total_price": 2.5, "qty": 2}\n')
+    df = read_sales(spark, scratch, fmt="json")
+    got = sorted((r["order_id"], str(r["sale_date"]), r["quantity"], r["total_price"]) for r in df.collect())
+    # names are coalesced per record; a field absent from a record but present in
+    # the merged schema is NULL (resolution happens on the merged schema)
+    assert got == [("3", "2024-01-03", None, 1.5), ("4", "2024-01-04", 2, 2.5)]
