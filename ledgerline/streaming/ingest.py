@@ -85,7 +85,10 @@ def resolve_stream_schema(
         old = stored["keys"] if stored else []
         doc = {"format": "csv", "keys": old + [k for k in keys if k not in old]}
     else:
-        inferred = spark.read.format(fmt).options(**options).load(files).schema if files else T.StructType()
+        reader = spark.read.format(fmt).options(**options)
+        if fmt == "parquet":
+            reader = reader.option("mergeSchema", True)  # every sampled footer, not just one
+        inferred = reader.load(files).schema if files else T.StructType()
         if stored:
             base = T.StructType.fromJson(json.loads(stored["schema"]))
             names = {f.name for f in base.fields}

@@ -68,3 +68,14 @@ def test_register_after_first_commit(spark, scratch):
     q.awaitTermination()
     assert spark.table("stream_sales_test").count() == 3
     spark.sql("DROP TABLE stream_sales_test")
+
+
+def test_parquet_stream_sees_columns_of_every_sampled_file(spark, scratch):
+    land = os.path.join(scratch, "land")
+    spark.createDataFrame([("1", "2024-01-01", 5.0)], "order_id string, date string, amount double") \
+        .coalesce(1).write.parquet(os.path.join(land, "d1"))
+    spark.createDataFrame([("2", "2024-01-02", 1.5, "s9")], "order_id string, date string, amount double, seller string") \
+        .coalesce(1).write.mode("append").parquet(os.path.join(land, "d1"))
+    out = run_available(spark, os.path.join(land, "d1"), os.path.join(scratch, "out"), os.path.join(scratch, "ckpt"), fmt="parquet")
+    got = sorted((r["order_id"], r["seller_canon"]) for r in out.collect())
+    assert got == [("1", None), ("2", "s9")]
