@@ -32,6 +32,7 @@ class IngestResult:
     marts: dict[str, str] = field(default_factory=dict)
     preview: DataFrame | None = None
     detected: DataFrame | None = None
+    table: DataFrame | None = None  # the published table as read back (listed once)
 
 
 def run(
@@ -75,4 +76,5 @@ def run(
         marts=written,
         preview=schema_preview(raw, sample_rows),
         detected=detected_columns(raw, spec),
+        table=table,
     )

@@ -240,7 +240,7 @@ def q_batch_ingest(spark, sf_dir):
             .csv(f"{base}/raw")
         )
     res = batch_ingest.run(spark, f"{base}/raw", f"{base}/table", f"{base}/marts", table_name=None, overwrite=True)
-    return spark.read.parquet(res.table_path).select(*CANONICAL_COLUMNS, "region")
+    return res.table.select(*CANONICAL_COLUMNS, "region")
 
 
 QUERIES: dict[str, Query] = {
