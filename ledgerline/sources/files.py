@@ -33,6 +33,8 @@ from ..operators.canonical import canonicalise, validate_required
 from ..spec import BATCH_SPEC, CURATED_RAW_SCHEMA, CanonicalSpec
 from .header_probe import first_lines, read_first_line  # noqa: F401 - re-exported
 
+CORRUPT_RECORD_COLUMN = "_corrupt_record"
+
 
 def file_paths(spark: SparkSession, path) -> DataFrame:
     """One row per input file (``path``), listed by Spark's file index exactly as
@@ -120,7 +122,8 @@ def read_raw(spark: SparkSession, path, fmt: str = "csv", how: str = "inferred",
     ``how`` for CSV: ``"inferred"`` (header + type inference over the whole
     input -- the simple approach, positional across files), ``"curated"`` (the
     fixed raw schema; a header that does not match raises instead of shifting
-    values), ``"text"`` (header names, all columns STRING).
+    values; malformed lines are kept in ``_corrupt_record``), ``"text"`` (header
+    names, all columns STRING).
     """
     r = spark.read.options(**options)
     if fmt == "csv":
@@ -128,7 +131,14 @@ def read_raw(spark: SparkSession, path, fmt: str = "csv", how: str = "inferred",
         if how == "inferred":
             r = r.option("inferSchema", True)
         elif how == "curated":
-            r = r.schema(CURATED_RAW_SCHEMA).option("enforceSchema", False)
+            # typed read of the fixed raw schema; a header that does not match
+            # raises, and a line with an unparsable field keeps its text in
+            # ``_corrupt_record`` (its typed fields are NULL) instead of vanishing
+            schema = T.StructType([*CURATED_RAW_SCHEMA.fields, T.StructField(CORRUPT_RECORD_COLUMN, T.StringType(), True)])
+            r = (
+                r.schema(schema).option("enforceSchema", False)
+                .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_RECORD_COLUMN)
+            )
         elif how != "text":
             raise ValueError(f"unknown CSV read mode {how!r}")
         return r.csv(path)

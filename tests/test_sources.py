@@ -113,3 +113,13 @@ def test_json_records_with_different_names(spark, scratch):
     # names are coalesced per record; a field absent from a record but present in
     # the merged schema is NULL (resolution happens on the merged schema)
     assert got == [("3", "2024-01-03", None, 1.5), ("4", "2024-01-04", 2, 2.5)]
+
+
+def test_curated_mode_keeps_malformed_lines(spark, scratch):
+    header = "order_id,order_date,customer_id,product_id,asin,quantity,total_price,category\n"
+    fx.write(scratch, "a.csv", header + "1,2024-01-01,c1,p1,A1,2,10.5,toys\n2,2024-01-02,c2,p2,A2,12.5,oops,books\n")
+    df = read_raw(spark, scratch, how="curated")
+    rows = {r["order_id"]: r for r in df.collect()}
+    assert rows["1"]["_corrupt_record"] is None and rows["1"]["quantity"] == 2
+    assert rows["2"]["_corrupt_record"].startswith("2,2024-01-02") and rows["2"]["total_price"] is None
+    assert len(read_raw(spark, scratch, how="curated").columns) == 9  # schema constant not mutated
