@@ -8,7 +8,7 @@ import pytest
 
 import __spark_entry__ as entry_mod
 from ledgerline.sources.driver import TABLES
-from tools.oracle_check import rows_key
+from tools.oracle_check import rows_key, type_mismatches
 
 from .conftest import SF_SMALL
 
@@ -40,8 +40,9 @@ def duck():
 def test_query_equals_oracle(spark, duck, key):
     df = entry_mod.queries()[key](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]
-    cur = duck.execute(entry_mod.oracle_sql()[key])
-    ocols = [d[0] for d in cur.description]
-    orows = cur.fetchall()
+    rel = duck.sql(entry_mod.oracle_sql()[key])
+    ocols, otypes = rel.columns, rel.types
+    orows = rel.fetchall()
     assert sorted(df.columns) == sorted(ocols)
+    assert type_mismatches(df.dtypes, ocols, otypes) == {}
     assert rows_key(df.columns, rows) == rows_key(ocols, orows)
