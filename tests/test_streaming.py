@@ -79,3 +79,22 @@ def test_parquet_stream_sees_columns_of_every_sampled_file(spark, scratch):
     out = run_available(spark, os.path.join(land, "d1"), os.path.join(scratch, "out"), os.path.join(scratch, "ckpt"), fmt="parquet")
     got = sorted((r["order_id"], r["seller_canon"]) for r in out.collect())
     assert got == [("1", None), ("2", "s9")]
+
+
+def test_processing_time_trigger_picks_up_new_drops_until_stopped(spark, scratch):
+    from ledgerline.streaming.ingest import read_sink
+
+    land, out, ckpt = (os.path.join(scratch, x) for x in ("land", "out", "ckpt"))
+    fx.write(land, "a.csv", fx.F1)
+    q = start_ingest(spark, land, out, ckpt, processing_time="1 second", partition_by="sale_date")
+    try:
+        q.processAllAvailable()
+        assert read_sink(spark, out).count() == 3
+        fx.write(land, "b.csv", fx.F5)  # arrives while the query runs
+        q.processAllAvailable()
+        back = read_sink(spark, out)
+        assert back.count() == 4 and "sale_date" in back.columns
+        assert q.isActive and q.id is not None
+    finally:
+        q.stop()
+    assert not q.isActive
