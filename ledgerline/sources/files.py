@@ -34,6 +34,7 @@ from ..spec import BATCH_SPEC, CURATED_RAW_SCHEMA, CanonicalSpec
 from .header_probe import first_lines, read_first_line  # noqa: F401 - re-exported
 
 CORRUPT_RECORD_COLUMN = "_corrupt_record"
+PATH_BUCKETS = 64
 
 
 def file_paths(spark: SparkSession, path) -> DataFrame:
@@ -71,15 +72,19 @@ def csv_layouts(spark: SparkSession, path, sep: str = ",") -> list[tuple[list[st
 
     Only the distinct header lines and their file paths reach the driver --
     the same path list Spark's own file index keeps there for any file scan."""
+    # Paths are gathered per (header, hash bucket): a header shared by millions of
+    # files is spread over PATH_BUCKETS tasks instead of one; lists merge below.
     grouped = (
         file_headers(spark, path)
         .where(F.col("header").isNotNull())
-        .groupBy("header")
-        .agg(F.sort_array(F.collect_list("path")).alias("paths"))
-        .orderBy("header")
+        .groupBy("header", F.pmod(F.xxhash64("path"), F.lit(PATH_BUCKETS)).alias("_bucket"))
+        .agg(F.collect_list("path").alias("paths"))
         .collect()
     )
-    return [(parse_header(r["header"], sep), list(r["paths"])) for r in grouped]
+    by_header: dict[str, list[str]] = {}
+    for r in grouped:
+        by_header.setdefault(r["header"], []).extend(r["paths"])
+    return [(parse_header(h, sep), sorted(by_header[h])) for h in sorted(by_header)]
 
 
 def read_csv_layout(spark: SparkSession, names: list[str], files: list[str], **options) -> DataFrame:
