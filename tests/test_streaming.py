@@ -98,3 +98,12 @@ def test_processing_time_trigger_picks_up_new_drops_until_stopped(spark, scratch
     finally:
         q.stop()
     assert not q.isActive
+
+
+def test_explicit_schema_rejects_a_mismatching_header(spark, scratch):
+    land = os.path.join(scratch, "land")
+    fx.write(land, "a.csv", fx.F7)
+    fx.write(land, "b.csv", fx.F5)  # same kind of data, other column order
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in fx.F7.splitlines()[0].split(",")])
+    with pytest.raises(Exception):
+        run_available(spark, land, os.path.join(scratch, "out"), os.path.join(scratch, "ckpt"), schema=schema)
