@@ -226,8 +226,10 @@ def q_batch_ingest(spark, sf_dir):
     """The batch job end to end: raw CSV drops with drifting headers -> per-layout
     read -> canonicalise -> publish (sale_date partitions) -> marts; returns the
     published table read back."""
-    base = scratch_path(spark, "batch-ingest")
-    view = sales_view(spark, sf_dir)
+    base = scratch_path(spark, "batch-ingest")  # also makes sure the checkpoint dir is set
+    # three era writes read the joined view: materialise it once in the shared
+    # checkpoint folder instead of recomputing the joins per era
+    view = sales_view(spark, sf_dir).checkpoint()
     year = F.year("order_date")
     for i, (_, keep, names) in enumerate(_ERAS):
         cols = [F.col(c).alias(names.get(c, c)) for c in view.columns]
