@@ -14,6 +14,15 @@ import sys
 from pyspark import cloudpickle
 
 
+# Hadoop connector schemes -> the scheme pyarrow's filesystem layer knows.
+_ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3", "gcs": "gs"}
+
+
+def arrow_uri(path: str) -> str:
+    scheme, sep, rest = path.partition("://")
+    return f"{_ARROW_SCHEMES.get(scheme.lower(), scheme)}{sep}{rest}" if sep else path
+
+
 def read_first_line(path: str, max_bytes: int = 1 << 20) -> str | None:
     """First line of a (possibly gzip-compressed) file."""
     if path.startswith("file:"):
@@ -24,7 +33,7 @@ def read_first_line(path: str, max_bytes: int = 1 << 20) -> str | None:
     else:
         from pyarrow import fs as pafs
 
-        filesystem, inner = pafs.FileSystem.from_uri(path)
+        filesystem, inner = pafs.FileSystem.from_uri(arrow_uri(path))
         opener = functools.partial(filesystem.open_input_stream, inner)
     with opener() as fh:
         stream = gzip.GzipFile(fileobj=fh) if path.endswith(".gz") else fh

@@ -123,3 +123,12 @@ def test_curated_mode_keeps_malformed_lines(spark, scratch):
     assert rows["1"]["_corrupt_record"] is None and rows["1"]["quantity"] == 2
     assert rows["2"]["_corrupt_record"].startswith("2,2024-01-02") and rows["2"]["total_price"] is None
     assert len(read_raw(spark, scratch, how="curated").columns) == 9  # schema constant not mutated
+
+
+def test_connector_schemes_map_to_arrow():
+    from ledgerline.sources.header_probe import arrow_uri
+
+    assert arrow_uri("s3a://bucket/raw/a.csv") == "s3://bucket/raw/a.csv"
+    assert arrow_uri("s3n://bucket/a.csv") == "s3://bucket/a.csv"
+    assert arrow_uri("hdfs://nn:8020/raw/a.csv") == "hdfs://nn:8020/raw/a.csv"
+    assert arrow_uri("/local/a.csv") == "/local/a.csv"
