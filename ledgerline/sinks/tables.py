@@ -83,7 +83,8 @@ def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parque
     A partitioned file-source table only sees partitions in the catalog, so
     partitions are recovered after every write (a no-op for new tables with
     partition discovery, required after appends)."""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING {fmt} LOCATION '{path}'")
+    if not spark.catalog.tableExists(name):
+        spark.catalog.createTable(name, path=path, source=fmt)  # external table over path
     if partitioned and spark.catalog.listColumns(name):
         parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
         if parts:
