@@ -37,14 +37,15 @@ LOCAL_CONF = {
 
 def build_session(master: str | None = None, app_name: str = "ledgerline", conf: dict | None = None) -> SparkSession:
     b = SparkSession.builder.appName(app_name)
-    settings = dict(DEFAULT_CONF)
     if master:
         b = b.master(master)
-        if master.startswith("local"):
-            settings.update(LOCAL_CONF)
-    for k, v in {**settings, **(conf or {})}.items():
+    for k, v in {**DEFAULT_CONF, **(conf or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
+    if spark.sparkContext.master.startswith("local"):
+        for k, v in LOCAL_CONF.items():  # runtime settings: apply once the master is known
+            if k not in (conf or {}):
+                spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
