@@ -84,3 +84,24 @@ def test_latest_trailing_window_prunes_at_runtime(spark, scratch):
     p = plan(df)
     assert "PartitionFilters: [isnotnull(sale_date" in p and "subquery" in p.lower()
     assert "Window" not in p
+
+
+def test_without_broadcast_the_view_falls_back_to_sort_merge_with_equal_results(spark):
+    keys = ("revenue_by_region", "top_categories", "cohort_retention")
+    small = {k: [tuple(r) for r in QUERIES[k](spark, SF_SMALL).collect()] for k in keys}
+    confs = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {c: spark.conf.get(c, None) for c in confs}
+    try:
+        for c in confs:
+            spark.conf.set(c, "-1")  # as at 100 TB: the lookup sides exceed any threshold
+        for k in keys:
+            df = QUERIES[k](spark, SF_SMALL)
+            p = plan(df)
+            assert "SortMergeJoin" in p and "BroadcastHashJoin" not in p, k
+            assert [tuple(r) for r in df.collect()] == small[k], k
+    finally:
+        for c, v in old.items():
+            if v is None:
+                spark.conf.unset(c)
+            else:
+                spark.conf.set(c, v)
