@@ -107,3 +107,14 @@ def test_explicit_schema_rejects_a_mismatching_header(spark, scratch):
     schema = T.StructType([T.StructField(n, T.StringType()) for n in fx.F7.splitlines()[0].split(",")])
     with pytest.raises(Exception):
         run_available(spark, land, os.path.join(scratch, "out"), os.path.join(scratch, "ckpt"), schema=schema)
+
+
+def test_compacting_the_stream_sink_keeps_every_row(spark, scratch):
+    from ledgerline.sinks.tables import compact
+
+    land, out, ckpt = (os.path.join(scratch, x) for x in ("land", "out", "ckpt"))
+    for i, text in enumerate([fx.F1, fx.F5, fx.F6]):
+        fx.write(land, f"f{i}.csv", text)
+    sink = run_available(spark, land, out, ckpt, max_files_per_trigger=1)  # three micro-batches
+    compacted = spark.read.parquet(compact(spark, out, os.path.join(scratch, "compacted")))
+    assert _set(compacted) == _set(sink) and compacted.count() == 5
