@@ -73,6 +73,8 @@ def test_trailing_window_as_of(spark):
     s.createOrReplaceTempView("trail_fixture")
     sql = [r["sale_date"] for r in run_report(spark, "daily_revenue_365d", "trail_fixture", as_of="2024-12-31").collect()]
     assert sql == got
+    sql_latest = [r["sale_date"] for r in run_report(spark, "daily_revenue_365d", "trail_fixture", as_of="latest").collect()]
+    assert sql_latest == latest
 
 
 def test_sql_reports_equal_dataframe_reports(spark):
