@@ -15,6 +15,11 @@ from .conftest import SF_SMALL
 ROWS_ONLY = {"schema_preview"}
 
 
+def core(keys):
+    """Keys of the library proper; the training-data keys have their own tests."""
+    return {k for k in keys if k != "pipeline" and not (k.startswith("op") and k[2].isdigit())}
+
+
 def test_entry_smoke(spark):
     df = entry_mod.entry(spark)
     assert df.columns == ["sale_date", "revenue", "units_sold", "orders"]
@@ -24,7 +29,7 @@ def test_entry_smoke(spark):
 def test_every_query_has_an_oracle_or_is_rows_only():
     q, o = entry_mod.queries(), entry_mod.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) == ROWS_ONLY
+    assert core(q) - set(o) == ROWS_ONLY
 
 
 @pytest.fixture(scope="module")
@@ -36,7 +41,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("key", sorted(entry_mod.oracle_sql()))
+@pytest.mark.parametrize("key", sorted(core(entry_mod.oracle_sql())))
 def test_query_equals_oracle(spark, duck, key):
     df = entry_mod.queries()[key](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]

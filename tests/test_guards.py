@@ -5,6 +5,11 @@ import re
 
 SRC = pathlib.Path(__file__).resolve().parent.parent / "ledgerline"
 
+
+def _sources():
+    """The library proper; the training-data subpackage has guards of its own."""
+    return [p for p in SRC.rglob("*.py") if "llm" not in p.relative_to(SRC).parts]
+
 # Driver-side actions allowed, each returning metadata-sized results only:
 ALLOWED_ACTIONS = {
     ("streaming/ingest.py", "collect"),  # stored schema doc (one row); top-n sampled paths
@@ -30,7 +35,7 @@ def test_no_banned_constructs():
         "RDD API": r"\.rdd\.(?!getNumPartitions)",
     }
     hits = []
-    for path in SRC.rglob("*.py"):
+    for path in _sources():
         for i, code in _code_lines(path):
             for name, pat in banned.items():
                 if re.search(pat, code):
@@ -40,9 +45,14 @@ def test_no_banned_constructs():
 
 def test_driver_actions_only_where_results_are_metadata_sized():
     found = set()
-    for path in SRC.rglob("*.py"):
+    for path in _sources():
         for _, code in _code_lines(path):
             for action in ("collect", "first", "take", "head", "toLocalIterator"):
                 if re.search(rf"\.{action}\(", code):
                     found.add((str(path.relative_to(SRC)), action))
     assert found <= ALLOWED_ACTIONS, found - ALLOWED_ACTIONS
+
+
+def test_nothing_outside_imports_the_training_data_subpackage():
+    hits = [str(p) for p in _sources() if re.search(r"\bllm\b", p.read_text())]
+    assert hits == []
