@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import simhash
+from . import langid, quality, simhash
 from .common import read
 
 
@@ -10,8 +10,18 @@ def op1_simhash_near_dedup(spark, sf_dir):
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op2_language_id(spark, sf_dir):
+    return langid.identify(read(spark, sf_dir, "documents"))
+
+
+def op4_quality_classifier(spark, sf_dir):
+    return quality.classify(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op2_language_id": op2_language_id,
+    "op4_quality_classifier": op4_quality_classifier,
 }
 
 ORACLE: dict[str, str] = {}
