@@ -113,13 +113,13 @@ def estimate(patterns: dict[str, int], rounds: int = 200):
 
 
 def features(text: str | None, m: list[float]):
-    """Unit n-gram vector of the raw text followed by the eight shares, which
-    count less the fewer words they were measured on."""
+    """Unit n-gram vector of the raw text followed by the eight shares.  Both count
+    less the less text they were measured on, so a few words decide little."""
     import numpy as np
 
     c = code_points(text or "")
     trust = SHARE_WEIGHT * m[8] / (m[8] + 10)
-    return np.concatenate([unit(ngram_counts(c)), trust * np.array(m[:8])])
+    return np.concatenate([unit(ngram_counts(c)) * (c.size / (c.size + 100)), trust * np.array(m[:8])])
 
 
 def _vote_batches(batches):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import langid, quality, simhash
+from . import langid, packing, quality, simhash, wavelet
 from .common import read
 
 
@@ -14,6 +14,14 @@ def op2_language_id(spark, sf_dir):
     return langid.identify(read(spark, sf_dir, "documents"))
 
 
+def op3_wavelet_tokens(spark, sf_dir):
+    return wavelet.round_trip(read(spark, sf_dir, "documents"))
+
+
+def op7_packing(spark, sf_dir):
+    return packing.packed(read(spark, sf_dir, "documents"))
+
+
 def op4_quality_classifier(spark, sf_dir):
     return quality.classify(read(spark, sf_dir, "documents"))
 
@@ -21,7 +29,9 @@ def op4_quality_classifier(spark, sf_dir):
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_language_id": op2_language_id,
+    "op3_wavelet_tokens": op3_wavelet_tokens,
     "op4_quality_classifier": op4_quality_classifier,
+    "op7_packing": op7_packing,
 }
 
 ORACLE: dict[str, str] = {}
