@@ -62,10 +62,12 @@ def _sample(docs: DataFrame, per_language: int) -> DataFrame:
     """About ``per_language`` learnable rows of each language, chosen by a hash of
     doc_id: no sort, no window, the same rows whatever the partitioning."""
     known = docs.where(~held_out() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = known.groupBy("lang").count()
-    draw = (F.xxhash64(F.col("doc_id"), F.lit("language sample")) % 1_000_000 + 1_000_000) % 1_000_000
-    rate = sizes.select("lang", (F.lit(1e6 * per_language) / F.col("count")).alias("rate"))
-    return known.join(rate, "lang").where(draw < F.col("rate")).select("lang", "text")
+    sizes = known.groupBy("lang").count().collect()  # one row per language
+    draw = F.pmod(F.xxhash64("doc_id", F.lit("language sample")), F.lit(1_000_000))
+    rate = F.lit(0.0)
+    for r in sizes:
+        rate = F.when(F.col("lang") == r.lang, F.lit(1e6 * per_language / r["count"])).otherwise(rate)
+    return known.where(draw < rate).select("lang", "text")
 
 
 def _machine(rows: DataFrame, first: list[str], second: list[str]):
