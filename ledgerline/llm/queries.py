@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import langid, packing, quality, simhash, wavelet
+from . import langid, licences, packing, quality, simhash, wavelet
 from .common import read
 
 
@@ -26,12 +26,19 @@ def op4_quality_classifier(spark, sf_dir):
     return quality.classify(read(spark, sf_dir, "documents"))
 
 
+def op9_licence_scan(spark, sf_dir):
+    return licences.scan(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_language_id": op2_language_id,
     "op3_wavelet_tokens": op3_wavelet_tokens,
     "op4_quality_classifier": op4_quality_classifier,
     "op7_packing": op7_packing,
+    "op9_licence_scan": op9_licence_scan,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op9_licence_scan": licences.oracle(),
+}
