@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import langid, licences, packing, quality, simhash, wavelet
+from . import hamming, imatch, langid, licences, packing, quality, simhash, wavelet
 from .common import read
 
 
@@ -30,15 +30,28 @@ def op9_licence_scan(spark, sf_dir):
     return licences.scan(read(spark, sf_dir, "documents"))
 
 
+def op6_imatch_fingerprints(spark, sf_dir):
+    return imatch.edit_report(read(spark, sf_dir, "documents"))
+
+
+def op10_hamming_top_k(spark, sf_dir):
+    """Queries: every row whose id is divisible by 50, against all rows."""
+    vectors = read(spark, sf_dir, "embeddings")
+    return hamming.top_k(vectors, vectors.where("vec_id % 50 = 0"))
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_language_id": op2_language_id,
     "op3_wavelet_tokens": op3_wavelet_tokens,
     "op4_quality_classifier": op4_quality_classifier,
+    "op6_imatch_fingerprints": op6_imatch_fingerprints,
     "op7_packing": op7_packing,
     "op9_licence_scan": op9_licence_scan,
+    "op10_hamming_top_k": op10_hamming_top_k,
 }
 
 ORACLE: dict[str, str] = {
     "op9_licence_scan": licences.oracle(),
+    "op10_hamming_top_k": hamming.oracle(),
 }
