@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import hamming, imatch, langid, licences, packing, quality, simhash, wavelet
+import corpus_pipeline
+
+from . import hamming, imatch, langid, licences, mixing, packing, quality, simhash, warc, wavelet
 from .common import read
 
 
@@ -40,18 +42,33 @@ def op10_hamming_top_k(spark, sf_dir):
     return hamming.top_k(vectors, vectors.where("vec_id % 50 = 0"))
 
 
+def op5_mixing(spark, sf_dir):
+    """Every document's rate; repeated rows of one document are one row."""
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    return mixing.rates(docs, mixing.domains(labels))
+
+
+def op8_warc_archive(spark, sf_dir):
+    index = warc.archive(read(spark, sf_dir, "pages"))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_language_id": op2_language_id,
     "op3_wavelet_tokens": op3_wavelet_tokens,
     "op4_quality_classifier": op4_quality_classifier,
+    "op5_mixing": op5_mixing,
     "op6_imatch_fingerprints": op6_imatch_fingerprints,
     "op7_packing": op7_packing,
+    "op8_warc_archive": op8_warc_archive,
     "op9_licence_scan": op9_licence_scan,
     "op10_hamming_top_k": op10_hamming_top_k,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE: dict[str, str] = {
+    "op8_warc_archive": warc.oracle(),
     "op9_licence_scan": licences.oracle(),
     "op10_hamming_top_k": hamming.oracle(),
 }
