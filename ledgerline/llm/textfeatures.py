@@ -37,7 +37,8 @@ def letters_only(cps):
     keep = letter[cps]
     c = np.where(keep, lower[cps], np.uint32(32))
     c = np.concatenate(([np.uint32(32)], c, [np.uint32(32)]))
-    return c[1:][~((c[1:] == 32) & (c[:-1] == 32))] if keep.any() else c[:0]
+    again = np.concatenate(([False], (c[1:] == 32) & (c[:-1] == 32)))
+    return c[~again] if keep.any() else c[:0]
 
 
 def ngram_counts(c, dims: int = DIMS, chunk: int = 1 << 20):

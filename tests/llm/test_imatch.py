@@ -1,0 +1,77 @@
+"""I-Match against brute force."""
+
+import hashlib
+import random
+
+import numpy as np
+from xxhash import xxh64_intdigest
+
+from ledgerline.llm import imatch
+
+
+def brute_terms(text):
+    words = (text or "").encode().lower().split()
+    return {xxh64_intdigest(x) for x in (w.strip(imatch.PUNCTUATION) for w in words) if x}
+
+
+def brute_lexicon(texts, low, high):
+    df = {}
+    for t in texts:
+        for x in brute_terms(t):
+            df[x] = df.get(x, 0) + 1
+    n = len(texts)
+    return np.array(sorted(x for x, k in df.items() if max(2, low * n) <= k <= max(2, high * n)), np.uint64)
+
+
+def make_rows():
+    rng = random.Random(6)
+    vocab = [f"w{i}" for i in range(400)]
+    rows = [(i * 7 % 211, " ".join(rng.choice(vocab) for _ in range(rng.choice([0, 1, 3, 50, 400])))) for i in range(211)]
+    rows += [(300, None), (301, ""), (302, "née Été w1, W1. (w2)"), (303, "x" * 50000), (5, "tie b"), (5, "tie a"), (None, "w3 w4 no id")]
+    return rows + [(304, rows[3][1]), (305, rows[3][1])]
+
+
+def test_terms_and_lexicon(spark, docs_of):
+    assert [x for x in imatch.terms("The the, THE. (tHe) é É")] == sorted(brute_terms("the é É"))
+    rows = make_rows()
+    got = imatch.lexicon(docs_of(rows), 0.01, 0.2)
+    assert (got == brute_lexicon([t for _, t in rows], 0.01, 0.2)).all() and got.size > 100
+
+
+def test_fingerprint_properties():
+    texts = [t for _, t in make_rows()]
+    lex = brute_lexicon(texts, 0.01, 0.2)
+    long = texts[3] if len(texts[3]) > 50 else max(texts[:200], key=lambda t: len(t or ""))
+    words = long.split()
+    f = imatch.fingerprint
+    assert f(long, lex) == f(" ".join(reversed(words)) + "\n" + words[0].upper(), lex)  # order, repeats, case
+    assert len(f(long, lex).split(" ")) == 1 + len(imatch.DENSITIES) * imatch.SUBSETS
+    assert f("", lex) == f(None, lex) and f("zzz", lex) != f("yyy", lex) and f("zzz", lex).startswith("=")
+    near = f(" ".join(words[:-2]), lex)
+    far = f("w1 w2 w3 w5 w8 w13 w21", lex)
+    assert 1 > imatch.likeness(f(long, lex), near) > 0.3 > imatch.likeness(f(long, lex), far)
+    assert imatch.likeness(near, near) == 1 and imatch.likeness("=a", "=b") == 0 == imatch.likeness("=a", near)
+
+
+def test_edit_report_equals_brute_force(docs_of):
+    rows = make_rows()
+    docs = docs_of(rows).selectExpr("*", "1 as fingerprint", "2 as part", "3 as term")
+    got = sorted((tuple(r) for r in imatch.edit_report(docs, 0.01, 0.2).collect()), key=str)
+    lex = brute_lexicon([t for _, t in rows], 0.01, 0.2)
+    down = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+    want = []
+    for k, (i, t) in enumerate(down):
+        after = down[(k + 1) % len(down)][1]
+        half = len(t) // 2
+        edited = t[: len(t) - half] + after[:half]
+        a, b, c = (imatch.fingerprint(x, lex) for x in (t, edited, after))
+        want.append((i, len(t), hashlib.sha256(edited.encode()).hexdigest(), a, b, imatch.likeness(a, b), imatch.likeness(a, c)))
+    assert got == sorted(want, key=str)
+
+
+def test_small_tables(docs_of):
+    assert imatch.edit_report(docs_of([]).where("false")).collect() == []
+    one = imatch.edit_report(docs_of([(1, "abcde")])).collect()
+    assert len(one) == 1 and one[0].edited_sha256 == hashlib.sha256(b"abcab").hexdigest() and one[0].near_next == 1
+    rows = imatch.fingerprints(docs_of([(1, "a b"), (2, None), (1, "a b")])).collect()
+    assert len(rows) == 3 and len({r.fingerprint for r in rows}) == 2
