@@ -30,8 +30,9 @@ SAMPLE = 20_000  # labelled documents the classifier is fitted on (expected numb
 VOCABULARY = 500  # words
 MIN_DOCUMENTS = 5  # of the sample that hold a vocabulary word
 DECIMALS = 3  # posteriors are rounded to
-STEPS = 400
-STEPS_PER_TABLE = 10  # between two written tables of rates
+STEPS = 200
+STEPS_PER_TABLE = 20  # between two written tables of rates
+STALLED = 1e-5  # share of each target a step must move to be followed by another
 TOLERANCE = 1e-3  # relative error of each domain's tokens at which the fit ends
 
 
@@ -137,23 +138,39 @@ def solve(cells: DataFrame, targets: list[float], steps: int = STEPS, tolerance:
     Minimises the sum over domains of (expected - target)^2 / target over rates
     >= 0, in the inner product weighted by tokens.  There the gradient of a cell
     is its posteriors times the relative errors, and the largest curvature is at
-    most the largest ratio of present to target tokens: posteriors sum to one.  A
+    most the largest ratio of present to target tokens: posteriors sum to one.  The
+    first step and any after a rise of the cost use that length.  A
     domain with target zero is left out of the sum by a floor of one token.
     """
     goal = [max(1.0, t) for t in targets]
     k = range(len(goal))
     state = cells.withColumn("rate", F.lit(1.0))
-    totals = lambda df: [float(x or 0.0) for x in df.agg(*[F.sum(F.col("rate") * F.col("t") * F.col(f"p{i}")) for i in k]).first()]
-    now = totals(state)
-    size = 1.0 / max(max(n / g for n, g in zip(now, goal)), 1e-9)
+    tokens = [F.col("rate") * F.col("t") * F.col(f"p{i}") for i in k]
+    shared = [F.sum(tokens[i] * F.col(f"p{j}")) for i in k for j in k]
+    first = [float(x or 0.0) for x in state.agg(*[F.sum(x) for x in tokens], *shared).first()]
+    now, gram = first[: len(goal)], [first[len(goal) * (i + 1) : len(goal) * (i + 2)] for i in k]
+    safe = size = 1.0 / max(max(n / g for n, g in zip(now, goal)), 1e-9)
+    errors = [(n - g) / g for n, g in zip(now, goal)]
+    past = [math.inf]
     for step in range(1, steps + 1):
-        errors = [(n - g) / g for n, g in zip(now, goal)]
-        if all(abs(e) <= tolerance for e, n in zip(errors, now)):
+        if all(abs(e) <= tolerance for e in errors):
             break
         state = state.withColumn("rate", _step(F.col("rate"), errors, size))
         if step % STEPS_PER_TABLE == 0:
             state = saved(state, "rates")
-        now = totals(state)
+        new = [float(x or 0.0) for x in state.agg(*[F.sum(x) for x in tokens]).first()]
+        moved, now = [n - b for n, b in zip(new, now)], new
+        if all(abs(m) <= STALLED * g for m, g in zip(moved, goal)):
+            break  # the targets are out of reach, or the rest is not worth a step
+        # next step length from the curvature met on this one (Barzilai and Borwein)
+        turned = [m / g for m, g in zip(moved, goal)]
+        errors = [(n - g) / g for n, g in zip(now, goal)]
+        curve = sum(turned[i] * gram[i][j] * turned[j] for i in k for j in k)
+        size = sum(m * x for m, x in zip(moved, turned)) / curve if curve > 0 else safe
+        cost = sum(e * e * g for e, g in zip(errors, goal))
+        if cost > max(past[-5:]):
+            size = safe
+        past.append(cost)
     return state
 
 
