@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import coerce
-from ..functions.money import cents, cents_to_money, units_sum
+from ..functions.money import amount_sum, money_sum, units_sum
 from ..functions.resolve import first_existing, require_column
 from ..spec import (
     CLI_PRODUCT_ALIASES,
@@ -58,19 +58,19 @@ def coerce_named(df: DataFrame, cols: CliColumns = CliColumns(), need=("price",
     return df.select(*kept, *out)
 
 
-def _daily_cents(df: DataFrame, cols: CliColumns) -> DataFrame:
+def _daily_amounts(df: DataFrame, cols: CliColumns) -> DataFrame:
     return (
         coerce_named(df, cols)
         .groupBy("date")
-        .agg(F.sum(cents("price_num")).alias("_cents"), units_sum("qty_num").alias("units_sold"))
+        .agg(amount_sum("price_num").alias("_amount"), units_sum("qty_num").alias("units_sold"))
     )
 
 
 def daily_revenue(df: DataFrame, cols: CliColumns = CliColumns()) -> DataFrame:
     """(date, revenue, units_sold) ordered by date."""
     return (
-        _daily_cents(df, cols)
-        .select("date", cents_to_money(F.col("_cents")).alias("revenue"), "units_sold")
+        _daily_amounts(df, cols)
+        .select("date", F.col("_amount").cast("double").alias("revenue"), "units_sold")
         .orderBy("date")
     )
 
@@ -82,7 +82,7 @@ def _top_by(df: DataFrame, cols: CliColumns, aliases, k: int) -> DataFrame | Non
     return (
         coerce_named(df, cols, need=("price",))
         .groupBy(F.col(f"`{key}`"))
-        .agg(cents_to_money(F.sum(cents("price_num"))).alias("revenue"))
+        .agg(money_sum("price_num").alias("revenue"))
         .orderBy(F.desc("revenue"), F.asc(F.col(f"`{key}`")))
         .limit(k)
     )
@@ -97,8 +97,8 @@ def top_products(df: DataFrame, cols: CliColumns = CliColumns(), k: int = CLI_TO
 
 
 def _rolling_mean(frame) -> F.Column:
-    c = F.col("_cents")
-    return F.sum(c).over(frame).cast("double") / F.count(c).over(frame) / F.lit(100)
+    a = F.col("_amount")
+    return F.try_sum(a).over(frame).cast("double") / F.count(a).over(frame)
 
 
 def rolling_rows_revenue(df: DataFrame, cols: CliColumns = CliColumns(), rows: int = ROLLING_ROWS) -> DataFrame:
@@ -106,10 +106,10 @@ def rolling_rows_revenue(df: DataFrame, cols: CliColumns = CliColumns(), rows: i
     sales), dates ascending with the NULL date first -- the reference's frame."""
     w = Window.orderBy(F.asc_nulls_first("date")).rowsBetween(-(rows - 1), 0)
     return (
-        _daily_cents(df, cols)
+        _daily_amounts(df, cols)
         .select(
             "date",
-            cents_to_money(F.col("_cents")).alias("revenue"),
+            F.col("_amount").cast("double").alias("revenue"),
             "units_sold",
             _rolling_mean(w).alias("rolling_7d_revenue"),
         )
@@ -122,12 +122,12 @@ def rolling_days_revenue(df: DataFrame, cols: CliColumns = CliColumns(), days: i
     (a RANGE frame on the day number), NULL dates excluded."""
     w = Window.orderBy(F.col("_day")).rangeBetween(-(days - 1), 0)
     return (
-        _daily_cents(df, cols)
+        _daily_amounts(df, cols)
         .where(F.col("date").isNotNull())
         .withColumn("_day", F.unix_date("date"))
         .select(
             "date",
-            cents_to_money(F.col("_cents")).alias("revenue"),
+            F.col("_amount").cast("double").alias("revenue"),
             "units_sold",
             _rolling_mean(w).alias("rolling_7d_revenue"),
         )

@@ -23,7 +23,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.money import cents, cents_to_money, money_avg, money_sum, units_sum
+from ..functions.money import amount_sum, money_avg, money_sum, units_sum
 from ..functions.resolve import require_column
 from ..spec import SELLER_REPORT_K, TOP_PRODUCTS_REPORT_K, TRAILING_DAYS
 
@@ -107,7 +107,7 @@ def cohort_retention(sales: DataFrame) -> DataFrame:
     per_month = (
         sales.where(F.col("customer_id").isNotNull())
         .groupBy("customer_id", F.trunc("sale_date", "month").alias("activity_month"))
-        .agg(F.sum(cents("total_price")).alias("_cents"))
+        .agg(amount_sum("total_price").alias("_amount"))
     )
     cohort = F.min("activity_month").over(Window.partitionBy("customer_id"))
     return (
@@ -115,7 +115,7 @@ def cohort_retention(sales: DataFrame) -> DataFrame:
         .groupBy("cohort_month", "activity_month")
         .agg(
             F.count(F.lit(1)).alias("active_customers"),
-            cents_to_money(F.sum("_cents")).alias("revenue"),
+            F.try_sum("_amount").cast("double").alias("revenue"),
         )
         .orderBy("cohort_month", "activity_month")
     )

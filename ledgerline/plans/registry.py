@@ -96,6 +96,18 @@ def q_revenue_by_region(spark, sf_dir):
     return reports.revenue_by_region(canonical(spark, sf_dir, ("region", "total_price")))
 
 
+def q_net_seller_performance(spark, sf_dir):
+    """Sellers by discounted price: prices with fractions of a cent."""
+    li = table(spark, sf_dir, "lineitem")
+    net = li.select(
+        F.col("l_orderkey").alias("order_id"),
+        F.col("l_suppkey").alias("seller_id"),
+        (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("total_price"),
+        F.col("l_quantity").alias("quantity"),
+    )
+    return reports.seller_performance(canonicalise(net, BATCH_SPEC))
+
+
 def _cli_input(spark, sf_dir, with_date=True):
     fields = ("seller_id", "product_id", "total_price", "quantity") + (("order_date",) if with_date else ())
     return sales_view(spark, sf_dir, fields)
@@ -253,6 +265,7 @@ QUERIES: dict[str, Query] = {
     "top_products_20": q_top_products_20,
     "top_categories": q_top_categories,
     "seller_performance": q_seller_performance,
+    "net_seller_performance": q_net_seller_performance,
     "first_purchase": q_first_purchase,
     "cohort_retention": q_cohort_retention,
     "revenue_by_region": q_revenue_by_region,
@@ -279,13 +292,20 @@ QUERIES: dict[str, Query] = {
 # ----------------------------------------------------------------- oracle ---
 
 _SALES = f"WITH sales AS ({CANONICAL_SALES_SQL})\n"
-_CENTS = "CAST(ROUND(total_price * 100) AS BIGINT)"
-_MONEY = f"CAST(SUM({_CENTS}) AS DOUBLE) / 100"
+_AMOUNT = "CAST(total_price AS DECIMAL(28,8))"
+
+
+def _double(decimal: str) -> str:
+    """A decimal as the nearest DOUBLE (the engine's direct cast is off in the last bit)."""
+    return f"CAST(CAST({decimal} AS VARCHAR) AS DOUBLE)"
+
+
+_MONEY = _double(f"SUM({_AMOUNT})")
 _UNITS = "CAST(SUM(quantity) AS BIGINT)"
 
-_DAILY_CENTS = f"""
+_DAILY_AMOUNTS = f"""
 daily AS (
-  SELECT sale_date AS date, SUM({_CENTS}) AS c, {_UNITS} AS units_sold
+  SELECT sale_date AS date, SUM({_AMOUNT}) AS c, {_UNITS} AS units_sold
   FROM sales GROUP BY sale_date)
 """
 
@@ -317,20 +337,23 @@ ORACLE: dict[str, str] = {
        ORDER BY revenue DESC NULLS LAST, category_canon ASC NULLS FIRST""",
     "seller_performance": _SALES
     + f"""SELECT seller_canon AS seller_id, COUNT(*) AS orders, {_MONEY} AS revenue,
-              CAST(SUM({_CENTS}) AS DOUBLE) / COUNT({_CENTS}) / 100 AS avg_order_value
+              {_MONEY} / COUNT({_AMOUNT}) AS avg_order_value
        FROM sales GROUP BY seller_canon
        ORDER BY revenue DESC NULLS LAST, seller_id ASC NULLS FIRST LIMIT 50""",
+    "net_seller_performance": f"""
+       WITH sales AS (SELECT CAST(l_suppkey AS VARCHAR) AS seller_id, l_extendedprice * (1 - l_discount) AS total_price FROM lineitem)
+       SELECT seller_id, COUNT(*) AS orders, {_MONEY} AS revenue, {_MONEY} / COUNT({_AMOUNT}) AS avg_order_value
+       FROM sales GROUP BY seller_id
+       ORDER BY revenue DESC NULLS LAST, seller_id ASC NULLS FIRST LIMIT 50""",
     "first_purchase": _SALES
     + "SELECT customer_id, MIN(sale_date) AS first_date FROM sales GROUP BY customer_id",
     "cohort_retention": _SALES
-    + f""", first_purchase AS (
-         SELECT customer_id, MIN(sale_date) AS first_date FROM sales GROUP BY customer_id)
-       SELECT CAST(date_trunc('month', f.first_date) AS DATE) AS cohort_month,
-              CAST(date_trunc('month', s.sale_date) AS DATE) AS activity_month,
-              COUNT(DISTINCT s.customer_id) AS active_customers,
-              CAST(SUM(CAST(ROUND(s.total_price * 100) AS BIGINT)) AS DOUBLE) / 100 AS revenue
-       FROM sales s JOIN first_purchase f ON s.customer_id = f.customer_id
-       GROUP BY 1, 2 ORDER BY 1 NULLS FIRST, 2 NULLS FIRST""",
+    + f""", per_month AS (
+         SELECT customer_id, CAST(date_trunc('month', sale_date) AS DATE) AS activity_month, SUM({_AMOUNT}) AS amount
+         FROM sales WHERE customer_id IS NOT NULL GROUP BY ALL)
+       SELECT cohort_month, activity_month, COUNT(*) AS active_customers, {_double('SUM(amount)')} AS revenue
+       FROM (SELECT *, MIN(activity_month) OVER (PARTITION BY customer_id) AS cohort_month FROM per_month)
+       GROUP BY ALL ORDER BY 1 NULLS FIRST, 2 NULLS FIRST""",
     "revenue_by_region": _SALES
     + f"""SELECT region, {_MONEY} AS revenue FROM sales GROUP BY region
        ORDER BY revenue DESC NULLS LAST, region ASC NULLS FIRST""",
@@ -345,17 +368,17 @@ ORACLE: dict[str, str] = {
        GROUP BY product_id_canon ORDER BY revenue DESC NULLS LAST, product_id ASC NULLS FIRST LIMIT 200""",
     "rolling_7row_revenue": _SALES
     + ","
-    + _DAILY_CENTS
-    + """SELECT date, CAST(c AS DOUBLE) / 100 AS revenue, units_sold,
-              CAST(SUM(c) OVER w AS DOUBLE) / COUNT(c) OVER w / 100 AS rolling_7d_revenue
+    + _DAILY_AMOUNTS
+    + f"""SELECT date, {_double('c')} AS revenue, units_sold,
+              {_double('SUM(c) OVER w')} / COUNT(c) OVER w AS rolling_7d_revenue
        FROM daily
        WINDOW w AS (ORDER BY date ASC NULLS FIRST ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)
        ORDER BY date NULLS FIRST""",
     "rolling_7day_revenue": _SALES
     + ","
-    + _DAILY_CENTS
-    + """SELECT date, CAST(c AS DOUBLE) / 100 AS revenue, units_sold,
-              CAST(SUM(c) OVER w AS DOUBLE) / COUNT(c) OVER w / 100 AS rolling_7d_revenue
+    + _DAILY_AMOUNTS
+    + f"""SELECT date, {_double('c')} AS revenue, units_sold,
+              {_double('SUM(c) OVER w')} / COUNT(c) OVER w AS rolling_7d_revenue
        FROM daily
        WHERE date IS NOT NULL
        WINDOW w AS (ORDER BY date - DATE '1970-01-01' RANGE BETWEEN 6 PRECEDING AND CURRENT ROW)
