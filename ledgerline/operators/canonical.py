@@ -8,6 +8,10 @@ the scan.  No UDF is involved.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,53 +25,52 @@ def _typed(df: DataFrame, name: str):
 
 
 def canonical_columns(
-    df: DataFrame, res: Resolution, spec: CanonicalSpec, coalesce_aliases: bool = False
+    df: DataFrame, res: Resolution, spec: CanonicalSpec, present: Callable[[str], Column] | None = None
 ) -> list[Column]:
     """The canonical column expressions for ``df`` given a resolution.
 
-    With ``coalesce_aliases`` every present alias of a field is tried per row,
-    in alias order (for merged JSON/Parquet schemas where different records
-    carry different names); otherwise the first present alias is used."""
+    A field is read from its first alias that is *present*, whatever the value
+    there, and takes its default only if none is.  Without ``present`` the columns
+    of ``df`` are what is present; with it (records that carry their own names)
+    ``present(column)`` tells it per row."""
 
     def raw(name):
         return F.col(f"`{name}`")
 
-    def pick(aliases, first, conv):
-        names = all_existing(aliases, df.columns) if coalesce_aliases else [first]
-        exprs = [conv(raw(n), _typed(df, n)) for n in names]
-        return exprs[0] if len(exprs) == 1 else F.coalesce(*exprs)
-
-    if res.date is not None:
-        order_ts = pick(spec.date, res.date, coerce.to_timestamp)
-        if not coalesce_aliases and coerce.is_timelike(_typed(df, res.date)):
-            # DATE / TIMESTAMP_NTZ carry the wall-clock date already: no
-            # per-row time-zone round trip through TIMESTAMP
-            sale_date = raw(res.date).cast("date")
-        else:
-            sale_date = order_ts.cast("date")
+    def pick(aliases, first, conv, default):
+        if present is None:
+            return conv(raw(first), _typed(df, first)) if first is not None else default
+        chain = None
+        for n in all_existing(aliases, df.columns):
+            value = conv(raw(n), _typed(df, n))
+            chain = F.when(present(n), value) if chain is None else chain.when(present(n), value)
+        return default if chain is None else chain.otherwise(default)
+
+    no_time = F.lit(None).cast("timestamp")
+    order_ts = pick(spec.date, res.date, coerce.to_timestamp, no_time)
+    if present is None and res.date is not None and coerce.is_timelike(_typed(df, res.date)):
+        # DATE / TIMESTAMP_NTZ carry the wall-clock date already: no
+        # per-row time-zone round trip through TIMESTAMP
+        sale_date = raw(res.date).cast("date")
     else:
-        order_ts = F.lit(None).cast("timestamp")
-        sale_date = F.lit(None).cast("date")
+        sale_date = order_ts.cast("date")
 
-    if res.quantity is not None:
-        quantity = pick(spec.quantity, res.quantity, coerce.to_long)
-    else:
-        quantity = F.lit(spec.default_quantity).cast("long")
-
-    if res.price is not None:
-        total_price = pick(spec.price, res.price, coerce.to_double)
-    elif res.unit_price is not None and res.quantity is not None:
-        total_price = F.try_multiply(
-            coerce.to_double(raw(res.unit_price), _typed(df, res.unit_price)),
-            coerce.to_double(raw(res.quantity), _typed(df, res.quantity)),
-        )
-    else:
-        total_price = F.lit(spec.default_price).cast("double")
+    quantity = pick(spec.quantity, res.quantity, coerce.to_long, F.lit(spec.default_quantity).cast("long"))
+
+    price = F.lit(spec.default_price).cast("double")
+    if res.unit_price is not None and res.quantity is not None:
+        unit = coerce.to_double(raw(res.unit_price), _typed(df, res.unit_price))
+        counted = pick(spec.quantity, res.quantity, coerce.to_double, F.lit(None).cast("double"))
+        derived = F.try_multiply(unit, counted)
+        if present is None:
+            price = derived
+        else:
+            some = reduce(or_, [present(n) for n in all_existing(spec.quantity, df.columns)])
+            price = F.when(present(res.unit_price) & some, derived).otherwise(price)
+    total_price = pick(spec.price, res.price, coerce.to_double, price)
 
     def text_or(aliases, name, default):
-        if name is not None:
-            return pick(aliases, name, coerce.to_text)
-        return F.lit(default).cast("string")
+        return pick(aliases, name, coerce.to_text, F.lit(default).cast("string"))
 
     exprs = {
         "order_id": text_or(spec.order_id, res.order_id, None),
@@ -89,16 +92,17 @@ def canonicalise(
     *,
     keep_raw: bool = True,
     drop_internal: bool = False,
-    coalesce_aliases: bool = False,
+    present: Callable[[str], Column] | None = None,
 ) -> DataFrame:
     """Add the canonical columns to ``df`` in one projection.
 
     Raw columns are kept (as the reference does) except those whose name equals
     a canonical name ignoring case -- those are replaced, never duplicated.
-    ``drop_internal`` also drops raw columns starting with ``_``.
+    ``drop_internal`` also drops raw columns starting with ``_``.  ``present``:
+    see ``canonical_columns``.
     """
     res = resolve(df.columns, spec)
-    canon = canonical_columns(df, res, spec, coalesce_aliases)
+    canon = canonical_columns(df, res, spec, present)
     kept = []
     if keep_raw:
         taken = {c.lower() for c in CANONICAL_COLUMNS}

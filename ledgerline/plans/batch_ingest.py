@@ -62,7 +62,7 @@ def run(
     if table_name:
         register_table(spark, table_name, output_path, partitioned=bool(cols))
 
-    table = spark.read.parquet(output_path)
+    table = spark.read.option("mergeSchema", True).parquet(output_path)
     outputs = {
         "daily": marts.daily_aggregates(table),
         "top_products": marts.top_products_mart(table),

@@ -27,14 +27,6 @@ DEFAULT_CONF = {
 }
 
 
-# Single-JVM runs: listing a few thousand partition folders in-process takes
-# well under a second, while the parallel-listing job launches one task per
-# folder.  Clusters keep Spark's default (parallel listing on executors).
-LOCAL_CONF = {
-    "spark.sql.sources.parallelPartitionDiscovery.threshold": "100000",
-}
-
-
 def build_session(master: str | None = None, app_name: str = "ledgerline", conf: dict | None = None) -> SparkSession:
     b = SparkSession.builder.appName(app_name)
     if master:
@@ -42,10 +34,6 @@ def build_session(master: str | None = None, app_name: str = "ledgerline", conf:
     for k, v in {**DEFAULT_CONF, **(conf or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
-    if spark.sparkContext.master.startswith("local"):
-        for k, v in LOCAL_CONF.items():  # runtime settings: apply once the master is known
-            if k not in (conf or {}):
-                spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 

@@ -14,6 +14,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.resolve import first_existing
 from ..spec import CANONICAL_SCHEMA, CLUSTER_COLUMNS, DEFAULT_PARTITION_COLUMN
 
 TARGET_FILE_BYTES = 256 * 1024 * 1024
@@ -21,10 +22,9 @@ TARGET_FILE_BYTES = 256 * 1024 * 1024
 
 def partition_columns(df: DataFrame, partition_by) -> list[str]:
     """Partition only by requested columns that exist (empty/None -> none)."""
-    if not partition_by:
-        return []
-    wanted = [partition_by] if isinstance(partition_by, str) else list(partition_by)
-    return [p for p in wanted if p and p in df.columns]
+    names = [partition_by] if isinstance(partition_by, str) else partition_by or []
+    found = (first_existing((n,), df.columns) for n in names if n)
+    return [c for c in found if c is not None]
 
 
 def conform(df: DataFrame) -> DataFrame:
@@ -78,17 +78,23 @@ def publish(
 
 
 def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet", partitioned: bool = True) -> None:
-    """Idempotent external-table registration; discovers partitions written since.
+    """Idempotent external-table registration; discovers partitions and columns
+    written since.
 
     A partitioned file-source table only sees partitions in the catalog, so
     partitions are recovered after every write (a no-op for new tables with
     partition discovery, required after appends)."""
     if not spark.catalog.tableExists(name):
         spark.catalog.createTable(name, path=path, source=fmt)  # external table over path
-    if partitioned and spark.catalog.listColumns(name):
-        parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
-        if parts:
-            spark.catalog.recoverPartitions(name)
+    columns = spark.catalog.listColumns(name)
+    known = {c.name.lower() for c in columns}
+    written = spark.read.option("mergeSchema", True).format(fmt).load(path).schema
+    for f in written.fields:  # columns that later writes brought along
+        if f.name.lower() not in known:
+            column = f.name.replace("`", "``")
+            spark.sql(f"ALTER TABLE IDENTIFIER(:t) ADD COLUMNS (`{column}` {f.dataType.simpleString()})", args={"t": name})
+    if partitioned and any(c.isPartition for c in columns):
+        spark.catalog.recoverPartitions(name)
     spark.catalog.refreshTable(name)
 
 

@@ -14,9 +14,10 @@ in another order silently puts quantities into prices.  ``read_sales`` instead
 
 Every layout is a plain CSV scan, so the union is one stage of ordinary file
 splits; no data passes through the driver, only file paths and header lines.
-JSON and Parquet carry names per record/file; their merged schema can hold
-several aliases of one field, so those are canonicalised with per-row alias
-coalescing.
+Parquet files are grouped by footer schema in the same way; JSON records carry
+their own names, so there presence is told per record.  One rule holds for all:
+a field is read from its first alias that is present, its default applies only
+where none is.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from __future__ import annotations
 import csv
 import functools
 import io
+import re
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,14 +47,34 @@ def file_paths(spark: SparkSession, path) -> DataFrame:
     return spark.read.format("binaryFile").load(paths).select("path")
 
 
-def file_headers(spark: SparkSession, path) -> DataFrame:
+# Codecs Spark's readers know by these endings and the header probe does not.
+_CODED = r"\.(bz2|zst|zstd|lz4|snappy|deflate)$"
+
+
+def file_headers(spark: SparkSession, path, options: dict | None = None) -> DataFrame:
     """(path, header) for each input file, computed on executors.
 
     The file scan makes one partition per ~128 MB of files; those are merged
-    (narrowly, no shuffle) so each header task handles a few dozen files."""
+    (narrowly, no shuffle) so each header task handles a few dozen files.  Files
+    under a codec the probe cannot open are read by Spark's text reader."""
+    options = options or {}
+    comment = options.get("comment")
     files = file_paths(spark, path)
+    coded = [r["path"] for r in files.where(F.col("path").rlike(_CODED)).collect()]
     n = files.rdd.getNumPartitions()
-    return files.coalesce(max(1, n // 32)).mapInPandas(first_lines, "path string, header string")
+    probe = first_lines(options.get("encoding", "utf-8"), comment)
+    plain = files.where(~F.col("path").rlike(_CODED)).coalesce(max(1, n // 32)).mapInPandas(probe, "path string, header string")
+    if not coded:
+        return plain
+    lines = spark.read.text(coded).select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("value"),
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"),
+    )
+    lines = lines.where(F.trim("value") != "")
+    if comment:
+        lines = lines.where(~F.startswith("value", F.lit(comment)))
+    return plain.unionByName(lines.groupBy("path").agg(F.min_by("value", "at").alias("header")))
 
 
 def parse_header(line: str, sep: str = ",", quote: str = '"') -> list[str]:
@@ -67,7 +90,7 @@ def parse_header(line: str, sep: str = ",", quote: str = '"') -> list[str]:
     return out
 
 
-def csv_layouts(spark: SparkSession, path, sep: str = ",") -> list[tuple[list[str], list[str]]]:
+def csv_layouts(spark: SparkSession, path, sep: str = ",", **options) -> list[tuple[list[str], list[str]]]:
     """[(column names, files)] per distinct header line.
 
     Only the distinct header lines and their file paths reach the driver --
@@ -75,7 +98,7 @@ def csv_layouts(spark: SparkSession, path, sep: str = ",") -> list[tuple[list[st
     # Paths are gathered per (header, hash bucket): a header shared by millions of
     # files is spread over PATH_BUCKETS tasks instead of one; lists merge below.
     grouped = (
-        file_headers(spark, path)
+        file_headers(spark, path, options)
         .where(F.col("header").isNotNull())
         .groupBy("header", F.pmod(F.xxhash64("path"), F.lit(PATH_BUCKETS)).alias("_bucket"))
         .agg(F.collect_list("path").alias("paths"))
@@ -84,41 +107,74 @@ def csv_layouts(spark: SparkSession, path, sep: str = ",") -> list[tuple[list[st
     by_header: dict[str, list[str]] = {}
     for r in grouped:
         by_header.setdefault(r["header"], []).extend(r["paths"])
-    return [(parse_header(h, sep), sorted(by_header[h])) for h in sorted(by_header)]
+    quote = options.get("quote") or '"'
+    return [(parse_header(h, sep, quote), sorted(by_header[h])) for h in sorted(by_header)]
+
+
+_PARTITION_FOLDER = re.compile(r"/[^/=]+=[^/]*(?=/)")
+
+
+def _without_scheme(path: str) -> str:
+    return re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:/+", "/", path)
 
 
-def read_csv_layout(spark: SparkSession, names: list[str], files: list[str], **options) -> DataFrame:
+def by_base(files: list[str], roots: list[str]) -> list[tuple[str | None, list[str]]]:
+    """Files grouped by the folder above their first ``name=value`` folder below one
+    of the ``roots`` they were listed from (None: no such folder)."""
+    plain = sorted((_without_scheme(r).rstrip("/") for r in roots), key=len, reverse=True)
+    groups: dict[str | None, list[str]] = {}
+    for f in files:
+        own = _without_scheme(f)
+        root = next((r for r in plain if own.startswith(r + "/")), None)
+        skip = len(f) - len(own) + len(root) if root is not None else len(f)
+        m = _PARTITION_FOLDER.search(f, skip)
+        groups.setdefault(f[: m.start()] if m else None, []).append(f)
+    return list(groups.items())
+
+
+def read_csv_layout(spark: SparkSession, names: list[str], files: list[str], roots=(), **options) -> DataFrame:
+    """All-STRING rows of files of one header; folders ``name=value`` below
+    ``roots`` become columns, as in a read of the whole folder."""
     schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
-    return spark.read.schema(schema).option("header", True).options(**options).csv(files)
+    parts = []
+    for base, group in by_base(files, list(roots)):
+        r = spark.read.schema(schema).option("header", True).options(**options)
+        parts.append((r.option("basePath", base) if base else r).csv(group))
+    return parts[0] if len(parts) == 1 else union_by_name(parts)
+
+
+def _roots(path) -> list[str]:
+    return [path] if isinstance(path, str) else list(path)
 
 
 def read_sales_csv(
-    spark: SparkSession, path, spec: CanonicalSpec = BATCH_SPEC, *, sep: str = ",", required=(), layouts=None, **options
+    spark: SparkSession, path, spec: CanonicalSpec = BATCH_SPEC, *, sep: str = ",", required=(), layouts=None, roots=None, **options
 ) -> DataFrame:
     """Canonical rows from a folder of CSV files whose headers may differ.
 
     ``required`` names canonical fields (e.g. ``"order_id"``) every layout must
     provide; a layout without one fails here, before anything is written.
-    ``layouts`` reuses a ``csv_layouts`` result instead of probing again."""
+    ``layouts`` reuses a ``csv_layouts`` result instead of probing again; ``roots``
+    are the folders the files were listed from (default: ``path``)."""
     parts = []
-    for names, files in layouts if layouts is not None else csv_layouts(spark, path, sep):
-        raw = read_csv_layout(spark, names, files, sep=sep, **options)
+    for names, files in layouts if layouts is not None else csv_layouts(spark, path, sep, **options):
+        raw = read_csv_layout(spark, names, files, roots or _roots(path), sep=sep, **options)
         if required:
             validate_required(raw, required, spec)
         parts.append(canonicalise(raw, spec))
     if not parts:
         raise ValueError(f"no CSV files with a header under {path}")
-    return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return union_by_name(parts)
 
 
 def read_raw_by_header(spark: SparkSession, path, *, sep: str = ",", layouts=None, **options) -> DataFrame:
     """All-STRING raw rows of every layout, aligned by column *name*."""
     if layouts is None:
-        layouts = csv_layouts(spark, path, sep)
-    parts = [read_csv_layout(spark, n, f, sep=sep, **options) for n, f in layouts]
+        layouts = csv_layouts(spark, path, sep, **options)
+    parts = [read_csv_layout(spark, n, f, _roots(path), sep=sep, **options) for n, f in layouts]
     if not parts:
         raise ValueError(f"no CSV files with a header under {path}")
-    return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return union_by_name(parts)
 
 
 def read_raw(spark: SparkSession, path, fmt: str = "csv", how: str = "inferred", **options) -> DataFrame:
@@ -159,14 +215,63 @@ def read_sales(
     """Canonical sales rows from raw files of any supported format."""
     if fmt == "csv":
         return read_sales_csv(spark, path, spec, required=required, **options)
-    # Each given path is one layout (a drop folder): its files are merged by name
-    # (``mergeSchema``), canonicalised, and the layouts unioned.  Canonical columns
-    # have fixed types, so drops that disagree on a type (INT vs BIGINT quantity,
+    paths = [path] if isinstance(path, str) else list(path)
+    if fmt == "json":
+        return _sales_json(spark, paths, spec, required, options)
+    # Parquet: the files of one footer schema are one layout.  Canonical columns
+    # have fixed types, so files that disagree on a type (INT vs BIGINT quantity,
     # which Parquet refuses to merge) still union cleanly.
     parts = []
-    for p in [path] if isinstance(path, str) else list(path):
-        raw = read_raw(spark, p, fmt, **options)
+    for files in parquet_layouts(spark, paths):
+        raw = spark.read.options(**options).parquet(*files)
         if required:
             validate_required(raw, required, spec)
-        parts.append(canonicalise(raw, spec, coalesce_aliases=True))
+        parts.append(canonicalise(raw, spec))
+    if not parts:
+        raise ValueError(f"no files under {path}")
+    return union_by_name(parts)
+
+
+def parquet_layouts(spark: SparkSession, paths: list[str]) -> list[list[str]]:
+    """Files grouped by footer schema (one metadata read per file, in parallel)."""
+    files = [r["path"] for r in file_paths(spark, paths).where(~F.col("path").rlike(r"/[_.][^/]*$")).collect()]
+    with ThreadPoolExecutor(16) as pool:
+        schemas = list(pool.map(lambda f: spark.read.parquet(f).schema.json(), files))
+    groups: dict[str, list[str]] = {}
+    for f, schema in zip(files, schemas):
+        groups.setdefault(schema, []).append(f)
+    return [sorted(groups[k]) for k in sorted(groups)]
+
+
+RECORD_COLUMN = "_record"
+
+
+def _key_path(name: str) -> str:
+    """JSON path of a top-level key that may hold dots, blanks or one kind of quote."""
+    return f'$["{name}"]' if '"' not in name else f"$['{name}']"
+
+
+def _sales_json(spark: SparkSession, paths: list[str], spec: CanonicalSpec, required, options) -> DataFrame:
+    """JSON records carry their own names: each is kept as one VARIANT beside the
+    columns, which tells a key that is absent from one that holds null."""
+    schema = spark.read.options(**options).json(paths).schema
+    records = spark.read.options(**options).option("singleVariantColumn", RECORD_COLUMN).json(paths)
+    raw = records.select(
+        RECORD_COLUMN,
+        *[F.try_variant_get(RECORD_COLUMN, _key_path(f.name), f.dataType.simpleString()).alias(f.name) for f in schema.fields],
+    )
+    if required:
+        validate_required(raw, required, spec)
+    has = lambda name: F.variant_get(RECORD_COLUMN, _key_path(name), "variant").isNotNull()
+    return canonicalise(raw, spec, present=has).drop(RECORD_COLUMN)
+
+
+def union_by_name(parts: list[DataFrame]) -> DataFrame:
+    """Union by name; columns of one name but several types become STRING."""
+    kinds: dict[str, set] = {}
+    for df in parts:
+        for f in df.schema.fields:
+            kinds.setdefault(f.name.lower(), set()).add(f.dataType.simpleString())
+    mixed = {n for n, k in kinds.items() if len(k) > 1}
+    parts = [df.select(*[F.col(f"`{c}`").cast("string").alias(c) if c.lower() in mixed else F.col(f"`{c}`") for c in df.columns]) for df in parts]
     return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

@@ -23,8 +23,19 @@ def arrow_uri(path: str) -> str:
     return f"{_ARROW_SCHEMES.get(scheme.lower(), scheme)}{sep}{rest}" if sep else path
 
 
-def read_first_line(path: str, max_bytes: int = 1 << 20) -> str | None:
-    """First line of a (possibly gzip-compressed) file."""
+def _lines(fh):
+    """Lines of a binary stream, however long."""
+    held = b""
+    while block := fh.read(1 << 16):
+        *whole, held = (held + block).split(b"\n")
+        yield from whole
+    if held:
+        yield held
+
+
+def read_first_line(path: str, encoding: str = "utf-8", comment: str | None = None) -> str | None:
+    """First line of a (possibly gzip-compressed) file that is neither blank nor a
+    comment; None if there is none."""
     if path.startswith("file:"):
         local = path[5:]
         while local.startswith("//"):
@@ -36,20 +47,23 @@ def read_first_line(path: str, max_bytes: int = 1 << 20) -> str | None:
         filesystem, inner = pafs.FileSystem.from_uri(arrow_uri(path))
         opener = functools.partial(filesystem.open_input_stream, inner)
     with opener() as fh:
-        stream = gzip.GzipFile(fileobj=fh) if path.endswith(".gz") else fh
-        head = stream.read(max_bytes)
-    if not head:
-        return None
-    line = head.split(b"\n", 1)[0].rstrip(b"\r")
-    return line.decode("utf-8-sig", errors="replace")
+        for raw in _lines(gzip.GzipFile(fileobj=fh) if path.endswith(".gz") else fh):
+            line = raw.decode(encoding, errors="replace").lstrip("\ufeff").rstrip("\r")
+            if line.strip() and not (comment and line.startswith(comment)):
+                return line
+    return None
 
 
-def first_lines(batches):
+def first_lines(encoding: str = "utf-8", comment: str | None = None):
     """``mapInPandas`` body: (path) batches -> (path, header) batches."""
-    import pandas as pd
 
-    for pdf in batches:
-        yield pd.DataFrame({"path": pdf["path"], "header": [read_first_line(p) for p in pdf["path"]]})
+    def run(batches):
+        import pandas as pd
+
+        for pdf in batches:
+            yield pd.DataFrame({"path": pdf["path"], "header": [read_first_line(p, encoding, comment) for p in pdf["path"]]})
+
+    return run
 
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -1,28 +1,25 @@
 """Incremental file ingest with Structured Streaming.
 
 files arriving in a folder (csv / json / parquet)
-  -> file source (new files discovered per micro-batch, progress in the checkpoint)
-  -> the same canonicaliser as batch (stateless projection)
-  -> append-only Parquet file sink (its ``_spark_metadata`` log makes the output
-     exactly-once: readers see only committed files, a restart re-runs no batch)
+  -> file source over *paths* (new files discovered per micro-batch, progress in
+     the checkpoint; contents are not read here)
+  -> per micro-batch, the batch readers: every file by its own header, footer or
+     record names, then the same canonicaliser
+  -> one Parquet folder per micro-batch, named by its id and overwritten if the
+     batch is run again after a failure, so no row is written twice
   -> optional catalog registration once the first batch is committed.
 
-Schema handling.  A file stream needs its schema up front.  It is inferred from
-the newest ``SCHEMA_SAMPLE_FILES`` files (CSV: their header lines only) and
-stored beside the checkpoint (``_ingest_schema``); a restart reuses it and
-appends any new columns found (the "add new columns" evolution mode), so the
-work at start is bounded however many files the landing folder holds.  CSV files are read into one VARIANT
-column per row (``singleVariantColumn``), which keys every value by *its own
-file's* header -- reordered or renamed headers across files stay correct.
-VARIANT types each value, so zero-padded ids lose their zeros; pass an explicit
-all-STRING ``schema`` (checked against each header) when ids must keep them.
+Nothing about columns is fixed at the start: a header that changes while the
+stream runs, or a column never seen before, is read like any other, and unknown
+columns are kept as text beside the canonical ones.  ``mergeSchema`` shows them
+next to older batches that lack them.
 """
 
 from __future__ import annotations
 
-import json
 import time
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,119 +27,65 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.canonical import canonicalise
 from ..sinks.tables import conform, register_table
-from ..sources.files import csv_layouts
-from ..spec import STREAM_SPEC, CanonicalSpec
-
-VARIANT_COL = "_raw"
-SCHEMA_DIR = "_ingest_schema"
-SCHEMA_SAMPLE_FILES = 1000
-
-
-# ----------------------------------------------------------- schema store ---
-
-def _load_stored(spark: SparkSession, checkpoint: str) -> dict | None:
-    try:
-        rows = spark.read.text(f"{checkpoint.rstrip('/')}/{SCHEMA_DIR}").collect()
-    except Exception:  # noqa: BLE001 - nothing stored yet
-        return None
-    return json.loads(rows[0][0]) if rows else None
-
-
-def _store(spark: SparkSession, checkpoint: str, doc: dict) -> None:
-    text = json.dumps(doc, sort_keys=True)
-    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(
-        f"{checkpoint.rstrip('/')}/{SCHEMA_DIR}"
+from ..sources.files import read_sales
+from ..spec import CANONICAL_COLUMNS, STREAM_SPEC, CanonicalSpec
+
+BATCH_COLUMN = "batch_id"
+MAX_FILES_PER_BATCH = 1000  # paths a micro-batch takes; the rest follow in the next ones
+
+_LISTING = T.StructType(
+    [
+        T.StructField("path", T.StringType()),
+        T.StructField("modificationTime", T.TimestampType()),
+        T.StructField("length", T.LongType()),
+        T.StructField("content", T.BinaryType()),
+    ]
+)
+
+
+def new_files(spark: SparkSession, path: str, max_files: int = MAX_FILES_PER_BATCH) -> DataFrame:
+    """Stream of the paths of files landing under ``path``."""
+    return (
+        spark.readStream.format("binaryFile").schema(_LISTING).option("maxFilesPerTrigger", max_files).load(path).select("path")
     )
 
 
-def sample_files(spark: SparkSession, path: str, n: int) -> list[str]:
-    """The ``n`` most recently modified input files (metadata-only listing;
-    a bounded top-n, so a landing folder of millions of files costs n paths)."""
-    listing = spark.read.format("binaryFile").load(path).select("path", "modificationTime")
-    top = listing.orderBy(F.desc("modificationTime"), F.desc("path")).limit(n)
-    return [r["path"] for r in top.collect()]
-
-
-def _sampled_csv_keys(spark: SparkSession, files: list[str], options: dict) -> list[str]:
-    """Column names over the sampled files, from their header lines only."""
-    keys: list[str] = []
-    for names, _ in csv_layouts(spark, files, options.get("sep", ",")):
-        keys += [n for n in names if n not in keys]
-    return keys
-
-
-def resolve_stream_schema(
-    spark: SparkSession, path: str, fmt: str, checkpoint: str, options: dict, sample: int = SCHEMA_SAMPLE_FILES
-) -> dict:
-    """Schema document for this start: the stored one plus any new columns
-    found in the ``sample`` newest files (the first start infers from them)."""
-    stored = _load_stored(spark, checkpoint)
-    files = sample_files(spark, path, sample)
-    if not files and not stored:
-        raise ValueError(f"no input files under {path} to infer a schema from; pass schema=")
-    if fmt == "csv":
-        keys = _sampled_csv_keys(spark, files, options) if files else []
-        old = stored["keys"] if stored else []
-        doc = {"format": "csv", "keys": old + [k for k in keys if k not in old]}
+def read_drop(
+    spark: SparkSession, paths: list[str], fmt: str, spec: CanonicalSpec, schema: T.StructType | None = None, options: dict | None = None, root: str | None = None
+) -> DataFrame | None:
+    """Canonical rows of some files, unknown columns as text; None if they hold none."""
+    options = options or {}
+    if schema is not None:
+        r = spark.read.options(**options).schema(schema)
+        if fmt == "csv":  # a header that does not match raises instead of shifting values
+            r = r.option("header", True).option("enforceSchema", False)
+        rows = canonicalise(r.format(fmt).load(paths), spec)
     else:
-        reader = spark.read.format(fmt).options(**options)
-        if fmt == "parquet":
-            reader = reader.option("mergeSchema", True)  # every sampled footer, not just one
-        inferred = reader.load(files).schema if files else T.StructType()
-        if stored:
-            base = T.StructType.fromJson(json.loads(stored["schema"]))
-            names = {f.name for f in base.fields}
-            for f in inferred.fields:
-                if f.name not in names:
-                    base = base.add(f)
-            inferred = base
-        doc = {"format": fmt, "schema": inferred.json()}
-    if doc != stored:
-        _store(spark, checkpoint, doc)
-    return doc
-
-
-# ------------------------------------------------------------------ source ---
-
-def variant_columns(keys: list[str]) -> list:
-    """One STRING column per key; keys equal up to case become one column."""
-    groups: dict[str, list[str]] = {}
-    for k in keys:
-        groups.setdefault(k.strip().lower(), []).append(k)
-    cols = []
-    for members in groups.values():
-        gets = [
-            F.expr(f"try_variant_get({VARIANT_COL}, '$[\"{k.replace(chr(39), '')}\"]', 'string')")
-            for k in members
-        ]
-        cols.append((gets[0] if len(gets) == 1 else F.coalesce(*gets)).alias(members[0].strip()))
-    return cols
-
-
-def stream_source(
-    spark: SparkSession,
-    path: str,
-    fmt: str,
-    doc: dict,
-    *,
-    schema: T.StructType | None = None,
-    max_files_per_trigger: int | None = None,
-    options: dict | None = None,
-) -> DataFrame:
-    r = spark.readStream.format(fmt).options(**(options or {}))
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    if fmt == "csv":
-        r = r.option("header", True)
-        if schema is not None:
-            return r.schema(schema).option("enforceSchema", False).load(path)
-        raw = r.option("singleVariantColumn", VARIANT_COL).load(path)
-        return raw.select(*variant_columns(doc["keys"]))
-    return r.schema(schema or T.StructType.fromJson(json.loads(doc["schema"]))).load(path)
+        try:
+            extra = {"roots": [root]} if fmt == "csv" and root else {}
+            rows = read_sales(spark, paths, fmt, spec, **options, **extra)
+        except ValueError as e:  # only empty files
+            if "no CSV files" in str(e):
+                return None
+            raise
+    rows = conform(rows)
+    return rows.select(*[F.col(f"`{c}`") if c in CANONICAL_COLUMNS else F.col(f"`{c}`").cast("string").alias(c) for c in rows.columns])
+
+
+def _write_batch(output_path: str, fmt: str, spec: CanonicalSpec, schema, partition_by: str | None, options: dict, root: str | None = None):
+    def write(batch: DataFrame, batch_id: int) -> None:
+        paths = [r["path"] for r in batch.collect()]  # at most max_files_per_trigger
+        rows = read_drop(batch.sparkSession, paths, fmt, spec, schema, options, root) if paths else None
+        if rows is None:
+            return
+        w = rows.write.mode("overwrite")
+        if partition_by and partition_by in rows.columns:
+            w = w.partitionBy(partition_by)
+        w.parquet(f"{output_path.rstrip('/')}/{BATCH_COLUMN}={batch_id}")
+
+    return write
 
 
-# ------------------------------------------------------------------- query ---
-
 def start_ingest(
     spark: SparkSession,
     source_path: str,
@@ -158,52 +101,47 @@ def start_ingest(
     partition_by: str | None = None,
     options: dict | None = None,
 ) -> StreamingQuery:
-    """Start the ingest stream; the caller owns the returned query."""
-    options = dict(options or {})
-    doc = resolve_stream_schema(spark, source_path, fmt, checkpoint_path, options) if schema is None else {}
-    src = stream_source(
-        spark, source_path, fmt, doc, schema=schema,
-        max_files_per_trigger=max_files_per_trigger, options=options,
-    )
-    out = conform(canonicalise(src, spec, coalesce_aliases=True))
+    """Start the ingest stream; the caller owns the returned query.
+
+    A failure between writing a batch and committing it in the checkpoint makes
+    the restart write the same files into the same folder again.  An output folder
+    belongs to one checkpoint: a new checkpoint starts counting batches anew."""
+    files = new_files(spark, source_path, max_files_per_trigger or MAX_FILES_PER_BATCH)
     w = (
-        out.writeStream.format("parquet")
+        files.writeStream.foreachBatch(_write_batch(output_path, fmt, spec, schema, partition_by, dict(options or {}), source_path))
         .option("checkpointLocation", checkpoint_path)
         .outputMode("append")
     )
-    if partition_by and partition_by in out.columns:
-        w = w.partitionBy(partition_by)
     if processing_time:
         w = w.trigger(processingTime=processing_time)
     elif available_now:
         w = w.trigger(availableNow=True)
-    return w.start(output_path)
+    return w.start()
 
 
 def register_after_first_commit(
     spark: SparkSession, query: StreamingQuery, table_name: str, output_path: str, timeout_s: float = 600.0
 ) -> bool:
     """Register the sink as a table once a batch has been committed (a table over
-    an empty, log-less folder would fix an empty schema)."""
+    an empty folder would fix an empty schema)."""
     deadline = time.time() + timeout_s
     while time.time() < deadline:
         done = not query.isActive
         if any(p.get("numInputRows", 0) > 0 for p in query.recentProgress) or done:
             try:
                 spark.read.parquet(output_path).schema  # noqa: B018 - committed output exists
-            except Exception:  # noqa: BLE001
+            except AnalysisException:  # nothing there yet
                 if done:
                     return False
             else:
-                register_table(spark, table_name, output_path, partitioned=False)
+                register_table(spark, table_name, output_path)
                 return True
         time.sleep(0.5)
     return False
 
 
 def run_available(spark: SparkSession, source_path: str, output_path: str, checkpoint_path: str, **kw) -> DataFrame:
-    """Process every file present now (``availableNow``), then return the sink
-    contents read back through its commit log."""
+    """Process every file present now (``availableNow``), then return the sink."""
     q = start_ingest(spark, source_path, output_path, checkpoint_path, available_now=True, **kw)
     q.awaitTermination()
     if q.exception() is not None:
@@ -212,6 +150,6 @@ def run_available(spark: SparkSession, source_path: str, output_path: str, check
 
 
 def read_sink(spark: SparkSession, output_path: str) -> DataFrame:
-    """Committed sink rows; ``mergeSchema`` so columns added by a later start
-    (schema evolution) are visible next to older files that lack them."""
-    return spark.read.option("mergeSchema", True).parquet(output_path)
+    """Rows of all batches; ``mergeSchema`` so columns added by a later batch are
+    visible next to older files that lack them."""
+    return spark.read.option("mergeSchema", True).parquet(output_path).drop(BATCH_COLUMN)

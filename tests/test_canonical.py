@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerline.functions.resolve import first_existing, resolve
 from ledgerline.operators.canonical import canonicalise, validate_required
@@ -96,15 +97,17 @@ def test_stream_spec_has_no_order_quantity_or_derived_price(spark):
     assert stream["quantity"] == 1 and stream["total_price"] == 0.0
 
 
-def test_coalesce_aliases_per_row(spark):
+def test_presence_per_row_decides_not_the_value(spark):
     df = spark.createDataFrame(
-        [("1", "2024-01-01", None, "5"), ("2", None, "2024-02-01", None)],
-        "order_id string, order_date string, date string, total_price string",
+        [("1", "2024-01-01", "9", "5", True), ("2", None, "3", None, True), ("3", None, "3", None, False)],
+        "order_id string, order_date string, price string, total_price string, has boolean",
     )
-    got = canonicalise(df, coalesce_aliases=True).orderBy("order_id").collect()
-    assert [r["sale_date"] for r in got] == [dt.date(2024, 1, 1), dt.date(2024, 2, 1)]
-    first_only = canonicalise(df).orderBy("order_id").collect()
-    assert first_only[1]["sale_date"] is None
+    first = ("order_date", "total_price")
+    present = lambda n: F.col("has") if n in first else F.lit(True)
+    got = canonicalise(df, present=present).orderBy("order_id").collect()
+    assert [r["total_price"] for r in got] == [5.0, None, 3.0]  # NULL in a present alias stays NULL
+    assert [str(r["sale_date"]) for r in got] == ["2024-01-01", "None", "None"]
+    assert {r["quantity"] for r in got} == {1} and {r["category_canon"] for r in got} == {"unknown"}
 
 
 def test_validate_required(spark):

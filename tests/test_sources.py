@@ -110,9 +110,8 @@ def test_json_records_with_different_names(spark, scratch):
     fx.write(scratch, "b.json", '{"order_id": "4", "order_date": "2024-01-04", "total_price": 2.5, "qty": 2}\n')
     df = read_sales(spark, scratch, fmt="json")
     got = sorted((r["order_id"], str(r["sale_date"]), r["quantity"], r["total_price"]) for r in df.collect())
-    # names are coalesced per record; a field absent from a record but present in
-    # the merged schema is NULL (resolution happens on the merged schema)
-    assert got == [("3", "2024-01-03", None, 1.5), ("4", "2024-01-04", 2, 2.5)]
+    # presence is told per record: a record without a quantity takes the default
+    assert got == [("3", "2024-01-03", 1, 1.5), ("4", "2024-01-04", 2, 2.5)]
 
 
 def test_curated_mode_keeps_malformed_lines(spark, scratch):
@@ -132,3 +131,58 @@ def test_connector_schemes_map_to_arrow():
     assert arrow_uri("s3n://bucket/a.csv") == "s3://bucket/a.csv"
     assert arrow_uri("hdfs://nn:8020/raw/a.csv") == "hdfs://nn:8020/raw/a.csv"
     assert arrow_uri("/local/a.csv") == "/local/a.csv"
+
+
+def _orders(df):
+    return sorted((r["order_id"], str(r["sale_date"]), r["total_price"]) for r in df.collect())
+
+
+def test_partition_folder_columns_are_kept(spark, scratch):
+    from ledgerline.sources.files import read_sales_csv
+
+    import os
+
+    for day in ("2024-03-01", "2024-03-02"):
+        fx.write(os.path.join(scratch, "land", f"sale_date={day}"), "a.csv", f"order_id,total_price\n{day[-1]},2.5\n")
+    df = read_sales_csv(spark, os.path.join(scratch, "land"))
+    assert _orders(df) == [("1", "2024-03-01", 2.5), ("2", "2024-03-02", 2.5)]
+
+
+def test_codecs_blank_lines_quotes_and_long_headers(spark, scratch):
+    import bz2
+    import gzip
+    import os
+
+    from ledgerline.sources.files import read_sales_csv
+
+    text = "order_id,order_date,total_price\n1,2024-01-01,2.5\n"
+    for i, (name, pack) in enumerate([("a.csv.bz2", bz2.compress), ("b.csv.gz", gzip.compress), ("c.csv", bytes)]):
+        with open(os.path.join(scratch, name), "wb") as fh:
+            fh.write(pack(text.replace("\n1,", f"\n{i},").encode()))
+    fx.write(scratch, "d.csv", "\n\norder_date,order_id,total_price\n2024-01-01,3,2.5\n")
+    assert _orders(read_sales_csv(spark, scratch)) == [(str(i), "2024-01-01", 2.5) for i in range(4)]
+
+    other = os.path.join(scratch, "other")
+    fx.write(other, "e.csv", "# made by hand\n'order_id';'order;date';'total_price'\n'1';'x';'2.5'\n")
+    df = read_sales_csv(spark, other, sep=";", quote="'", comment="#")
+    assert df.first()["order;date"] == "x" and df.first()["total_price"] == 2.5
+
+    wide = os.path.join(scratch, "wide")
+    names = [f"c{i:06d}{'x' * 600}" for i in range(2000)]  # a header of more than a megabyte
+    fx.write(wide, "f.csv", ",".join([*names, "order_id"]) + "\n" + "v," * 2000 + "9\n")
+    from ledgerline.sources.files import csv_layouts
+
+    assert csv_layouts(spark, wide)[0][0][-1] == "order_id"
+
+
+def test_parquet_files_are_read_by_their_own_columns(spark, scratch):
+    import os
+
+    from ledgerline.sources.files import read_sales
+
+    land = os.path.join(scratch, "p")
+    spark.createDataFrame([("1", None, 3.0)], "order_id string, total_price double, price double").coalesce(1).write.parquet(land)
+    spark.createDataFrame([("2", 3.0, 4)], "order_id string, price double, qty int").coalesce(1).write.mode("append").parquet(land)
+    got = {r["order_id"]: r for r in read_sales(spark, land, fmt="parquet").collect()}
+    assert got["1"]["total_price"] is None and got["1"]["quantity"] == 1
+    assert got["2"]["total_price"] == 3.0 and got["2"]["quantity"] == 4
