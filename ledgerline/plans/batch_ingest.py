@@ -21,7 +21,7 @@ from ..operators import marts
 from ..sinks.tables import publish, register_table, write_mart
 from ..sources.files import csv_layouts, read_raw, read_raw_by_header, read_sales, read_sales_csv
 from ..sources.raw import detected_columns, schema_preview
-from ..spec import BATCH_SPEC, DEFAULT_PARTITION_COLUMN, SAMPLE_ROWS_FOR_SCHEMA, CanonicalSpec
+from ..spec import BATCH_SPEC, DEFAULT_PARTITION_COLUMN, CanonicalSpec
 
 
 @dataclass
@@ -44,7 +44,7 @@ def run(
     table_name: str | None = "default.sales_canonical",
     input_format: str = "csv",
     partition_by: str | None = DEFAULT_PARTITION_COLUMN,
-    sample_rows: int = SAMPLE_ROWS_FOR_SCHEMA,
+    preview_fraction: float | None = None,
     overwrite: bool = False,
     layout: str = "clustered",
     spec: CanonicalSpec = BATCH_SPEC,
@@ -74,7 +74,7 @@ def run(
         table_name=table_name,
         partition_columns=cols,
         marts=written,
-        preview=schema_preview(raw, sample_rows),
+        preview=schema_preview(raw, preview_fraction),
         detected=detected_columns(raw, spec),
         table=table,
     )

@@ -15,14 +15,23 @@ import argparse
 
 from pyspark.sql import SparkSession
 
+from ..functions.resolve import first_existing
 from ..operators import cli
+from ..session import scratch_path
 from ..sinks.tables import write_mart
 from ..sources.files import read_raw_by_header
+from ..spec import CLI_PRODUCT_ALIASES, SELLER_ALIASES
 
 
 def run(spark: SparkSession, input_path: str, output_path: str, cols: cli.CliColumns = cli.CliColumns()) -> dict[str, str]:
-    df = read_raw_by_header(spark, input_path)
-    cli.require_columns(df, cols)
+    raw = read_raw_by_header(spark, input_path)
+    cli.require_columns(raw, cols)
+    # the raw files are parsed once, into a narrow table all reports read
+    keys = [k for k in (first_existing(a, raw.columns) for a in (SELLER_ALIASES, CLI_PRODUCT_ALIASES)) if k]
+    narrow = cli.coerce_named(raw, cols).select("date", "price_num", "qty_num", *[f"`{k}`" for k in dict.fromkeys(keys)])
+    path = scratch_path(spark, "cli-sales")
+    narrow.write.parquet(path)
+    df, cols = spark.read.parquet(path), cli.CliColumns("date", "price_num", "qty_num")
     outputs = {
         "daily_revenue": cli.daily_revenue(df, cols),
         "top_sellers": cli.top_sellers(df, cols),

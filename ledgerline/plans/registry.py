@@ -10,6 +10,7 @@ from our DataFrame plans -- so it is an independent check.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,10 +18,11 @@ from pyspark.sql import functions as F
 from ..operators import charts, cli, marts, reports
 from ..operators.canonical import canonicalise
 from ..session import scratch_path
-from ..sinks.tables import cluster
+from ..sinks.tables import cluster, compact, publish, register_table, write_mart
 from ..sources import raw
 from ..streaming.ingest import run_available
-from . import batch_ingest
+from . import batch_ingest, cli_report
+from .sql_reports import run_report
 from ..sources.driver import CANONICAL_SALES_SQL, SALES_VIEW_SQL, sales_view, table
 from ..spec import BATCH_SPEC, CANONICAL_COLUMNS
 
@@ -170,9 +172,7 @@ def q_preview_daily(spark, sf_dir):
 
 
 def q_schema_preview(spark, sf_dir):
-    # a sample preview needs no lookups: a join would shuffle whole dimension
-    # tables at scale just to show 1,000 rows
-    return raw.schema_preview(renamed_view(spark, sf_dir, LINE_FIELDS))
+    return raw.schema_preview(renamed_view(spark, sf_dir))
 
 
 def q_detected_columns(spark, sf_dir):
@@ -257,6 +257,102 @@ def q_batch_ingest(spark, sf_dir):
     return res.table.select(*CANONICAL_COLUMNS, "region")
 
 
+# ------------------------------------------------- sinks, tables and jobs ---
+
+
+def _published(spark, sf_dir, name: str):
+    """The canonical rows published in two appends, the second with one more raw
+    column, and registered after each; the table is read through the catalog."""
+    path = scratch_path(spark, name)
+    rows = q_canonical_sales(spark, sf_dir)
+    old = F.year("sale_date") < 1996
+    table_name = f"{name}_{path.rsplit('-', 1)[1]}"
+    for part in (rows.where(old), rows.where(~old | old.isNull()).withColumn("promo", F.lit("p"))):
+        publish(part, path, partition_by=None)
+        register_table(spark, table_name, path)
+    return spark.table(table_name)
+
+
+def q_appended_table(spark, sf_dir):
+    return _published(spark, sf_dir, "appended").select(*CANONICAL_COLUMNS, "region", "promo")
+
+
+def q_registered_reports(spark, sf_dir):
+    """The five SQL reports over the registered table, stacked."""
+    sales = _published(spark, sf_dir, "registered")
+    spark_name = f"reports_{scratch_path(spark, 'v').rsplit('-', 1)[1]}"
+    sales.createOrReplaceTempView(spark_name)
+    shapes = {
+        "total_revenue_units": ("NULL", "NULL", "total_revenue", "total_units_sold"),
+        "daily_revenue_365d": ("sale_date", "NULL", "revenue", "units_sold"),
+        "top_products_20": ("product_id", "NULL", "revenue", "orders"),
+        "seller_performance": ("seller_id", "NULL", "revenue", "orders"),
+        "cohort_retention": ("cohort_month", "activity_month", "revenue", "active_customers"),
+    }
+    parts = [
+        run_report(spark, name, spark_name, as_of="latest").selectExpr(
+            f"'{name}' AS report", f"CAST({a} AS STRING) AS key", f"CAST({b} AS STRING) AS second_key", f"{m} AS revenue", f"{n} AS n"
+        )
+        for name, (a, b, m, n) in shapes.items()
+    ]
+    return reduce(lambda x, y: x.unionByName(y), parts)
+
+
+def q_published_marts(spark, sf_dir):
+    """The batch job's three marts, written and read back, stacked."""
+    sales, root = q_canonical_sales(spark, sf_dir), scratch_path(spark, "marts")
+    outputs = {
+        "daily": (marts.daily_aggregates(sales), "sale_date", "orders"),
+        "top_products": (marts.top_products_mart(sales), "product_id_canon", "NULL"),
+        "top_categories": (marts.top_categories(sales), "category_canon", "NULL"),
+    }
+    parts = [
+        spark.read.parquet(write_mart(df, root, name)).selectExpr(
+            f"'{name}' AS mart", f"CAST({key} AS STRING) AS key", "revenue", f"CAST({n} AS BIGINT) AS orders"
+        )
+        for name, (df, key, n) in outputs.items()
+    ]
+    return reduce(lambda x, y: x.unionByName(y), parts)
+
+
+def q_cli_job(spark, sf_dir):
+    """The command-line job over raw CSV; its daily report with the rolling mean, read back."""
+    base = scratch_path(spark, "cli-job")
+    view = sales_view(spark, sf_dir, ("seller_id", "product_id", "order_date", "total_price", "quantity"))
+    view.write.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(f"{base}/raw")
+    written = cli_report.run(spark, f"{base}/raw", f"{base}/out")
+    schema = "date date, revenue double, units_sold long, rolling_7d_revenue double"
+    return spark.read.schema(schema).option("header", True).csv(written["daily_with_rolling"])
+
+
+def q_compacted_files(spark, sf_dir):
+    """Many small files per date compacted: rows and files of each date afterwards."""
+    base = scratch_path(spark, "compact")
+    rows = q_canonical_sales(spark, sf_dir).where(F.year("sale_date") == 1995)
+    for half in (0, 1):
+        publish(rows.where(F.length("order_id") % 2 == half), f"{base}/many", layout="as_is")
+    out = compact(spark, f"{base}/many", f"{base}/few")
+    files = spark.read.parquet(out).select("sale_date", F.col("_metadata.file_path").alias("file"))
+    return files.groupBy("sale_date").agg(F.count("*").alias("rows"), F.count_distinct("file").alias("files"))
+
+
+def q_drifting_stream(spark, sf_dir):
+    """Events land in three drops whose headers differ; the last has no user, no
+    amount and one column never seen before."""
+    base = scratch_path(spark, "drift")
+    events = table(spark, sf_dir, "events")
+    third = F.pmod(F.col("event_id"), F.lit(3))
+    eras = (
+        events.where(third == 0).select(F.col("event_id").alias("order_id"), F.col("ts").alias("timestamp"), F.col("user_id").alias("customer_id"), F.col("value").alias("amount")),
+        events.where(third == 1).select(F.col("value").alias("sale_amount"), F.col("ts").alias("order_datetime"), F.col("event_id").alias("Order_ID"), F.col("event_type").alias("category")),
+        events.where(third == 2).select(F.col("event_id").alias("order_id"), F.col("event_type").alias("note"), F.col("ts").alias("order_date")),
+    )
+    for era in eras:
+        era.coalesce(2).write.mode("append").option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(f"{base}/landing")
+    out = run_available(spark, f"{base}/landing", f"{base}/table", f"{base}/_checkpoint", max_files_per_trigger=2)
+    return out.select("order_id", "customer_id", "order_ts", "total_price", "quantity", "category_canon", "note")
+
+
 QUERIES: dict[str, Query] = {
     "total_revenue_units": q_total_revenue_units,
     "daily_aggregates": q_daily_aggregates,
@@ -286,6 +382,12 @@ QUERIES: dict[str, Query] = {
     "clustered_layout": q_clustered_layout,
     "stream_ingest": q_stream_ingest,
     "batch_ingest": q_batch_ingest,
+    "appended_table": q_appended_table,
+    "registered_reports": q_registered_reports,
+    "published_marts": q_published_marts,
+    "cli_job": q_cli_job,
+    "compacted_files": q_compacted_files,
+    "drifting_stream": q_drifting_stream,
 }
 
 
@@ -437,3 +539,53 @@ ORACLE: dict[str, str] = {
               'unknown' AS category_canon, CAST(NULL AS VARCHAR) AS seller_canon, event_type
        FROM events""",
 }
+
+
+def _stacked(first: str, parts: dict[str, tuple[str, str]]) -> str:
+    return " UNION ALL ".join(f"SELECT '{name}' AS {first}, {cols} FROM ({sql})" for name, (cols, sql) in parts.items())
+
+
+_PREVIEW = (
+    ("order_id", "order_id", "string"), ("customer_id", "customer_id", "string"), ("sku", "product_id", "string"),
+    ("merchant", "seller_id", "string"), ("order_datetime", "order_date", "timestamp_ntz"), ("department", "category", "string"),
+    ("region", "region", "string"), ("units", "quantity", "double"), ("revenue", "total_price", "double"),
+)
+
+ORACLE |= {
+    "schema_preview": f"WITH v AS ({SALES_VIEW_SQL})\n"
+    + " UNION ALL ".join(
+        f"""SELECT CAST({i} AS INTEGER) AS position, '{name}' AS column, '{kind}' AS data_type,
+                   COUNT(*) - COUNT({source}) AS nulls, MIN(CAST({source} AS VARCHAR)) AS smallest FROM v"""
+        for i, (name, source, kind) in enumerate(_PREVIEW)
+    ),
+    "appended_table": ORACLE["canonical_sales"].replace(
+        "seller_canon, region", "seller_canon, region, CASE WHEN year(sale_date) < 1996 THEN NULL ELSE 'p' END AS promo"
+    ),
+    "registered_reports": _stacked(
+        "report",
+        {
+            "total_revenue_units": ("NULL::VARCHAR AS key, NULL::VARCHAR AS second_key, total_revenue AS revenue, total_units_sold AS n", ORACLE["total_revenue_units"]),
+            "daily_revenue_365d": ("sale_date::VARCHAR, NULL, revenue, units_sold", ORACLE["daily_revenue_365d"]),
+            "top_products_20": ("product_id, NULL, revenue, orders", ORACLE["top_products_20"]),
+            "seller_performance": ("seller_id, NULL, revenue, orders", ORACLE["seller_performance"]),
+            "cohort_retention": ("cohort_month::VARCHAR, activity_month::VARCHAR, revenue, active_customers", ORACLE["cohort_retention"]),
+        },
+    ),
+    "published_marts": _stacked(
+        "mart",
+        {
+            "daily": ("sale_date::VARCHAR AS key, revenue, orders", ORACLE["daily_aggregates"]),
+            "top_products": ("product_id_canon, revenue, NULL", ORACLE["top_products_100"]),
+            "top_categories": ("category_canon, revenue, NULL", ORACLE["top_categories"]),
+        },
+    ),
+    "cli_job": ORACLE["rolling_7row_revenue"],
+    "compacted_files": _SALES + "SELECT sale_date, COUNT(*) AS rows, CAST(1 AS BIGINT) AS files FROM sales WHERE year(sale_date) = 1995 GROUP BY sale_date",
+    "drifting_stream": """
+       SELECT CAST(event_id AS VARCHAR) AS order_id,
+              CASE WHEN event_id % 3 = 0 THEN CAST(user_id AS VARCHAR) END AS customer_id, ts AS order_ts,
+              CASE WHEN event_id % 3 < 2 THEN value ELSE 0.0 END AS total_price, CAST(1 AS BIGINT) AS quantity,
+              CASE WHEN event_id % 3 = 1 THEN event_type ELSE 'unknown' END AS category_canon,
+              CASE WHEN event_id % 3 = 2 THEN event_type END AS note
+       FROM events""",
+}

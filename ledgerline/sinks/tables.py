@@ -9,8 +9,6 @@ append and a streaming sink never share a directory (the stream's
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -144,17 +142,7 @@ def cluster(
     return path
 
 
-def total_bytes(spark: SparkSession, path: str, fmt: str = "parquet") -> int:
-    """Sum of input file sizes, computed by a Spark job over ``_metadata``."""
-    sizes = (
-        spark.read.format(fmt).load(path)
-        .select("_metadata.file_path", "_metadata.file_size")
-        .groupBy("file_path")
-        .agg(F.max("file_size").alias("b"))
-        .agg(F.sum("b").alias("total"))
-        .first()
-    )
-    return int(sizes["total"] or 0)
+ADVISORY_SIZE = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 
 
 def compact(
@@ -165,11 +153,25 @@ def compact(
     partition_by=DEFAULT_PARTITION_COLUMN,
     by=CLUSTER_COLUMNS,
     target_file_bytes: int = TARGET_FILE_BYTES,
+    dates: tuple[str, str] | None = None,
     fmt: str = "parquet",
 ) -> str:
-    """Rewrite ``path`` into ~``target_file_bytes`` files at ``out_path`` (the
-    input is never overwritten in place).  The file count comes from the input
-    size (the REBALANCE's initial partition count); the layout is ``cluster``'s."""
-    n = max(1, math.ceil(total_bytes(spark, path, fmt) / target_file_bytes))
-    df = spark.read.format(fmt).load(path)
-    return cluster(df, out_path, by=by, partition_by=partition_by, num_partitions=n, fmt=fmt)
+    """Rewrite ``path`` into files of about ``target_file_bytes`` at ``out_path``
+    (the input is never overwritten in place).
+
+    The size is the advisory partition size of this one write, which adaptive
+    execution applies to the REBALANCE of the ``cluster`` layout.  ``dates`` (first,
+    last) restricts the rewrite to a range of the partition column, so a large
+    table is compacted a range at a time."""
+    df = spark.read.option("mergeSchema", True).format(fmt).load(path)
+    if dates is not None:
+        df = df.where(F.col(partition_columns(df, partition_by)[0]).between(*[F.lit(d).cast("date") for d in dates]))
+    before = spark.conf.get(ADVISORY_SIZE, None)
+    spark.conf.set(ADVISORY_SIZE, str(int(target_file_bytes)))
+    try:
+        return cluster(df, out_path, by=by, partition_by=partition_by, fmt=fmt)
+    finally:
+        if before is None:
+            spark.conf.unset(ADVISORY_SIZE)
+        else:
+            spark.conf.set(ADVISORY_SIZE, before)

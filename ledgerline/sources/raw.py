@@ -9,31 +9,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.resolve import resolve
-from ..spec import BATCH_SPEC, SAMPLE_ROWS_FOR_SCHEMA, CanonicalSpec
+from ..spec import BATCH_SPEC, CanonicalSpec
 
 
 def _rows_from_structs(df: DataFrame, structs) -> DataFrame:
     return df.select(F.inline(F.array(*structs)))
 
 
-def schema_preview(df: DataFrame, sample_rows: int = SAMPLE_ROWS_FOR_SCHEMA) -> DataFrame:
-    """One row per column: position, name, type, NULLs and smallest value in a
-    ``sample_rows`` sample.  The sample is a plain ``limit`` (a preview, not a
-    statistic); the type is the schema's, which covers the whole input."""
-    sample = df.limit(sample_rows)
+def schema_preview(df: DataFrame, fraction: float | None = None) -> DataFrame:
+    """One row per column: position, name, type, number of NULLs and smallest value
+    (as text).  One partial and one final aggregation over the whole input, or over
+    a random ``fraction`` of it, taken inside each task."""
     aggs = []
     for i, f in enumerate(df.schema.fields):
         c = F.col(f"`{f.name}`")
         aggs.append((F.count(F.lit(1)) - F.count(c)).alias(f"n{i}"))
         aggs.append(F.min(c.cast("string")).alias(f"s{i}"))
-    stats = sample.agg(*aggs)
+    stats = (df if fraction is None else df.sample(fraction)).agg(*aggs)
     structs = [
         F.struct(
             F.lit(i).alias("position"),
             F.lit(f.name).alias("column"),
             F.lit(f.dataType.simpleString()).alias("data_type"),
-            F.col(f"n{i}").alias("sample_nulls"),
-            F.col(f"s{i}").alias("sample_value"),
+            F.col(f"n{i}").alias("nulls"),
+            F.col(f"s{i}").alias("smallest"),
         )
         for i, f in enumerate(df.schema.fields)
     ]

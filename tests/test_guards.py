@@ -12,9 +12,8 @@ def _sources():
 
 # Driver-side actions allowed, each returning metadata-sized results only:
 ALLOWED_ACTIONS = {
-    ("streaming/ingest.py", "collect"),  # stored schema doc (one row); top-n sampled paths
-    ("sources/files.py", "collect"),  # distinct header lines with their file paths
-    ("sinks/tables.py", "first"),  # one total-bytes number
+    ("streaming/ingest.py", "collect"),  # the paths of one micro-batch (bounded by max_files_per_trigger)
+    ("sources/files.py", "collect"),  # file paths, and distinct header lines with theirs
 }
 
 

@@ -85,3 +85,29 @@ def test_cli_entry_point_as_a_process(scratch):
     lines = [ln for f in os.listdir(os.path.join(out, "daily_revenue")) if f.endswith(".csv")
              for ln in open(os.path.join(out, "daily_revenue", f)).read().splitlines()]
     assert "date,revenue,units_sold" in lines and "2024-01-04,2.5,4" in lines
+
+
+def test_cli_job_parses_the_raw_files_once(spark, scratch, monkeypatch):
+    from ledgerline.operators import cli
+
+    src = os.path.join(scratch, "raw")
+    fx.write(src, "a.csv", fx.F1)
+    seen = []
+    for name in ("daily_revenue", "top_sellers", "top_products", "rolling_rows_revenue"):
+        real = getattr(cli, name)
+        monkeypatch.setattr(cli, name, lambda df, cols, real=real: seen.append(df.inputFiles()) or real(df, cols))
+    cli_report.run(spark, src, os.path.join(scratch, "reports"))
+    assert len(seen) == 4 and all(f.endswith(".parquet") for files in seen for f in files)
+
+
+def test_columns_of_a_later_append_are_visible(spark, scratch):
+    src, out = os.path.join(scratch, "raw"), os.path.join(scratch, "table")
+    fx.write(src, "a.csv", fx.F1)
+    batch_ingest.run(spark, src, out, os.path.join(scratch, "m"), table_name="append_test_sales", overwrite=True)
+    later = os.path.join(scratch, "later")
+    fx.write(later, "b.csv", "order_id,order_date,total_price,promo x\n77,2024-02-01,2.5,P1\n")
+    res = batch_ingest.run(spark, later, out, os.path.join(scratch, "m"), table_name="append_test_sales")
+    for df in (res.table, spark.table("append_test_sales")):
+        assert {r["order_id"]: r["promo x"] for r in df.collect()}["77"] == "P1"
+        assert df.count() == 4
+    spark.sql("DROP TABLE append_test_sales")

@@ -72,9 +72,9 @@ def test_gzip_layout_read(spark, scratch):
 def test_schema_preview_and_detected(spark, scratch):
     fx.write(scratch, "a.csv", fx.F7)
     raw = read_raw_by_header(spark, scratch)
-    prev = {r["column"]: r for r in schema_preview(raw, 1000).collect()}
-    assert prev["order_id"]["data_type"] == "string" and prev["order_id"]["sample_value"] == "00012"
-    assert prev["quantity"]["sample_nulls"] == 1
+    prev = {r["column"]: r for r in schema_preview(raw).collect()}
+    assert prev["order_id"]["data_type"] == "string" and prev["order_id"]["smallest"] == "00012"
+    assert prev["quantity"]["nulls"] == 1
     det = {r["canonical"]: r for r in detected_columns(raw).collect()}
     assert det["order_ts"]["matched_column"] == "order_date" and det["order_ts"]["non_null_rows"] == 3
     assert det["unit_price"]["matched_column"] is None and det["unit_price"]["non_null_rows"] is None
