@@ -89,7 +89,7 @@ def estimate(patterns: dict[str, int], rounds: int = 200):
     keys = sorted(patterns)
     k = len(LABELLERS)
     count = np.array([patterns[p] for p in keys], float)
-    v = np.array([["-0+".index(c) for c in p] for p in keys]).reshape(len(keys), k)
+    v = np.array([["-0+".index(c) for c in p] for p in keys], int).reshape(len(keys), k)
     one_hot = v[:, :, None] == np.arange(3)
     good = np.array([0.05 if "-" in p else 0.95 for p in keys])
     share = 0.9
