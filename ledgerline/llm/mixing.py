@@ -127,9 +127,16 @@ def memberships(docs: DataFrame, model: Classifier) -> DataFrame:
 # ------------------------------------------------------------------- rates ---
 
 
-def _step(rate: Column, gradient: list[float], size: float) -> Column:
-    move = sum((F.col(f"p{i}") * F.lit(size * g) for i, g in enumerate(gradient)), F.lit(0.0))
-    return F.greatest(F.lit(0.0), rate - move)
+def _moved(rate: Column, moves: list[list[float]], domains: range) -> Column:
+    """The rate after some steps; a move is step length times relative error by domain.
+
+    The moves are one array literal, so every step of the fit has the same plan
+    and runs the same compiled code."""
+
+    def step(r, move):
+        return F.greatest(F.lit(0.0), r - sum((move[i] * F.col(f"p{i}") for i in domains), F.lit(0.0)))
+
+    return F.aggregate(F.lit(moves), rate, step)
 
 
 def solve(cells: DataFrame, targets: list[float], steps: int = STEPS, tolerance: float = TOLERANCE) -> DataFrame:
@@ -145,28 +152,31 @@ def solve(cells: DataFrame, targets: list[float], steps: int = STEPS, tolerance:
     goal = [max(1.0, t) for t in targets]
     k = range(len(goal))
     state = cells.withColumn("rate", F.lit(1.0))
-    tokens = [F.col("rate") * F.col("t") * F.col(f"p{i}") for i in k]
-    shared = [F.sum(tokens[i] * F.col(f"p{j}")) for i in k for j in k]
-    first = [float(x or 0.0) for x in state.agg(*[F.sum(x) for x in tokens], *shared).first()]
-    now, gram = first[: len(goal)], [first[len(goal) * (i + 1) : len(goal) * (i + 2)] for i in k]
+    tokens = [F.sum(F.col("rate") * F.col("t") * F.col(f"p{i}")) for i in k]
+    change = F.sum(F.col("t") * (F.col("rate") - F.col("last")) ** 2)
+    now = [float(x or 0.0) for x in state.agg(*tokens).first()]
     safe = size = 1.0 / max(max(n / g for n, g in zip(now, goal)), 1e-9)
     errors = [(n - g) / g for n, g in zip(now, goal)]
-    past = [math.inf]
+    past, moves, base = [math.inf], [], state
     for step in range(1, steps + 1):
         if all(abs(e) <= tolerance for e in errors):
             break
-        state = state.withColumn("rate", _step(F.col("rate"), errors, size))
-        if step % STEPS_PER_TABLE == 0:
-            state = saved(state, "rates")
-        new = [float(x or 0.0) for x in state.agg(*[F.sum(x) for x in tokens]).first()]
+        last = _moved(F.col("rate"), moves, k) if moves else F.col("rate")
+        moves.append([size * e for e in errors])
+        state = base.withColumns({"last": last, "rate": _moved(F.col("rate"), moves, k)})
+        *new, length = [float(x or 0.0) for x in state.agg(*tokens, change).first()]
+        state = state.drop("last")
+        if len(moves) == STEPS_PER_TABLE:
+            state = base = saved(state, "rates")
+            moves = []
         moved, now = [n - b for n, b in zip(new, now)], new
         if all(abs(m) <= STALLED * g for m, g in zip(moved, goal)):
             break  # the targets are out of reach, or the rest is not worth a step
         # next step length from the curvature met on this one (Barzilai and Borwein)
         turned = [m / g for m, g in zip(moved, goal)]
         errors = [(n - g) / g for n, g in zip(now, goal)]
-        curve = sum(turned[i] * gram[i][j] * turned[j] for i in k for j in k)
-        size = sum(m * x for m, x in zip(moved, turned)) / curve if curve > 0 else safe
+        curve = sum(m * x for m, x in zip(moved, turned))
+        size = length / curve if curve > 0 else safe
         cost = sum(e * e * g for e, g in zip(errors, goal))
         if cost > max(past[-5:]):
             size = safe
