@@ -1,7 +1,7 @@
 """I-Match fingerprints over a band of inverse document frequencies.
 
-1. Document frequencies of all terms over all documents: each task counts its
-   own terms first, one sum per term follows.
+1. Exact document frequencies over all documents, in two passes: terms frequent
+   within some task, then their counts everywhere.
 2. The lexicon is the terms whose share of the documents lies within a band.
    At most (mean distinct terms per document) / (lower share) terms can reach the
    lower share, whatever the size of the corpus, so the lexicon may be sent to
@@ -26,7 +26,8 @@ HIGH_SHARE = 0.10  # and at most in this one
 DENSITIES = (3, 5, 7, 9)  # subsets keep a term with probability 1 / 2^density
 SUBSETS = 16  # per density
 PUNCTUATION = b".,;:!?\"'()[]{}|#$%&*"
-TERMS_HELD = 1 << 20  # counts a task gathers before it passes them on
+MAX_LEXICON = 1 << 22  # terms, 32 MB; more is an error, never a cut
+TERMS_HELD = 1 << 22  # entries a task gathers before it merges them into its counts
 EMPTY = "-"
 
 
@@ -43,43 +44,97 @@ def terms(text: str | None):
     return out
 
 
-def _count_batches(batches):
-    import numpy as np
-    import pyarrow as pa
+class _Counts:
+    """Documents by term, merged whenever TERMS_HELD new entries have come in."""
+
+    def __init__(self):
+        import numpy as np
+
+        self.terms, self.counts = np.empty(0, np.uint64), np.empty(0, np.int64)
+        self.held, self.size, self.documents = [], 0, 0
+
+    def add(self, terms):
+        self.held.append(terms)
+        self.size += terms.size
+        self.documents += 1
+        if self.size >= TERMS_HELD:
+            self.merge()
+
+    def merge(self):
+        import numpy as np
+
+        every = np.concatenate([self.terms, *self.held])
+        weight = np.ones(every.size, np.int64)
+        weight[: self.counts.size] = self.counts
+        self.terms, at = np.unique(every, return_inverse=True)
+        self.counts = np.bincount(at, weight, self.terms.size).astype(np.int64)
+        self.held, self.size = [], 0
+
+    def batch(self, keep=None):
+        import pyarrow as pa
+
+        t, n = (self.terms, self.counts) if keep is None else (self.terms[keep], self.counts[keep])
+        return pa.RecordBatch.from_arrays([pa.array(t.view("int64")), pa.array(n)], ["term", "n"])
+
+
+def _frequent_batches(low):
+    """Terms that reach the lower share among the documents of this task."""
 
-    held, size = [], 0
+    def run(batches):
+        seen = _Counts()
+        for b in batches:
+            for text in b.column(0).to_pylist():
+                seen.add(terms(text))
+        if seen.documents:
+            seen.merge()
+            yield seen.batch(seen.counts >= low * seen.documents * (1 - 1e-9))
+
+    return run
+
+
+def _count_batches(only=None):
+    """Documents of this task by term, of all terms or of a sorted array of them."""
 
-    def counts():
-        t, n = np.unique(np.concatenate(held), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(t.view(np.int64)), pa.array(n.astype(np.int64))], ["term", "n"])
+    def run(batches):
+        import numpy as np
+
+        seen = _Counts()
+        for b in batches:
+            for text in b.column(0).to_pylist():
+                t = terms(text)
+                if only is not None and only.size:
+                    t = t[only[np.minimum(np.searchsorted(only, t), only.size - 1)] == t]
+                seen.add(t)
+        if seen.documents:
+            seen.merge()
+            yield seen.batch()
+
+    return run
 
-    for b in batches:
-        for text in b.column(0).to_pylist():
-            t = terms(text)
-            held.append(t)
-            size += t.size
-            if size >= 4 * TERMS_HELD:
-                yield counts()
-                held, size = [], 0
-    if held:
-        yield counts()
 
+def lexicon(docs: DataFrame, low: float = LOW_SHARE, high: float = HIGH_SHARE, most: int = MAX_LEXICON):
+    """Sorted array of the term hashes within the band.
 
-def lexicon(docs: DataFrame, low: float = LOW_SHARE, high: float = HIGH_SHARE):
-    """Sorted array of the term hashes within the band."""
+    A term that reaches the lower share of all documents reaches it in at least
+    one task, so only terms frequent within a task are candidates, and a second
+    pass counts these exactly; rare terms are never shuffled.  Should the tasks be
+    so small that there are more than ``most`` candidates, all terms are counted;
+    the result is the same.
+    """
     import numpy as np
 
-    counted = docs.select("text").mapInArrow(_count_batches, "term long, n long").groupBy("term").agg(F.sum("n").alias("df"))
-    counted = saved(counted, "term-counts")
+    texts = docs.select("text")
+    array = lambda df: np.sort(df.toArrow().column(0).to_numpy().astype(np.int64).view(np.uint64))
+    frequent = texts.mapInArrow(_frequent_batches(low), "term long, n long").select("term").distinct()
+    only = array(frequent.limit(most + 1))
+    counter = _count_batches(only if only.size <= most else None)
+    counted = texts.mapInArrow(counter, "term long, n long").groupBy("term").agg(F.sum("n").alias("df"))
     total = docs.count()
-    at_least = max(2, low * total)
-    band = counted.where((F.col("df") >= at_least) & (F.col("df") <= max(2, high * total))).select("term")
-    pairs = counted.agg(F.sum("df")).first()[0] or 0
-    size = band.count()
-    if size > pairs / at_least:  # cannot happen: each such term accounts for at_least pairs
-        raise RuntimeError("lexicon larger than its bound")
-    got = band.toArrow().column(0).to_numpy()
-    return np.sort(got.astype(np.int64).view(np.uint64))
+    band = counted.where((F.col("df") >= max(2, low * total)) & (F.col("df") <= max(2, high * total))).select("term")
+    got = array(band.limit(MAX_LEXICON + 1))
+    if got.size > MAX_LEXICON:
+        raise RuntimeError("the band holds too many terms to send to every task; raise the lower share")
+    return got
 
 
 def _member_masks(t):

@@ -146,7 +146,8 @@ def solve(cells: DataFrame, targets: list[float], steps: int = STEPS, tolerance:
     >= 0, in the inner product weighted by tokens.  There the gradient of a cell
     is its posteriors times the relative errors, and the largest curvature is at
     most the largest ratio of present to target tokens: posteriors sum to one.  The
-    first step and any after a rise of the cost use that length.  A
+    first step has that length, and it always lowers the cost; longer ones are
+    taken back if the cost rises above that of the last three.  A
     domain with target zero is left out of the sum by a floor of one token.
     """
     goal = [max(1.0, t) for t in targets]
@@ -157,7 +158,7 @@ def solve(cells: DataFrame, targets: list[float], steps: int = STEPS, tolerance:
     now = [float(x or 0.0) for x in state.agg(*tokens).first()]
     safe = size = 1.0 / max(max(n / g for n, g in zip(now, goal)), 1e-9)
     errors = [(n - g) / g for n, g in zip(now, goal)]
-    past, moves, base = [math.inf], [], state
+    past, moves, base = [sum(e * e * g for e, g in zip(errors, goal))], [], state
     for step in range(1, steps + 1):
         if all(abs(e) <= tolerance for e in errors):
             break
@@ -165,22 +166,25 @@ def solve(cells: DataFrame, targets: list[float], steps: int = STEPS, tolerance:
         moves.append([size * e for e in errors])
         state = base.withColumns({"last": last, "rate": _moved(F.col("rate"), moves, k)})
         *new, length = [float(x or 0.0) for x in state.agg(*tokens, change).first()]
+        after = [(n - g) / g for n, g in zip(new, goal)]
+        cost = sum(e * e * g for e, g in zip(after, goal))
+        if size > safe and cost > max(past[-3:]):  # too long: go back and take a shorter step
+            moves.pop()
+            state = base.withColumn("rate", _moved(F.col("rate"), moves, k)) if moves else base
+            size = max(safe, size / 8)
+            continue
+        past.append(cost)
         state = state.drop("last")
         if len(moves) == STEPS_PER_TABLE:
             state = base = saved(state, "rates")
             moves = []
-        moved, now = [n - b for n, b in zip(new, now)], new
+        moved, turned = [n - b for n, b in zip(new, now)], [x - y for x, y in zip(after, errors)]
+        now, errors = new, after
         if all(abs(m) <= STALLED * g for m, g in zip(moved, goal)):
             break  # the targets are out of reach, or the rest is not worth a step
         # next step length from the curvature met on this one (Barzilai and Borwein)
-        turned = [m / g for m, g in zip(moved, goal)]
-        errors = [(n - g) / g for n, g in zip(now, goal)]
         curve = sum(m * x for m, x in zip(moved, turned))
-        size = length / curve if curve > 0 else safe
-        cost = sum(e * e * g for e, g in zip(errors, goal))
-        if cost > max(past[-5:]):
-            size = safe
-        past.append(cost)
+        size = max(safe, length / curve) if curve > 0 else safe
     return state
 
 

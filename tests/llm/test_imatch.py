@@ -35,7 +35,12 @@ def test_terms_and_lexicon(spark, docs_of):
     assert [x for x in imatch.terms("The the, THE. (tHe) é É")] == sorted(brute_terms("the é É"))
     rows = make_rows()
     got = imatch.lexicon(docs_of(rows), 0.01, 0.2)
-    assert (got == brute_lexicon([t for _, t in rows], 0.01, 0.2)).all() and got.size > 100
+    want = brute_lexicon([t for _, t in rows], 0.01, 0.2)
+    assert got.size > 100 and (got == want).all()
+    # whatever the number of tasks, and when there are too many candidates
+    assert (imatch.lexicon(docs_of(rows).repartition(7), 0.01, 0.2) == want).all()
+    assert (imatch.lexicon(docs_of(rows), 0.01, 0.2, most=10) == want).all()
+    assert imatch.lexicon(docs_of(rows), 0.9, 0.95).size == 0
 
 
 def test_fingerprint_properties():

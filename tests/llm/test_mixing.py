@@ -140,3 +140,14 @@ def test_budget(spark, docs_of, budget):
     lab = spark.createDataFrame(labels, "doc_id long, domain string")
     got = mixing.rates(docs_of(rows), lab, budget=budget).collect()
     assert abs(sum(r.rate * r.tokens for r in got) / sum(r.tokens for r in got) - budget) < 0.01
+
+
+def test_a_rare_domain_far_below_its_target(spark):
+    # a few cells must grow twentyfold while another shrinks tenfold
+    cells = [(9e5, 0.99, 0.0, 0.01), (1e4, 0.9, 0.1, 0.0), (1e5, 0.0, 0.0, 1.0), (500.0, 0.2, 0.8, 0.0)]
+    total = sum(c[0] for c in cells)
+    goal = [0.97 * total, 0.02 * total, 0.01 * total]
+    df = spark.createDataFrame(cells, "t double, p0 double, p1 double, p2 double")
+    got = mixing.solve(df, goal).collect()
+    for i in range(3):
+        assert abs(sum(r.rate * r.t * r[f"p{i}"] for r in got) - goal[i]) <= 2e-3 * goal[i]

@@ -63,9 +63,9 @@ def test_pipeline_stages(spark):
     assert sorted(r.doc_id for r in c.collect()) == sorted(low.values())
 
     d = steps["mixing"](spark, c, SF_SMALL).cache()
-    rate = {r.doc_id: r.rate for r in mixing.rates(c, mixing.domains(spark.read.parquet(f"{SF_SMALL}/labels.parquet"))).collect()}
+    rate = {r.doc_id: r.rate for r in mixing.rates(c, mixing.domains(spark.read.parquet(f"{SF_SMALL}/labels.parquet")), corpus_pipeline.TARGETS).collect()}
     drawn = Counter(r.doc_id for r in d.collect())
-    assert d.columns == docs.columns
+    assert d.columns == docs.columns and max(rate.values()) < 2  # no document is multiplied
     assert all(drawn[i] in (math.floor(x), math.floor(x) + 1) for i, x in rate.items()) and set(drawn) <= set(rate)
 
     e = steps["packing"](spark, d, SF_SMALL).collect()
