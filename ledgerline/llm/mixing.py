@@ -29,6 +29,7 @@ TARGETS = {"good": 0.97, "poor": 0.02, "toxic": 0.01}
 SAMPLE = 20_000  # labelled documents the classifier is fitted on (expected number)
 VOCABULARY = 500  # words
 MIN_DOCUMENTS = 5  # of the sample that hold a vocabulary word
+MARKER = 5.0  # a word this many times as frequent in one domain as in any other marks it
 DECIMALS = 3  # posteriors are rounded to
 STEPS = 200
 STEPS_PER_TABLE = 20  # between two written tables of rates
@@ -52,8 +53,9 @@ def domains(labels: DataFrame) -> DataFrame:
 
 class Classifier:
     """log prior by domain, and per word the log share of a domain's documents that
-    hold it.  Only words that are present count: texts have all lengths, and in a
-    short one an absent word says little."""
+    hold it.  Common words count only where present: texts have all lengths, and in
+    a short one an absent word says little.  The markers of one domain count where
+    absent, too."""
 
     def __init__(self, names: list[str], bias: list[float], words: list[tuple[str, list[float]]]):
         self.names, self.bias, self.words = names, bias, words
@@ -92,7 +94,12 @@ def fit(docs: DataFrame, labelled: DataFrame, names: list[str], sample: int = SA
     words = []
     for r in best.collect():  # at most `vocabulary` rows
         p = [(r[f"n{k}"] + 0.5) / (s + 1) for k, s in enumerate(sizes)]
-        words.append((r.word, [math.log(x) for x in p]))
+        others, top = sorted(p)[-2:] if len(p) > 1 else (p[0], p[0])
+        if top >= MARKER * others:  # a marker of one domain: its absence speaks against that one
+            bias = [b + math.log(1 - x) for b, x in zip(bias, p)]
+            words.append((r.word, [math.log(x / (1 - x)) for x in p]))
+        else:
+            words.append((r.word, [math.log(x) for x in p]))
     return Classifier(names, bias, words)
 
 

@@ -49,8 +49,13 @@ def brute_memberships(rows, labels, vocabulary):
     out = {}
     for i, t in rows:
         s = np.array([math.log((z + 1) / (n + 3)) for z in sizes])
-        for w in set(words(t)) & set(best):
-            s += [math.log((x + 0.5) / (z + 1)) for x, z in zip(counts[w], sizes)]
+        for w in best:
+            p = np.array([(x + 0.5) / (z + 1) for x, z in zip(counts[w], sizes)])
+            marker = sorted(p)[-1] >= mixing.MARKER * sorted(p)[-2]
+            if w in words(t):
+                s += np.log(p)
+            elif marker:
+                s += np.log(1 - p)
         e = np.exp(s - s.max())
         out[i] = e / e.sum()
     return out
