@@ -6,6 +6,10 @@ languages of one family; the class with most wins is predicted, ties go to the
 larger summed margin, then to the first name.  The machines are fitted by
 Spark's LinearSVC on a bounded sample of the labelled rows; prediction is one
 pass over the texts with no shuffle.
+
+A prediction names the nearest learned language, however far it is.  Whether a
+text is in a learned language at all is decided apart from it, by the mean
+n-gram log-likelihood under the languages' profiles (see ``Model.fits``).
 """
 
 from __future__ import annotations
@@ -13,7 +17,8 @@ from __future__ import annotations
 from itertools import combinations
 
 from pyspark.ml.classification import LinearSVC
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +35,9 @@ UNKNOWN = "und"
 SAMPLE_PER_LANGUAGE = 1000  # labelled rows per language the machines are fitted on (expected number)
 ITERATIONS = 20
 MIN_SCORE = 0.05  # below it the prediction is rejected (see ``accepted``)
+MAX_MISFIT = 4.6  # standard deviations a text may lie below the mean log-likelihood of its best profile
+MIN_WORD_SHARE = 0.2  # of the visible characters that are letters of words without digits
+MIN_GRAMS = 20_000  # n-grams a profile is learnt from; a thinner one rejects nothing
 
 
 def family_of(lang: str) -> str:
@@ -53,8 +61,9 @@ def _feature_batches(batches):
     for b in batches:
         for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
             if (x := features(text)) is not None:
+                n = 3.0 * letters_only(code_points(text)).size - 3
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang]), pa.array([x.tolist()], pa.list_(pa.float64()))], ["lang", "x"]
+                    [pa.array([lang]), pa.array([x.tolist()], pa.list_(pa.float64())), pa.array([n])], ["lang", "x", "n"]
                 )
 
 
@@ -79,11 +88,37 @@ def _machine(rows: DataFrame, first: list[str], second: list[str]):
     return m.coefficients.toArray(), float(m.intercept)
 
 
+def _profiles(rows: DataFrame) -> dict:
+    """Per language with enough text: (log share of each n-gram cell, its mean and
+    standard deviation over the language's n-grams).  Every text counts the same."""
+    import numpy as np
+
+    total = F.aggregate("x", F.lit(0.0), lambda a, b: a + b)
+    shares = array_to_vector(F.transform("x", lambda v: v / F.col("total")))
+    mean = vector_to_array(Summarizer.mean(shares)).alias("p")
+    out = {}
+    for r in rows.withColumn("total", total).groupBy("lang").agg(mean, F.sum("n").alias("n")).collect():  # one row per language
+        if r.n >= MIN_GRAMS:
+            p = np.array(r.p) + 1e-5
+            p /= p.sum()
+            log = np.log(p)
+            mean_log = float(p @ log)
+            out[r.lang] = (log, mean_log, max(1e-9, float(np.sqrt(p @ (log - mean_log) ** 2))))
+    return out
+
+
+def word_share(text: str | None) -> float:
+    """Share of the visible characters that are letters of words without a digit."""
+    words = (text or "").split()
+    letters = sum(sum(map(str.isalpha, w)) for w in words if not any(map(str.isdigit, w)))
+    return letters / max(1, sum(map(len, words)))
+
+
 class Model:
-    """Families, their languages, and one machine per pair (plain arrays)."""
+    """Families, their languages, one machine per pair, and profiles (plain arrays)."""
 
-    def __init__(self, families: dict[str, list[str]], machines: dict):
-        self.families, self.machines = families, machines
+    def __init__(self, families: dict[str, list[str]], machines: dict, profiles: dict | None = None):
+        self.families, self.machines, self.profiles = families, machines, profiles or {}
 
     def _vote(self, x, names: list[str]) -> tuple[str, float]:
         import math
@@ -100,18 +135,41 @@ class Model:
         return best, 1.0 if len(names) == 1 else 1 / (1 + math.exp(-max(-30.0, min(30.0, 4 * low[best]))))
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        x = features(text)
+        return self._predict(features(text))
+
+    def _predict(self, x) -> tuple[str, float]:
         if x is None or not self.families:
             return UNKNOWN, 0.0
         family, p = self._vote(x, sorted(self.families))
         lang, q = self._vote(x, self.families[family])
         return lang, p * q
 
+    def misfit(self, x) -> float:
+        """Standard deviations the mean log-likelihood of the n-grams lies below the
+        mean of the best profile.  The deviation is that of as many independent
+        n-grams as the text has different ones (inverse Simpson index), so a short
+        text and a repeated word are given more room than a long varied one."""
+        import math
+
+        share = x / x.sum()
+        effective = 1 / float(share @ share)
+        return min((mean - float(share @ log)) / sd for log, mean, sd in self.profiles.values()) * math.sqrt(effective)
+
+    def fits(self, text: str | None, min_score: float = MIN_SCORE) -> bool:
+        """Is the text in a learned language?  Not where nothing is predicted, where
+        words are a small part of it (dumps of digits, keys) or where no profile fits.
+        A language with too little text for a profile takes what is predicted as it."""
+        x = features(text)
+        lang, score = self._predict(x)
+        if lang == UNKNOWN or score < min_score or word_share(text) < MIN_WORD_SHARE:
+            return False
+        return lang not in self.profiles or self.misfit(x) <= MAX_MISFIT
+
 
 def fit(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
     """Fit on text and lang only.  No labelled row: a model that predicts ``und``;
     one language: a model that always predicts it."""
-    rows = saved(_sample(docs, per_language).mapInArrow(_feature_batches, "lang string, x array<double>"), "languages")
+    rows = saved(_sample(docs, per_language).mapInArrow(_feature_batches, "lang string, x array<double>, n double"), "languages")
     langs = sorted(r.lang for r in rows.select("lang").distinct().collect())  # one row per language
     families: dict[str, list[str]] = {}
     for lang in langs:
@@ -122,7 +180,7 @@ def fit(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
     for members in families.values():
         for a, b in combinations(members, 2):
             machines[a, b] = _machine(rows, [a], [b])
-    return Model(families, machines)
+    return Model(families, machines, _profiles(rows))
 
 
 def _predict_batches(model):
@@ -161,15 +219,16 @@ def _accept_batches(model, min_score):
         import pyarrow as pa
 
         for b in batches:
-            got = [model.predict(t) for t in b.column(b.schema.get_field_index("text")).to_pylist()]
-            yield b.filter(pa.array([lang != UNKNOWN and score >= min_score for lang, score in got], pa.bool_()))
+            texts = b.column(b.schema.get_field_index("text")).to_pylist()
+            yield b.filter(pa.array([model.fits(t, min_score) for t in texts], pa.bool_()))
 
     return run
 
 
 def accepted(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, min_score: float = MIN_SCORE) -> DataFrame:
-    """Rows of ``docs`` whose language is recognised: not ``und`` and a score of at
-    least ``min_score`` (a text no learned language fits).  All columns are kept."""
+    """Rows of ``docs`` whose language is recognised: not ``und``, a score of at least
+    ``min_score``, and a text that fits a learned language (``Model.fits``).  All
+    columns are kept."""
     model = fit(docs, per_language)
     return docs.mapInArrow(_accept_batches(model, min_score), docs.schema)
 

@@ -61,6 +61,33 @@ def test_language_edges(spark, docs_of):
     assert 1 not in ids and 2 not in ids and 3 not in ids and {i for i, _, _ in train} <= set(ids)
 
 
+def test_texts_of_no_learned_language_are_rejected(spark):
+    docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet")
+    foreign = [
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw.",
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan.",
+        "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar.",
+        "Все люди рождаются свободными и равными в своем достоинстве и правах.",
+        "人人生而自由在尊严和权利上一律平等",
+    ]
+    rng = random.Random(3)
+    hexes = [" ".join(f"{rng.randrange(1 << 32):08x}" for _ in range(n)) for n in (8, 200)]
+    tokens = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(90))
+    letters = " ".join("".join(rng.choice("qwxzjkvbpfg") for _ in range(12)) for _ in range(30))
+    digits = " ".join(str(rng.randrange(10**16)) for _ in range(6)) + " the"
+    junk = [*foreign, *[t * 50 for t in foreign], *hexes, tokens, letters, digits]
+    clean = ["A.", "Re.", "De.", "This.", "Éaux.", "Die tz.", "In. The.", "Of " * 300, "Hean. Esanwh 2353820953013749 thheed hand, threingat."]
+    planted = [(1_000_000 + i, t) for i, t in enumerate(junk + clean)]
+    rows = spark.createDataFrame([(i, t, "en", "src0", len(t)) for i, t in planted], docs.schema)
+    model = langid.fit(docs)
+    assert {t: model.fits(t) for t in junk} == dict.fromkeys(junk, False)
+    assert {t: model.fits(t) for t in clean} == dict.fromkeys(clean, True)
+    got = langid.accepted(docs.union(rows))
+    ids = {r.doc_id for r in got.where("doc_id >= 1000000").collect()}
+    assert ids == {i for i, t in planted if t in clean}
+    assert got.where("doc_id < 1000000").count() >= 0.998 * docs.count()
+
+
 def test_learns_only_from_the_allowed_rows(spark, docs_of):
     held = [i for i in range(400) if __import__("zlib").crc32(str(i).encode()) % 4 == 2]
     rows = [(i, "the of and it", "zz") for i in held] + [(1000 + i, "the of and it", "en") for i in range(40)]
