@@ -325,17 +325,23 @@ def q_cli_job(spark, sf_dir):
     return spark.read.schema(schema).option("header", True).csv(written["daily_with_rolling"])
 
 
-def q_compacted_files(spark, sf_dir):
-    """Many small files per date compacted: rows and files of each date afterwards."""
+def q_compacted_table(spark, sf_dir):
+    """The whole table in many small files per date, compacted: rows and files of
+    each date afterwards, the NULL date included."""
     base = scratch_path(spark, "compact")
-    rows = q_canonical_sales(spark, sf_dir).where(F.year("sale_date") == 1995)
+    rows = q_canonical_sales(spark, sf_dir)
     for half in (0, 1):
-        publish(rows.where(F.length("order_id") % 2 == half), f"{base}/many", layout="as_is")
+        publish(rows.where(F.coalesce(F.length("order_id"), F.lit(0)) % 2 == half), f"{base}/many", layout="as_is")
     out = compact(spark, f"{base}/many", f"{base}/few")
     files = spark.read.parquet(out).select("sale_date", F.col("_metadata.file_path").alias("file"))
     return files.groupBy("sale_date").agg(F.count("*").alias("rows"), F.count_distinct("file").alias("files"))
 
 
+def q_compacted_files(spark, sf_dir):
+    """The dates of 1995 of ``compacted_table``, which its SQL twin asks for."""
+    return q_compacted_table(spark, sf_dir).where(F.year("sale_date") == 1995)
+
+
 def q_drifting_stream(spark, sf_dir):
     """Events land in three drops whose headers differ; the last has no user, no
     amount and one column never seen before."""
@@ -387,6 +393,7 @@ QUERIES: dict[str, Query] = {
     "published_marts": q_published_marts,
     "cli_job": q_cli_job,
     "compacted_files": q_compacted_files,
+    "compacted_table": q_compacted_table,
     "drifting_stream": q_drifting_stream,
 }
 
@@ -581,6 +588,7 @@ ORACLE |= {
     ),
     "cli_job": ORACLE["rolling_7row_revenue"],
     "compacted_files": _SALES + "SELECT sale_date, COUNT(*) AS rows, CAST(1 AS BIGINT) AS files FROM sales WHERE year(sale_date) = 1995 GROUP BY sale_date",
+    "compacted_table": _SALES + "SELECT sale_date, COUNT(*) AS rows, CAST(1 AS BIGINT) AS files FROM sales GROUP BY sale_date",
     "drifting_stream": """
        SELECT CAST(event_id AS VARCHAR) AS order_id,
               CASE WHEN event_id % 3 = 0 THEN CAST(user_id AS VARCHAR) END AS customer_id, ts AS order_ts,

@@ -2,6 +2,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from ledgerline.plans import registry
 from ledgerline.sinks.tables import cluster, compact, publish, register_table, write_mart
 from ledgerline.sources.files import read_sales_csv
 
@@ -73,6 +74,17 @@ def test_cluster_and_compact_keep_the_multiset(spark, scratch):
     assert len(files) <= len(dates) + 1  # one output partition -> one file per date
 
 
+def test_compaction_query_covers_every_date(spark, monkeypatch):
+    """No date and no NULL date is left out: three years, one date missing."""
+    days = ["1994-12-31", "1995-06-01", "1995-06-01", "2001-08-01", None, None, None]
+    rows = [(str(10 ** (i % 2) + i), d, 1.0, 1, f"p{i}", "s") for i, d in enumerate(days)]
+    schema = "order_id string, sale_date string, total_price double, quantity long, product_id_canon string, seller_canon string"
+    sales = spark.createDataFrame(rows, schema).withColumn("sale_date", F.col("sale_date").cast("date"))
+    monkeypatch.setattr(registry, "q_canonical_sales", lambda spark, sf_dir: sales)
+    got = {str(r.sale_date): (r["rows"], r.files) for r in registry.QUERIES["compacted_table"](spark, "").collect()}
+    assert got == {"1994-12-31": (1, 1), "1995-06-01": (2, 1), "2001-08-01": (1, 1), "None": (3, 1)}
+
+
 def test_write_mart_csv_has_header(spark, scratch):
     df = spark.createDataFrame([("toys", 1.5)], "category_canon string, revenue double")
     p = write_mart(df, os.path.join(scratch, "marts"), "top_categories", fmt="csv")
