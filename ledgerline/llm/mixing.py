@@ -18,6 +18,7 @@ they are added up per document within the task that read it.
 
 from __future__ import annotations
 
+import logging
 import math
 
 from pyspark.sql import Column, DataFrame
@@ -36,6 +37,8 @@ STEPS_PER_TABLE = 20  # between two written tables of rates
 STALLED = 1e-5  # share of each target a step must move to be followed by another
 TOLERANCE = 1e-3  # relative error of each domain's tokens at which the fit ends
 
+log = logging.getLogger(__name__)
+
 
 def words_of(text: Column) -> Column:
     return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), r"[\x20\x09-\x0D]+"), "")
@@ -156,6 +159,9 @@ def solve(cells: DataFrame, targets: list[float], steps: int = STEPS, tolerance:
     first step has that length, and it always lowers the cost; longer ones are
     taken back if the cost rises above that of the last three.  A
     domain with target zero is left out of the sum by a floor of one token.
+
+    Raises RuntimeError if neither the targets are met nor the rates have settled
+    after ``steps``.
     """
     goal = [max(1.0, t) for t in targets]
     k = range(len(goal))
@@ -192,9 +198,22 @@ def solve(cells: DataFrame, targets: list[float], steps: int = STEPS, tolerance:
         # next step length from the curvature met on this one (Barzilai and Borwein)
         curve = sum(m * x for m, x in zip(moved, turned))
         size = max(safe, length / curve) if curve > 0 else safe
+    else:
+        if any(abs(e) > tolerance for e in errors):
+            raise RuntimeError(f"mixing rates not settled after {steps} steps; relative errors by domain: {errors}")
     return state
 
 
+def report(fitted: DataFrame, names: list[str], targets: list[float]) -> dict[str, tuple[float, float]]:
+    """{domain: (expected tokens, target)} of fitted cells, logged; a missed target as a warning."""
+    sums = [F.sum(F.col("rate") * F.col("t") * F.col(f"p{i}")) for i in range(len(names))]
+    out = {d: (float(x or 0.0), t) for d, x, t in zip(names, fitted.agg(*sums).first(), targets)}
+    for d, (got, want) in out.items():
+        missed = abs(got - want) > TOLERANCE * max(1.0, want)
+        log.log(logging.WARNING if missed else logging.INFO, "mixing: %s expects %.0f tokens, target %.0f", d, got, want)
+    return out
+
+
 def rates(
     docs: DataFrame,
     labelled: DataFrame,
@@ -207,6 +226,7 @@ def rates(
 
     ``budget``: total tokens wanted, as a share of those present.  A document
     without words has the domains' prior as posteriors and a rate, but no tokens;
+    expected tokens and targets by domain are logged, missed ones as warnings;
     a NULL doc_id stays NULL.  An empty table gives an empty result; other columns
     are ignored.
     """
@@ -217,8 +237,10 @@ def rates(
     cells = saved(soft.groupBy(*p).agg(F.sum(F.col("tokens") * F.col("copies")).cast("double").alias("t")), "cells")
     total = float(cells.agg(F.sum("t")).first()[0] or 0.0)
     scale = budget * total / sum(targets.values())
-    fitted = saved(solve(cells, [targets[d] * scale for d in names]).select(*p, "rate"), "rates")
-    return soft.join(fitted, p).select(
+    goal = [targets[d] * scale for d in names]
+    fitted = saved(solve(cells, goal).select(*p, "t", "rate"), "rates")
+    report(fitted, names, goal)
+    return soft.join(fitted.drop("t"), p).select(
         "doc_id", "text_hash", "copies", "tokens", *[F.col(c).alias(f"p_{d}") for c, d in zip(p, names)], "rate"
     )
 

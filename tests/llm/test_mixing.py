@@ -108,6 +108,16 @@ def test_unreachable_targets_give_the_nearest_nonnegative_fit(spark):
     assert min(got.values()) == 0
 
 
+def test_unsettled_and_missed_targets_do_not_pass_silently(spark, caplog):
+    cells = spark.createDataFrame([(100.0, 0.9, 0.1), (50.0, 0.2, 0.8)], "t double, p0 double, p1 double")
+    with pytest.raises(RuntimeError, match="not settled after 1 steps"):
+        mixing.solve(cells, [10.0, 300.0], steps=1)
+    with caplog.at_level("INFO", logger=mixing.__name__):
+        got = mixing.report(cells.selectExpr("*", "1.0D as rate"), ["good", "toxic"], [100.0, 80.0])
+    assert got == {"good": (pytest.approx(100.0), 100.0), "toxic": (pytest.approx(50.0), 80.0)}
+    assert [(r.levelname, r.args[0]) for r in caplog.records] == [("INFO", "good"), ("WARNING", "toxic")]
+
+
 def test_mixed_draws_by_rate(spark, docs_of):
     rows, labels = corpus()
     docs = docs_of(rows)
