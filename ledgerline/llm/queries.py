@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
-
-from . import hamming, imatch, langid, licences, mixing, packing, quality, simhash, warc, wavelet
+from . import bpe, hamming, imatch, langid, licences, merkle, mixing, packing, quality, simhash, warc, wavelet
 from .common import read
 
 
@@ -53,6 +51,14 @@ def op8_warc_archive(spark, sf_dir):
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op12_merkle_manifest(spark, sf_dir):
+    return merkle.Manifest(read(spark, sf_dir, "documents")).verify()
+
+
+def op13_byte_bpe(spark, sf_dir):
+    return bpe.round_trip(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_language_id": op2_language_id,
@@ -64,7 +70,8 @@ QUERIES = {
     "op8_warc_archive": op8_warc_archive,
     "op9_licence_scan": op9_licence_scan,
     "op10_hamming_top_k": op10_hamming_top_k,
-    "pipeline": corpus_pipeline.run,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_byte_bpe": op13_byte_bpe,
 }
 
 ORACLE: dict[str, str] = {
