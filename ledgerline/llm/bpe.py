@@ -1,25 +1,24 @@
 """Byte-level BPE of whole tables: every distinct word is encoded once.
 
 1. Texts are cut into pre-tokens (``pieces.py``).  A task handles some million
-   characters at a time, a chunk: its distinct words are numbered, and the chunk
-   is written as the numbers of its words in order, per document, beside the
-   list of words.  So a word crosses the network once a chunk, however often it
-   stands there.
-2. The words of all chunks, exploded with their numbers, are shuffled by word;
-   each distinct word is encoded once, by the ranks of a public vocabulary.
-3. Ids are joined back to (chunk, number), and every document is put together
-   again from them by position.
+   characters at a time, a chunk.  Its distinct words are numbered, the most
+   frequent first, and the chunk is written as the numbers of its words in order,
+   per document, beside its words in blocks by hash bucket.  So a word crosses the
+   network once a chunk, however often it stands there.
+2. The blocks of all chunks, exploded, are shuffled by bucket; one task meets all
+   occurrences of a word and encodes it once, by the ranks of a public vocabulary.
+   Every bucket has at most one block per chunk: no word is hot.
+3. The ids of each block go back to its chunk, where every document is put
+   together again from them by position.
 4. Decoding joins every id with the table of token bytes (one row per token of
    the vocabulary, held by each worker) and puts them together in order.
 
-A very common word has one row per chunk, not per occurrence; adaptive execution
-splits its side of the join.  The numbers are written to a table once: losing an
-executor costs a re-read.
+The chunks are written to a table once: losing an executor costs a re-read.
 """
 
 from __future__ import annotations
 
-from itertools import chain
+import zlib
 
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -30,7 +29,8 @@ from . import pieces
 from .common import saved, worker_cache
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
-CHUNK_CHARS = 1 << 23  # a chunk ends with the document that reaches this
+CHUNK_CHARS = 1 << 24  # a chunk ends with the document that reaches this
+BUCKETS = 1024  # of words; a task holds the distinct words of one bucket
 BATCH_BYTES = 1 << 23  # of ids in one output batch
 
 
@@ -61,12 +61,13 @@ def _cached(name, path, make):
 
 
 class _Words:
-    """Numbers of the distinct words of one chunk, in order of appearance."""
+    """Distinct words of one chunk and how often each stands there."""
 
     def __init__(self):
         self.index: dict[bytes, int] = {}
 
     def numbers(self, found):
+        """Numbers of the words of an Arrow array, in order of appearance."""
         import numpy as np
 
         coded = found.dictionary_encode()
@@ -74,54 +75,91 @@ class _Words:
         own = [index.setdefault(w, len(index)) for w in coded.dictionary.to_pylist()]
         return np.array(own, np.uint32)[coded.indices.to_numpy()] if own else np.zeros(0, np.uint32)
 
+    def ranked(self, numbers):
+        """(words, numbers) with the most frequent words first."""
+        import numpy as np
+
+        words = list(self.index)
+        flat = np.concatenate(numbers) if numbers else np.zeros(0, np.uint32)
+        order = np.argsort(-np.bincount(flat, minlength=len(words)), kind="stable")
+        place = np.empty(len(words), np.uint32)
+        place[order] = np.arange(len(words), dtype=np.uint32)
+        return [words[i] for i in order.tolist()], place[flat] if flat.size else flat
 
-def _pack(doc_ids, counts, numbers, distinct: int) -> bytes:
-    """One chunk: its documents, the words each has, and the numbers of all their words."""
+
+def _packed(parts) -> bytes:
+    """Arrays, each split into the planes of its bytes (high ones hold little), compressed."""
     import numpy as np
     import zstandard
 
-    wide = 4 if distinct > 1 << 16 else 2
-    parts = [
-        np.array([len(doc_ids), wide], "<i8"),
-        np.array([d or 0 for d in doc_ids], "<i8"),
-        np.array([d is not None for d in doc_ids], "<i8"),
-        np.array(counts, "<i8"),
-        *(n.astype(f"<u{wide}") for n in numbers),
-    ]
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(p.tobytes() for p in parts))
+    out = [np.array([len(parts), *(x for p in parts for x in (p.itemsize, p.size))], "<i8").tobytes()]
+    out += [np.ascontiguousarray(p.view(np.uint8).reshape(-1, p.itemsize).T).tobytes() for p in parts]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(out))
 
 
-def _unpack(data: bytes):
-    """(doc_ids, counts, numbers) of one chunk."""
+def _unpacked(data: bytes):
+    """The arrays, as unsigned integers."""
     import numpy as np
     import zstandard
 
     raw = zstandard.ZstdDecompressor().decompress(data)
-    n, wide = np.frombuffer(raw, "<i8", 2).tolist()
-    doc_ids, known, counts = np.frombuffer(raw, "<i8", 3 * n, 16).reshape(3, n)
-    doc_ids = [d if k else None for d, k in zip(doc_ids.tolist(), known.tolist())]
-    return doc_ids, counts, np.frombuffer(raw, f"<u{wide}", offset=16 + 24 * n).astype(np.int32)
+    n = int(np.frombuffer(raw, "<i8", 1)[0])
+    shapes, at, out = np.frombuffer(raw, "<i8", 2 * n, 8).reshape(n, 2).tolist(), 8 + 16 * n, []
+    for wide, size in shapes:
+        planes = np.frombuffer(raw, np.uint8, wide * size, at).reshape(wide, size)
+        out.append(np.ascontiguousarray(planes.T).view(f"<u{wide}").reshape(-1))
+        at += wide * size
+    return out
+
+
+def _block(items: list[bytes]) -> bytes:
+    """Byte strings as their lengths and their bytes."""
+    import numpy as np
+
+    return _packed([np.array(list(map(len, items)), "<u4"), np.frombuffer(b"".join(items), np.uint8)])
+
 
+def _items(block: bytes) -> list[bytes]:
+    import numpy as np
+
+    sizes, data = _unpacked(block)
+    ends, data = np.cumsum(sizes).tolist(), data.tobytes()
+    return [data[a:b] for a, b in zip([0, *ends], ends)]
 
-def _cut_batches(chunk_chars):
+
+def _cut_batches(chunk_chars, buckets):
     def run(batches):
+        import numpy as np
         import pyarrow as pa
 
         classes = pieces.unicode_classes()
         base, made = TaskContext.get().partitionId() << 33, 0
-        words, doc_ids, counts, numbers, chars = _Words(), [], [], [], 0
+        found, doc_ids, counts, numbers, chars = _Words(), [], [], [], 0
 
         def flush():
-            nonlocal words, doc_ids, counts, numbers, chars, made
-            row = [
-                pa.array([base + made]),
-                pa.array([_pack(doc_ids, counts, numbers, len(words.index))], pa.binary()),
-                pa.array([list(words.index)], pa.list_(pa.binary())),
-            ]
+            nonlocal found, doc_ids, counts, numbers, chars, made
+            words, flat = found.ranked(numbers)
+            bucket = np.fromiter((zlib.crc32(w) % buckets for w in words), "<u4", len(words))
+            data = _packed(
+                [
+                    np.array([d or 0 for d in doc_ids], "<i8"),
+                    np.array([d is not None for d in doc_ids], "<u1"),
+                    np.array(counts, "<u4"),
+                    bucket,
+                    flat.astype("<u4"),
+                ]
+            )
+            blocks, by = [], np.argsort(bucket, kind="stable")
+            bounds = np.searchsorted(bucket[by], np.arange(buckets + 1)).tolist()
+            for b, (first, end) in enumerate(zip(bounds, bounds[1:])):
+                if end > first:
+                    blocks.append({"bucket": b, "words": _block([words[i] for i in by[first:end].tolist()])})
+            row = [pa.array([base + made]), pa.array([data], pa.binary()), pa.array([blocks], kind)]
             made += 1
-            words, doc_ids, counts, numbers, chars = _Words(), [], [], [], 0
-            return pa.RecordBatch.from_arrays(row, ["chunk", "data", "words"])
+            found, doc_ids, counts, numbers, chars = _Words(), [], [], [], 0
+            return pa.RecordBatch.from_arrays(row, ["chunk", "data", "blocks"])
 
+        kind = pa.list_(pa.struct([("bucket", pa.int32()), ("words", pa.binary())]))
         for b in batches:
             at = 0
             while at < b.num_rows:
@@ -131,13 +169,13 @@ def _cut_batches(chunk_chars):
                     own += len(group[-1][1])
                     at += 1
                 if own <= 2 * pieces.WINDOW_CHARS:
-                    found, inner, n = pieces.cut([t for _, t in group], classes)
-                    numbers.append(words.numbers(found.filter(pa.array(inner)) if len(group) > 1 else found))
+                    parts, inner, n = pieces.cut([t for _, t in group], classes)
+                    numbers.append(found.numbers(parts.filter(pa.array(inner)) if len(group) > 1 else parts))
                     doc_ids += [i for i, _ in group]
                     counts += n.tolist()
                 else:
                     for i, t in group:
-                        got = [words.numbers(x) for x in pieces.cut_long(t, classes)]
+                        got = [found.numbers(x) for x in pieces.cut_long(t, classes)]
                         numbers += got
                         doc_ids.append(i)
                         counts.append(sum(map(len, got)))
@@ -150,10 +188,13 @@ def _cut_batches(chunk_chars):
     return run
 
 
-def chunks(docs: DataFrame, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
-    """(chunk, data, words): the documents of each chunk as numbers of its words."""
+def chunks(docs: DataFrame, chunk_chars: int = CHUNK_CHARS, buckets: int = BUCKETS) -> DataFrame:
+    """(chunk, data, blocks): the documents of each chunk as numbers of its words,
+    and its words by bucket, in the order of their numbers."""
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    return rows.mapInArrow(_cut_batches(chunk_chars), "chunk long, data binary, words array<binary>")
+    return rows.mapInArrow(
+        _cut_batches(chunk_chars, buckets), "chunk long, data binary, blocks array<struct<bucket:int,words:binary>>"
+    )
 
 
 # ------------------------------------------------------------------- encoding ---
@@ -169,11 +210,19 @@ def _encode_batches(path):
             return tiktoken.Encoding("words", pat_str=pieces.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
         encode = _cached("encodings", path, encoding).encode_ordinary
+        bucket, known = None, {}
         for b in batches:
-            ids = [encode(w.decode("utf-8", "surrogatepass")) for w in b.column(0).to_pylist()]
-            ends = np.cumsum([0, *map(len, ids)]) * 4
-            flat = np.fromiter(chain.from_iterable(ids), "<u4", int(ends[-1]) // 4)
-            yield pa.RecordBatch.from_arrays([b.column(0), _binary(ends, flat.tobytes())], ["word", "ids"])
+            out = []
+            for own, block in zip(b.column("bucket").to_pylist(), b.column("data").to_pylist()):
+                if own != bucket:
+                    bucket, known = own, {}
+                words = _items(block)
+                for w in words:
+                    if w not in known:
+                        known[w] = np.array(encode(w.decode("utf-8", "surrogatepass")), "<u4").tobytes()
+                ids = [known[w] for w in words]
+                out.append(_packed([np.array(list(map(len, ids)), "<u4"), np.frombuffer(b"".join(ids), "<u4")]))
+            yield pa.RecordBatch.from_arrays([b.column("chunk"), b.column("bucket"), pa.array(out, pa.binary())], ["chunk", "bucket", "data"])
 
     return run
 
@@ -188,9 +237,9 @@ def _binary(ends, data):
     )
 
 
-def encode_words(words: DataFrame, path: str | None = None) -> DataFrame:
-    """Distinct (word) -> (word, ids)."""
-    return words.mapInArrow(_encode_batches(ranks_path(path)), "word binary, ids binary")
+def encode_blocks(blocks: DataFrame, path: str | None = None) -> DataFrame:
+    """(chunk, bucket, data: words) -> (chunk, bucket, data: their ids), sorted by bucket within partitions."""
+    return blocks.mapInArrow(_encode_batches(ranks_path(path)), "chunk long, bucket int, data binary")
 
 
 # ---------------------------------------------------------------- reassembly ---
@@ -210,17 +259,21 @@ def _assemble_batches(batch_bytes):
     def run(batches):
         import numpy as np
         import pyarrow as pa
-        import pyarrow.compute as pc
 
-        head, ids = None, []
+        head, blocks = None, []
 
         def documents():
             """Output batches of the chunk gathered so far."""
-            doc_ids, counts, numbers = _unpack(head)
-            words = pa.concat_arrays(ids) if ids else pa.array([], pa.binary())
-            lengths = pc.binary_length(words).to_numpy(zero_copy_only=False)
-            size = np.append(0, np.cumsum(lengths[numbers], dtype=np.int64))
-            bounds = np.append(0, np.cumsum(counts))  # of the documents, in words
+            doc_ids, known, counts, bucket, numbers = _unpacked(head)
+            doc_ids = [d if k else None for d, k in zip(doc_ids.view(np.int64).tolist(), known.tolist())]
+            parts = [_unpacked(b) for b in blocks]
+            lengths = np.concatenate([p[0] for p in parts] or [np.zeros(0, np.uint32)]).astype(np.int64)
+            words = _binary(np.append(0, np.cumsum(lengths)), b"".join(p[1].tobytes() for p in parts))
+            place = np.empty(bucket.size, np.int64)  # of a number among the words, which come by bucket
+            place[np.argsort(bucket, kind="stable")] = np.arange(bucket.size)
+            numbers = place[numbers]
+            size = np.append(0, np.cumsum(lengths[numbers]))
+            bounds = np.append(0, np.cumsum(counts, dtype=np.int64))  # of the documents, in words
             k = 0
             while k < len(doc_ids):  # as many documents as make up one batch
                 end = max(k + 1, int(np.searchsorted(size[bounds], size[bounds[k]] + batch_bytes, "right")) - 1)
@@ -232,22 +285,20 @@ def _assemble_batches(batch_bytes):
                 k = end
 
         for b in batches:
-            heads = np.flatnonzero(b.column("k").to_numpy() < 0).tolist()
-            for first, end in zip([None, *heads], [*heads, b.num_rows]):
-                if first is not None:
+            for bucket, data in zip(b.column("bucket").to_pylist(), b.column("data").to_pylist()):
+                if bucket < 0:
                     if head:
                         yield from documents()
-                    head, ids = b.column("data")[first].as_py(), []
-                first = 0 if first is None else first + 1
-                if end > first:
-                    ids.append(b.column("data").slice(first, end - first))
+                    head, blocks = data, []
+                else:
+                    blocks.append(data)
         if head:
             yield from documents()
 
     return run
 
 
-def encode(docs: DataFrame, path: str | None = None, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
+def encode(docs: DataFrame, path: str | None = None, chunk_chars: int = CHUNK_CHARS, buckets: int = BUCKETS) -> DataFrame:
     """(doc_id, ids) for every row of ``docs``: the token ids of its text as
     little-endian unsigned 32-bit integers.
 
@@ -255,12 +306,11 @@ def encode(docs: DataFrame, path: str | None = None, chunk_chars: int = CHUNK_CH
     stays NULL; a very long text is cut a window at a time and never split over
     rows; an empty table gives an empty result; other columns are ignored.
     """
-    cut = saved(chunks(docs, chunk_chars), "pre-tokens")
-    words = cut.select("chunk", F.posexplode("words").alias("k", "word"))
-    encoded = saved(encode_words(words.select("word").distinct(), path), "word-ids")
-    back = words.join(encoded, "word").select("chunk", "k", F.col("ids").alias("data"))
-    heads = cut.select("chunk", F.lit(-1).alias("k"), "data")  # each before its words
-    stream = heads.unionByName(back).repartition("chunk").sortWithinPartitions("chunk", "k")
+    cut = saved(chunks(docs, chunk_chars, buckets), "pre-tokens")
+    blocks = cut.select("chunk", F.explode("blocks").alias("b")).select("chunk", "b.bucket", F.col("b.words").alias("data"))
+    ids = encode_blocks(blocks.repartition("bucket").sortWithinPartitions("bucket"), path)
+    heads = cut.select("chunk", F.lit(-1).alias("bucket"), "data")  # each before its words
+    stream = heads.unionByName(ids).repartition("chunk").sortWithinPartitions("chunk", "bucket")
     return stream.mapInArrow(_assemble_batches(BATCH_BYTES), "doc_id long, ids binary")
 
 

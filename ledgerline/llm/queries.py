@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import bpe, hamming, imatch, langid, licences, merkle, mixing, packing, quality, simhash, warc, wavelet
+from pyspark.sql import functions as F
+
+from . import bpe, hamming, imatch, langid, licences, merkle, mixing, negatives, packing, quality, simhash, warc, wavelet
 from .common import read
 
 
@@ -51,6 +53,13 @@ def op8_warc_archive(spark, sf_dir):
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_hard_negatives(spark, sf_dir):
+    """Anchors: every row whose id is divisible by 50; ids divisible by 7 carry the next label."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = negatives.quantised(read(spark, sf_dir, "embeddings"), label)
+    return negatives.mine(rows, F.col("id") % 50 == 0)
+
+
 def op12_merkle_manifest(spark, sf_dir):
     return merkle.Manifest(read(spark, sf_dir, "documents")).verify()
 
@@ -70,6 +79,7 @@ QUERIES = {
     "op8_warc_archive": op8_warc_archive,
     "op9_licence_scan": op9_licence_scan,
     "op10_hamming_top_k": op10_hamming_top_k,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_byte_bpe": op13_byte_bpe,
 }
@@ -78,4 +88,5 @@ ORACLE: dict[str, str] = {
     "op8_warc_archive": warc.oracle(),
     "op9_licence_scan": licences.oracle(),
     "op10_hamming_top_k": hamming.oracle(),
+    "op11_hard_negatives": negatives.oracle(),
 }

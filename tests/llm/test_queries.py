@@ -24,7 +24,7 @@ SRC = pathlib.Path(__file__).resolve().parents[2] / "ledgerline" / "llm"
 
 def test_all_are_registered():
     names = [n for n in entry_mod.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry_mod.queries() and set(ORACLE) <= set(entry_mod.oracle_sql())
 
 
