@@ -2,18 +2,20 @@
 
 1. Texts are cut into pre-tokens (``pieces.py``).  A task handles some million
    characters at a time, a chunk.  Its distinct words are numbered, the most
-   frequent first, and the chunk is written as the numbers of its words in order,
-   per document, beside its words in blocks by hash bucket.  So a word crosses the
-   network once a chunk, however often it stands there.
-2. The blocks of all chunks, exploded, are shuffled by bucket; one task meets all
-   occurrences of a word and encodes it once, by the ranks of a public vocabulary.
-   Every bucket has at most one block per chunk: no word is hot.
+   frequent first, and the chunk becomes one row: its words, and the numbers of the
+   words in order, per document.  So a word crosses the network once a chunk,
+   however often it stands there.
+2. The words of all chunks are shuffled in blocks by hash bucket; one task meets
+   all occurrences of a word and encodes it once, by the ranks of a public
+   vocabulary.  Every bucket has at most one block per chunk: no word is hot.
 3. The ids of each block go back to its chunk, where every document is put
    together again from them by position.
 4. Decoding joins every id with the table of token bytes (one row per token of
    the vocabulary, held by each worker) and puts them together in order.
 
-The chunks are written to a table once: losing an executor costs a re-read.
+The chunks are shuffled once and read by both 2 and 3; if an executor is lost, its
+chunks are cut anew, the same as before where ``docs`` gives the same rows in the
+same order (a table does; give ``common.saved`` of anything else).
 """
 
 from __future__ import annotations
@@ -26,11 +28,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import pieces
-from .common import saved, worker_cache
+from .common import worker_cache
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
-CHUNK_CHARS = 1 << 24  # a chunk ends with the document that reaches this
-BUCKETS = 1024  # of words; a task holds the distinct words of one bucket
+CHUNK_CHARS = 1 << 23  # a chunk ends with the document that reaches this
+BUCKETS = 512  # of words; a task holds the distinct words of one bucket
 BATCH_BYTES = 1 << 23  # of ids in one output batch
 
 
@@ -112,22 +114,29 @@ def _unpacked(data: bytes):
     return out
 
 
-def _block(items: list[bytes]) -> bytes:
-    """Byte strings as their lengths and their bytes."""
+def _bytes(items: list[bytes]):
+    """Byte strings as two arrays, their lengths and their bytes."""
     import numpy as np
 
-    return _packed([np.array(list(map(len, items)), "<u4"), np.frombuffer(b"".join(items), np.uint8)])
+    return [np.array(list(map(len, items)), "<u4"), np.frombuffer(b"".join(items), np.uint8)]
 
 
-def _items(block: bytes) -> list[bytes]:
+def _items(sizes, data) -> list[bytes]:
     import numpy as np
 
-    sizes, data = _unpacked(block)
     ends, data = np.cumsum(sizes).tolist(), data.tobytes()
     return [data[a:b] for a, b in zip([0, *ends], ends)]
 
 
-def _cut_batches(chunk_chars, buckets):
+def _order(words: list[bytes], buckets: int):
+    """(bucket of each word, the words' indices by bucket and, within it, number)."""
+    import numpy as np
+
+    bucket = np.fromiter((zlib.crc32(w) % buckets for w in words), np.int32, len(words))
+    return bucket, np.argsort(bucket, kind="stable")
+
+
+def _cut_batches(chunk_chars):
     def run(batches):
         import numpy as np
         import pyarrow as pa
@@ -139,27 +148,14 @@ def _cut_batches(chunk_chars, buckets):
         def flush():
             nonlocal found, doc_ids, counts, numbers, chars, made
             words, flat = found.ranked(numbers)
-            bucket = np.fromiter((zlib.crc32(w) % buckets for w in words), "<u4", len(words))
-            data = _packed(
-                [
-                    np.array([d or 0 for d in doc_ids], "<i8"),
-                    np.array([d is not None for d in doc_ids], "<u1"),
-                    np.array(counts, "<u4"),
-                    bucket,
-                    flat.astype("<u4"),
-                ]
-            )
-            blocks, by = [], np.argsort(bucket, kind="stable")
-            bounds = np.searchsorted(bucket[by], np.arange(buckets + 1)).tolist()
-            for b, (first, end) in enumerate(zip(bounds, bounds[1:])):
-                if end > first:
-                    blocks.append({"bucket": b, "words": _block([words[i] for i in by[first:end].tolist()])})
-            row = [pa.array([base + made]), pa.array([data], pa.binary()), pa.array([blocks], kind)]
+            ids = np.array([d or 0 for d in doc_ids], "<i8")
+            known = np.array([d is not None for d in doc_ids], "<u1")
+            data = _packed([ids, known, np.array(counts, "<u4"), flat.astype("<u4"), *_bytes(words)])
+            chunk = base + made
             made += 1
             found, doc_ids, counts, numbers, chars = _Words(), [], [], [], 0
-            return pa.RecordBatch.from_arrays(row, ["chunk", "data", "blocks"])
+            return pa.RecordBatch.from_arrays([pa.array([chunk]), pa.array([data], pa.binary())], ["chunk", "data"])
 
-        kind = pa.list_(pa.struct([("bucket", pa.int32()), ("words", pa.binary())]))
         for b in batches:
             at = 0
             while at < b.num_rows:
@@ -188,13 +184,35 @@ def _cut_batches(chunk_chars, buckets):
     return run
 
 
-def chunks(docs: DataFrame, chunk_chars: int = CHUNK_CHARS, buckets: int = BUCKETS) -> DataFrame:
-    """(chunk, data, blocks): the documents of each chunk as numbers of its words,
-    and its words by bucket, in the order of their numbers."""
+def chunks(docs: DataFrame, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
+    """(chunk, data): the documents of each chunk as numbers of its words, and its words."""
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    return rows.mapInArrow(
-        _cut_batches(chunk_chars, buckets), "chunk long, data binary, blocks array<struct<bucket:int,words:binary>>"
-    )
+    return rows.mapInArrow(_cut_batches(chunk_chars), "chunk long, data binary")
+
+
+def words_of(data: bytes) -> list[bytes]:
+    """The distinct words of a chunk, by number."""
+    return _items(*_unpacked(data)[4:])
+
+
+def _block_batches(buckets):
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for b in batches:
+            for chunk, data in zip(b.column("chunk").to_pylist(), b.column("data")):
+                words = words_of(data.as_py())
+                bucket, by = _order(words, buckets)
+                bounds = np.searchsorted(bucket[by], np.arange(buckets + 1)).tolist()
+                full = [k for k in range(buckets) if bounds[k + 1] > bounds[k]]
+                blocks = [_packed(_bytes([words[i] for i in by[bounds[k] : bounds[k + 1]].tolist()])) for k in full]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([chunk] * len(full), pa.int64()), pa.array(full, pa.int32()), pa.array(blocks, pa.binary())],
+                    ["chunk", "bucket", "data"],
+                )
+
+    return run
 
 
 # ------------------------------------------------------------------- encoding ---
@@ -216,7 +234,7 @@ def _encode_batches(path):
             for own, block in zip(b.column("bucket").to_pylist(), b.column("data").to_pylist()):
                 if own != bucket:
                     bucket, known = own, {}
-                words = _items(block)
+                words = _items(*_unpacked(block))
                 for w in words:
                     if w not in known:
                         known[w] = np.array(encode(w.decode("utf-8", "surrogatepass")), "<u4").tobytes()
@@ -238,7 +256,8 @@ def _binary(ends, data):
 
 
 def encode_blocks(blocks: DataFrame, path: str | None = None) -> DataFrame:
-    """(chunk, bucket, data: words) -> (chunk, bucket, data: their ids), sorted by bucket within partitions."""
+    """(chunk, bucket, data: words) -> (chunk, bucket, data: their ids); the blocks of a bucket meet in one task."""
+    blocks = blocks.repartition("bucket").sortWithinPartitions("bucket")
     return blocks.mapInArrow(_encode_batches(ranks_path(path)), "chunk long, bucket int, data binary")
 
 
@@ -255,45 +274,33 @@ def _taken(words, numbers):
     return ends - ends[0], (data if data is not None else b"")[int(ends[0]) : int(ends[-1])]
 
 
-def _assemble_batches(batch_bytes):
-    def run(batches):
+def _assemble(batch_bytes, buckets):
+    def run(heads, blocks):
+        """One chunk and the ids of its words, by bucket -> its documents."""
         import numpy as np
         import pyarrow as pa
 
-        head, blocks = None, []
-
-        def documents():
-            """Output batches of the chunk gathered so far."""
-            doc_ids, known, counts, bucket, numbers = _unpacked(head)
-            doc_ids = [d if k else None for d, k in zip(doc_ids.view(np.int64).tolist(), known.tolist())]
-            parts = [_unpacked(b) for b in blocks]
-            lengths = np.concatenate([p[0] for p in parts] or [np.zeros(0, np.uint32)]).astype(np.int64)
-            words = _binary(np.append(0, np.cumsum(lengths)), b"".join(p[1].tobytes() for p in parts))
-            place = np.empty(bucket.size, np.int64)  # of a number among the words, which come by bucket
-            place[np.argsort(bucket, kind="stable")] = np.arange(bucket.size)
-            numbers = place[numbers]
-            size = np.append(0, np.cumsum(lengths[numbers]))
-            bounds = np.append(0, np.cumsum(counts, dtype=np.int64))  # of the documents, in words
-            k = 0
-            while k < len(doc_ids):  # as many documents as make up one batch
-                end = max(k + 1, int(np.searchsorted(size[bounds], size[bounds[k]] + batch_bytes, "right")) - 1)
-                ends, data = _taken(words, pa.array(numbers[bounds[k] : bounds[end]]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc_ids[k:end], pa.int64()), _binary(ends[bounds[k : end + 1] - bounds[k]], data)],
-                    ["doc_id", "ids"],
-                )
-                k = end
-
-        for b in batches:
-            for bucket, data in zip(b.column("bucket").to_pylist(), b.column("data").to_pylist()):
-                if bucket < 0:
-                    if head:
-                        yield from documents()
-                    head, blocks = data, []
-                else:
-                    blocks.append(data)
-        if head:
-            yield from documents()
+        schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
+        if not heads.num_rows:
+            return pa.table({"doc_id": [], "ids": []}, schema=schema)
+        doc_ids, known, counts, numbers, *own = _unpacked(heads.column("data")[0].as_py())
+        doc_ids = pa.array(doc_ids.view(np.int64), mask=known == 0)
+        blocks = blocks.sort_by("bucket").column("data")
+        parts = [_unpacked(b.as_py()) for b in blocks]
+        lengths = np.concatenate([p[0] for p in parts] or [np.zeros(0, np.uint32)]).astype(np.int64)
+        words = _binary(np.append(0, np.cumsum(lengths)), b"".join(p[1].tobytes() for p in parts))
+        _, by = _order(_items(*own), buckets)
+        place = np.empty(by.size, np.int32)  # of a number among the words, which come by bucket
+        place[by] = np.arange(by.size, dtype=np.int32)
+        bounds = np.append(0, np.cumsum(counts, dtype=np.int64))  # of the documents, in words
+        out, k = [], 0
+        while k < len(doc_ids):  # some million words at a time
+            end = max(k + 1, int(np.searchsorted(bounds, bounds[k] + batch_bytes // 8, "right")) - 1)
+            ends, data = _taken(words, pa.array(place[numbers[bounds[k] : bounds[end]]]))
+            ids = _binary(ends[bounds[k : end + 1] - bounds[k]], data)
+            out.append(pa.RecordBatch.from_arrays([doc_ids.slice(k, end - k), ids], schema=schema))
+            k = end
+        return pa.Table.from_batches(out, schema=schema)
 
     return run
 
@@ -306,12 +313,9 @@ def encode(docs: DataFrame, path: str | None = None, chunk_chars: int = CHUNK_CH
     stays NULL; a very long text is cut a window at a time and never split over
     rows; an empty table gives an empty result; other columns are ignored.
     """
-    cut = saved(chunks(docs, chunk_chars, buckets), "pre-tokens")
-    blocks = cut.select("chunk", F.explode("blocks").alias("b")).select("chunk", "b.bucket", F.col("b.words").alias("data"))
-    ids = encode_blocks(blocks.repartition("bucket").sortWithinPartitions("bucket"), path)
-    heads = cut.select("chunk", F.lit(-1).alias("bucket"), "data")  # each before its words
-    stream = heads.unionByName(ids).repartition("chunk").sortWithinPartitions("chunk", "bucket")
-    return stream.mapInArrow(_assemble_batches(BATCH_BYTES), "doc_id long, ids binary")
+    cut = chunks(docs, chunk_chars).repartition("chunk")
+    ids = encode_blocks(cut.mapInArrow(_block_batches(buckets), "chunk long, bucket int, data binary"), path)
+    return cut.groupBy("chunk").cogroup(ids.groupBy("chunk")).applyInArrow(_assemble(BATCH_BYTES, buckets), "doc_id long, ids binary")
 
 
 # ------------------------------------------------------------------- decoding ---
