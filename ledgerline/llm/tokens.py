@@ -1,10 +1,12 @@
 """Token ids of whole texts, by a public tokenizer (task side).
 
 A byte-level BPE merges inside the pieces its splitting pattern yields, so the
-ids of a text are those of its pieces in turn.  Pieces repeat far more often
-than texts: each worker keeps the ids of the pieces it has met and asks the
-tokenizer only for new ones.  Texts with characters outside the plain range
-below go to the tokenizer whole.
+ids of a text are those of its pieces in turn.  Texts of plain characters are cut
+with numpy (``pieces.py``), a million characters together, and only their distinct
+pieces are looked at one by one: each worker keeps the ids of the pieces it has
+met most and asks the tokenizer for the others.  Texts with characters outside the
+plain range below go to the tokenizer whole, and so do all texts if the tokenizer
+does not split by that pattern.
 """
 
 from __future__ import annotations
@@ -12,20 +14,38 @@ from __future__ import annotations
 import re
 from itertools import chain
 
+from . import pieces as pre
 from .common import worker_cache
 
 TOKENIZER = "byte_bpe_50k.json"
-KNOWN_PIECES = 1_000_000  # pieces a worker keeps
+KNOWN_PIECES = 1 << 17  # pieces a worker keeps
+LONG_PIECE = 64  # bytes of a piece that is not kept
 CHUNK_CHARS = 1 << 20  # characters handled at a time
 
-# Plain characters, and the tokenizer's splitting pattern written for them.
+# Plain characters: every version of Unicode agrees on their classes.
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
 _PLAIN = re.compile(rf"[\t\n\r\x20-\x7e{_LETTERS}]*")
-_PIECE = re.compile(
-    rf"'(?:[stmd]|re|ve|ll)| ?[{_LETTERS}]+| ?[0-9]+| ?[^ \t\n\r{_LETTERS}0-9]+|[ \t\n\r]+(?![^ \t\n\r])|[ \t\n\r]+"
-)
 _BREAK = re.compile("[A-Za-z](?= [A-Za-z])")  # the pattern always splits after this letter
 
+# How a tokenizer file says that it splits by the pattern of ``pieces.py``.
+_SPLITS = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+
+
+def _classes():
+    """Classes of the plain characters."""
+    import numpy as np
+
+    cache = worker_cache("plain classes")
+    if not cache:
+        out = np.full(0x250, pre.OTHER, np.uint8)
+        for i in range(out.size):
+            if re.match(f"[{_LETTERS}]", chr(i)):
+                out[i] = pre.LETTER
+        out[ord("0") : ord("9") + 1] = pre.NUMBER
+        out[[9, 10, 13, 32]] = pre.SPACE
+        cache["table"] = out
+    return cache["table"]
+
 
 def parts(text: str, size: int = CHUNK_CHARS):
     """Cut a very long text where the pattern splits it anyway."""
@@ -39,10 +59,20 @@ def parts(text: str, size: int = CHUNK_CHARS):
     yield text[at:]
 
 
+def _byte_letters():
+    """The letter a byte-level model knows each byte by: visible Latin-1 characters
+    stand for themselves, the other bytes for the code points from 256 on, in order."""
+    # fixed values: the visible ones
+    own = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = (b for b in range(256) if b not in own)
+    return {b: 256 + n for n, b in enumerate(others)}
+
+
 class Encoder:
     """``encode(texts)``: one array of ids per text, by the tokenizers library."""
 
     def __init__(self, path: str | None = None, known: int = KNOWN_PIECES):
+        import json
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -55,6 +85,9 @@ class Encoder:
             path = public_tokenizers.path(TOKENIZER)
         self.tokenizer = Tokenizer.from_file(path)
         self.special = list(self.tokenizer.get_added_tokens_decoder().values())
+        settings = json.loads(self.tokenizer.to_str())
+        how = settings.get("pre_tokenizer") or {}
+        self.splits = settings["model"]["type"] == "BPE" and settings.get("normalizer") is None and _SPLITS == {k: how.get(k) for k in _SPLITS}
         self.known, self.index = known, {}
         self.ids, self.starts = np.empty(1 << 16, np.uint32), np.zeros(1 << 16, np.int64)
         self.used = 0  # ids in use; starts[: len(index) + 1] is in use
@@ -65,7 +98,9 @@ class Encoder:
     def _learn(self, pieces):
         import numpy as np
 
-        new = self._whole(pieces)
+        merge = self.tokenizer.model.tokenize
+        spelt = b"\0".join(pieces).decode("latin-1").translate(_byte_letters()).split(chr(256))  # no piece holds a NUL
+        new = [[t.id for t in merge(p)] for p in spelt]
         n, m = len(self.index), self.used + sum(map(len, new))
         if m > self.ids.size:
             self.ids = np.concatenate([self.ids, np.empty(2 * m - self.ids.size, np.uint32)])
@@ -85,19 +120,26 @@ class Encoder:
     def _plain(self, texts):
         """Ids of plain texts, and how many ids each has."""
         import numpy as np
-
-        split = [_PIECE.findall(t) for t in texts]
-        new = list(set(chain.from_iterable(split)).difference(self.index))
+        import pyarrow as pa
+
+        found, inner, counts = pre.cut(texts, _classes())
+        coded = (found.filter(pa.array(inner)) if len(texts) > 1 else found).dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        new = [w for w in words if w not in self.index]
+        long = [w for w in new if len(w) > LONG_PIECE]
+        new = [w for w in new if len(w) <= LONG_PIECE] + long if long else new
         if new:
             self._learn(new)
-        k = np.fromiter(map(self.index.__getitem__, chain.from_iterable(split)), np.int64)
+        k = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))[coded.indices.to_numpy()]
         start = self.starts[k]
         size = self.starts[k + 1] - start
         ends = np.cumsum(size)
         flat = self.ids[np.arange(ends[-1] if ends.size else 0) + np.repeat(start - ends + size, size)]
-        bounds = np.concatenate([[0], ends])[np.cumsum([0, *map(len, split)])]
-        if len(self.index) > self.known:
-            self._forget(new[max(0, self.known - len(self.index) + len(new)) :])
+        bounds = np.concatenate([[0], ends])[np.cumsum([0, *counts.tolist()])]
+        room = max(0, self.known - len(self.index) + len(new))
+        kept = min(room, len(new) - len(long))
+        if kept < len(new):
+            self._forget(new[kept:])
         return [flat[a:b] for a, b in zip(bounds, bounds[1:])]
 
     def encode(self, texts: list[str]):
@@ -116,7 +158,7 @@ class Encoder:
                 chars += len(pieces[end])
                 end += 1
             group = range(at, end)
-            plain = [i for i in group if _PLAIN.fullmatch(pieces[i]) and not any(s.content in pieces[i] for s in self.special)]
+            plain = [i for i in group if self.splits and _PLAIN.fullmatch(pieces[i]) and not any(s.content in pieces[i] for s in self.special)]
             other = sorted(set(group) - set(plain))
             got = dict(zip(plain, self._plain([pieces[i] for i in plain]) if plain else []))
             if other:
