@@ -4,8 +4,10 @@
     -> canonicalise                          one projection, no UDF
     -> publish (partitioned, clustered)      one shuffle, the only pass over raw data
     -> register + recover partitions
-    -> marts computed from the *published* table (column-pruned Parquet,
-       the raw files are not read again) -> written under their own root
+    -> states of the dates just written, computed from the *published* table
+       (column-pruned Parquet; the raw files and the other dates are not read)
+    -> marts finished from the states (``operators/mart_states.py``), written
+       under their own root
 
 Parameters replace the notebook widgets; nothing is printed -- the job returns
 what it did (paths, partition columns, detected columns, schema preview).
@@ -15,13 +17,19 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
-from ..operators import marts
+from ..operators import mart_states, marts
 from ..sinks.tables import publish, register_table, write_mart
+from ..sinks.versions import replace_table
 from ..sources.files import csv_layouts, read_raw, read_raw_by_header, read_sales, read_sales_csv
 from ..sources.raw import detected_columns, schema_preview
-from ..spec import BATCH_SPEC, DEFAULT_PARTITION_COLUMN, CanonicalSpec
+from ..spec import BATCH_SPEC, CANONICAL_SCHEMA, DEFAULT_PARTITION_COLUMN, CanonicalSpec
+
+# What the marts read: their columns are never looked up in file footers.
+MART_COLUMNS = [f for f in CANONICAL_SCHEMA.fields if f.name in ("order_id", "total_price", "quantity", "product_id_canon", "category_canon", "sale_date")]
 
 
 @dataclass
@@ -35,6 +43,18 @@ class IngestResult:
     table: DataFrame | None = None  # the published table as read back (listed once)
 
 
+def refresh_states(spark: SparkSession, table: DataFrame | str, written, states: str, whole: bool = False) -> None:
+    """Bring the states up to date with what ``publish`` wrote to ``table`` (or its path).
+
+    States of a table that had rows before its first refresh are made for all dates."""
+    rows = spark.read.schema(T.StructType([*MART_COLUMNS])).parquet(table) if isinstance(table, str) else table
+    try:
+        mart_states.read_state(spark, states, "categories").schema  # noqa: B018 - written last: all three are there
+    except AnalysisException:
+        whole = True
+    mart_states.refresh(rows, states, None if whole else [p[0] for p in written.partitions])
+
+
 def run(
     spark: SparkSession,
     input_path: str,
@@ -50,7 +70,11 @@ def run(
     spec: CanonicalSpec = BATCH_SPEC,
     required=("order_id",),
     mart_format: str = "parquet",
+    atomic: bool = False,
 ) -> IngestResult:
+    """Run the job; ``atomic`` (with ``overwrite`` and a ``table_name``) replaces the
+    table as one step: the rows go to a new folder below ``output_path`` and the
+    name, a view, is pointed to them at the end (``sinks/versions.py``)."""
     if input_format == "csv":
         layouts = csv_layouts(spark, input_path)  # one header probe serves both reads
         raw = read_raw_by_header(spark, input_path, layouts=layouts)
@@ -58,21 +82,34 @@ def run(
     else:
         raw = read_raw(spark, input_path, input_format)
         canonical = read_sales(spark, input_path, input_format, spec, required=required)
-    cols = publish(canonical, output_path, overwrite=overwrite, partition_by=partition_by, layout=layout)
-    if table_name:
-        register_table(spark, table_name, output_path, partitioned=bool(cols))
+    path = output_path
+    if atomic:
+        if not (overwrite and table_name):
+            raise ValueError("atomic is for overwriting a named table")
+        version = replace_table(spark, table_name, output_path, canonical, partition_by=partition_by, layout=layout)
+        path, cols = version.path, version.written
+    else:
+        cols = publish(canonical, output_path, overwrite=overwrite, partition_by=partition_by, layout=layout)
+        if table_name:
+            register_table(spark, table_name, output_path, partitioned=bool(cols), written=cols, replaced=overwrite)
 
-    table = spark.read.option("mergeSchema", True).parquet(output_path)
-    outputs = {
-        "daily": marts.daily_aggregates(table),
-        "top_products": marts.top_products_mart(table),
-        "top_categories": marts.top_categories(table),
-    }
+    # through the catalog, neither folders nor footers of older dates are looked at
+    table = spark.table(table_name) if table_name else spark.read.option("mergeSchema", True).parquet(path)
+    if cols == [mart_states.DATE]:
+        states = f"{marts_root.rstrip('/')}/_states"
+        refresh_states(spark, table, cols, states, whole=overwrite)
+        outputs = mart_states.finished(spark, states)
+    else:  # rows of a date are not found by a folder: one pass over the table
+        outputs = {
+            "daily": marts.daily_aggregates(table),
+            "top_products": marts.top_products_mart(table),
+            "top_categories": marts.top_categories(table),
+        }
     written = {name: write_mart(df, marts_root, name, mart_format) for name, df in outputs.items()}
     return IngestResult(
-        table_path=output_path,
+        table_path=path,
         table_name=table_name,
-        partition_columns=cols,
+        partition_columns=list(cols),
         marts=written,
         preview=schema_preview(raw, preview_fraction),
         detected=detected_columns(raw, spec),

@@ -15,9 +15,12 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import charts, cli, marts, reports
+from ..operators import charts, cli, mart_states, marts, reports
 from ..operators.canonical import canonicalise
+from ..operators.mart_states import of_dates
 from ..session import scratch_path
+from ..sinks import versions
+from ..sinks.compaction import compact_table
 from ..sinks.tables import cluster, compact, publish, register_table, write_mart
 from ..sources import raw
 from ..streaming.ingest import run_available
@@ -325,21 +328,113 @@ def q_cli_job(spark, sf_dir):
     return spark.read.schema(schema).option("header", True).csv(written["daily_with_rolling"])
 
 
+def _two_files_a_date(spark, sf_dir, path):
+    """The canonical rows in two appends, so that most dates have two files."""
+    rows = q_canonical_sales(spark, sf_dir)
+    half = F.coalesce(F.length("order_id"), F.lit(0)) % 2
+    return [publish(rows.where(half == k), path) for k in (0, 1)]
+
+
 def q_compacted_table(spark, sf_dir):
-    """The whole table in many small files per date, compacted: rows and files of
-    each date afterwards, the NULL date included."""
+    """The whole table in small files, compacted: rows and files of each date
+    afterwards, the NULL date included."""
     base = scratch_path(spark, "compact")
-    rows = q_canonical_sales(spark, sf_dir)
-    for half in (0, 1):
-        publish(rows.where(F.coalesce(F.length("order_id"), F.lit(0)) % 2 == half), f"{base}/many", layout="as_is")
+    _two_files_a_date(spark, sf_dir, f"{base}/many")
     out = compact(spark, f"{base}/many", f"{base}/few")
     files = spark.read.parquet(out).select("sale_date", F.col("_metadata.file_path").alias("file"))
     return files.groupBy("sale_date").agg(F.count("*").alias("rows"), F.count_distinct("file").alias("files"))
 
 
 def q_compacted_files(spark, sf_dir):
-    """The dates of 1995 of ``compacted_table``, which its SQL twin asks for."""
-    return q_compacted_table(spark, sf_dir).where(F.year("sale_date") == 1995)
+    """A registered table compacted in place, by plan: per date its rows, its files
+    before and after, and whether a second run would rewrite it."""
+    base = scratch_path(spark, "compact-table")
+    name = f"compact_{base.rsplit('-', 1)[1]}"
+    for written in _two_files_a_date(spark, sf_dir, f"{base}/table"):
+        register_table(spark, name, f"{base}/table", written=written)
+
+    def files_by_date(step):
+        files = spark.table(name).select("sale_date", F.col("_metadata.file_path").alias("file"))
+        counts = files.groupBy("sale_date").agg(F.count("*").alias("rows"), F.count_distinct("file").alias("files"))
+        counts.write.parquet(f"{base}/{step}")  # as of now: the catalog changes
+        return spark.read.schema(counts.schema).parquet(f"{base}/{step}")
+
+    before = files_by_date("before").withColumnRenamed("files", "files_before").drop("rows")
+    compact_table(spark, name, f"{base}/compacted")
+    after = files_by_date("after").withColumnRenamed("files", "files_after")
+    again = compact_table(spark, name, f"{base}/again").partitions
+    hit = of_dates(again).alias("rewritten_again")
+    return after.join(before.withColumnRenamed("sale_date", "_date"), F.col("sale_date").eqNullSafe(F.col("_date"))).select(
+        "sale_date", "rows", "files_before", "files_after", hit
+    )
+
+
+def q_incremental_marts(spark, sf_dir):
+    """The three marts after two appends, each of which read the dates it wrote."""
+    base = scratch_path(spark, "incremental")
+    rows = q_canonical_sales(spark, sf_dir)
+    old = F.coalesce(F.length("order_id"), F.lit(0)) % 3 == 0
+    for part in (rows.where(old), rows.where(~old)):
+        batch_ingest.refresh_states(spark, f"{base}/table", publish(part, f"{base}/table"), f"{base}/states")
+    done = mart_states.finished(spark, f"{base}/states")
+    shapes = {"daily": ("sale_date", "orders"), "top_products": ("product_id_canon", "NULL"), "top_categories": ("category_canon", "NULL")}
+    parts = [
+        done[name].selectExpr(f"'{name}' AS mart", f"CAST({key} AS STRING) AS key", "revenue", f"CAST({n} AS BIGINT) AS orders")
+        for name, (key, n) in shapes.items()
+    ]
+    return reduce(lambda x, y: x.unionByName(y), parts)
+
+
+def q_replaced_table(spark, sf_dir):
+    """A table overwritten as one step, after a first version and before an append;
+    read through its name."""
+    root = scratch_path(spark, "versions")
+    name = f"versions_{root.rsplit('-', 1)[1]}"
+    rows = q_canonical_sales(spark, sf_dir)
+    old = F.coalesce(F.year("sale_date") < 1996, F.lit(False))
+    for part in (rows.where(~old), rows.where(old)):
+        versions.replace_table(spark, name, root, part)
+    versions.append_to(spark, name, rows.where(~old))
+    return spark.table(name).select(*CANONICAL_COLUMNS, "region")
+
+
+_CSV_TIME = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+
+
+def q_typed_stream(spark, sf_dir):
+    """Events land in three drops; columns the stream was not told of get the type
+    all their values have so far, which widens from drop to drop.  Each drop is read
+    by a restarted stream."""
+    base = scratch_path(spark, "typed")
+    events = table(spark, sf_dir, "events")
+    third = F.pmod(F.col("event_id"), F.lit(3))
+    own = F.col("event_id").alias("order_id")
+    drops = (
+        events.where(third == 0).select(own, F.col("event_id").alias("points"), F.col("event_id").alias("label"), F.to_date("ts").alias("seen")),
+        events.where(third == 1).select(own, F.col("value").alias("points"), F.col("event_type").alias("label"), F.col("ts").alias("seen")),
+        events.where(third == 2).select(own, (F.col("event_id") % 2 == 0).alias("even")),
+    )
+    for drop in drops:
+        drop.coalesce(2).write.mode("append").option("header", True).option("timestampNTZFormat", _CSV_TIME).csv(f"{base}/landing")
+        out = run_available(spark, f"{base}/landing", f"{base}/table", f"{base}/_checkpoint")
+    return out.select("order_id", "points", "label", "seen", "even")
+
+
+SPARSE_NAMES = 211
+
+
+def q_sparse_stream(spark, sf_dir):
+    """JSON events that each carry one of many rare names: those share one column,
+    from which every value can be read; the common name has a column of its own."""
+    base = scratch_path(spark, "sparse")
+    events = table(spark, sf_dir, "events").where("user_id is not null")
+    text = lambda c: F.col(c).cast("string")
+    rare = F.concat(F.lit("k"), F.pmod(F.col("event_id"), F.lit(SPARSE_NAMES)).cast("string"))
+    record = F.create_map(F.lit("order_id"), text("event_id"), F.lit("kind"), text("event_type"), rare, text("user_id"))
+    events.select(F.to_json(record).alias("value")).repartition(4, "value").write.text(f"{base}/landing")
+    out = run_available(spark, f"{base}/landing", f"{base}/table", f"{base}/_checkpoint", fmt="json")
+    width = F.lit(len(out.columns)).alias("width")
+    return out.select("order_id", "kind", width, F.explode("extras").alias("name", "value"))
 
 
 def q_drifting_stream(spark, sf_dir):
@@ -395,6 +490,10 @@ QUERIES: dict[str, Query] = {
     "compacted_files": q_compacted_files,
     "compacted_table": q_compacted_table,
     "drifting_stream": q_drifting_stream,
+    "incremental_marts": q_incremental_marts,
+    "replaced_table": q_replaced_table,
+    "typed_stream": q_typed_stream,
+    "sparse_stream": q_sparse_stream,
 }
 
 
@@ -559,6 +658,18 @@ _PREVIEW = (
 )
 
 ORACLE |= {
+    "replaced_table": ORACLE["canonical_sales"],
+    "typed_stream": """
+       SELECT CAST(event_id AS VARCHAR) AS order_id,
+              CASE event_id % 3 WHEN 0 THEN CAST(event_id AS DOUBLE) WHEN 1 THEN value END AS points,
+              CASE event_id % 3 WHEN 0 THEN CAST(event_id AS VARCHAR) WHEN 1 THEN event_type END AS label,
+              CASE event_id % 3 WHEN 0 THEN CAST(CAST(ts AS DATE) AS TIMESTAMP) WHEN 1 THEN CAST(ts AS TIMESTAMP) END AS seen,
+              CASE event_id % 3 WHEN 2 THEN event_id % 2 = 0 END AS even
+       FROM events""",
+    "sparse_stream": f"""
+       SELECT CAST(event_id AS VARCHAR) AS order_id, event_type AS kind, CAST({len(CANONICAL_COLUMNS) + 2} AS INTEGER) AS width,
+              'k' || CAST(event_id % {SPARSE_NAMES} AS VARCHAR) AS name, CAST(user_id AS VARCHAR) AS value
+       FROM events WHERE user_id IS NOT NULL""",
     "schema_preview": f"WITH v AS ({SALES_VIEW_SQL})\n"
     + " UNION ALL ".join(
         f"""SELECT CAST({i} AS INTEGER) AS position, '{name}' AS column, '{kind}' AS data_type,
@@ -587,7 +698,10 @@ ORACLE |= {
         },
     ),
     "cli_job": ORACLE["rolling_7row_revenue"],
-    "compacted_files": _SALES + "SELECT sale_date, COUNT(*) AS rows, CAST(1 AS BIGINT) AS files FROM sales WHERE year(sale_date) = 1995 GROUP BY sale_date",
+    "compacted_files": _SALES
+    + """SELECT sale_date, COUNT(*) AS rows, COUNT(DISTINCT COALESCE(length(order_id), 0) % 2) AS files_before,
+              CAST(1 AS BIGINT) AS files_after, false AS rewritten_again
+       FROM sales GROUP BY sale_date""",
     "compacted_table": _SALES + "SELECT sale_date, COUNT(*) AS rows, CAST(1 AS BIGINT) AS files FROM sales GROUP BY sale_date",
     "drifting_stream": """
        SELECT CAST(event_id AS VARCHAR) AS order_id,
@@ -597,3 +711,5 @@ ORACLE |= {
               CASE WHEN event_id % 3 = 2 THEN event_type END AS note
        FROM events""",
 }
+
+ORACLE["incremental_marts"] = ORACLE["published_marts"]

@@ -9,13 +9,28 @@ append and a streaming sink never share a directory (the stream's
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from urllib.parse import unquote
+
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.resolve import first_existing
 from ..spec import CANONICAL_SCHEMA, CLUSTER_COLUMNS, DEFAULT_PARTITION_COLUMN
 
 TARGET_FILE_BYTES = 256 * 1024 * 1024
+STATEMENT_PARTITIONS = 500  # partitions named in one statement
+
+
+class Published(list):
+    """The partition columns of a write, with what it wrote: ``schema``, and
+    ``partitions``, the distinct values of the partition columns (a tuple each),
+    both known from the write itself, without looking at the table."""
+
+    def __init__(self, columns, schema: T.StructType, partitions: list[tuple]):
+        super().__init__(columns)
+        self.schema, self.partitions = schema, partitions
 
 
 def partition_columns(df: DataFrame, partition_by) -> list[str]:
@@ -47,7 +62,7 @@ def publish(
     layout: str = "clustered",
     num_partitions: int | None = None,
     max_records_per_file: int | None = 5_000_000,
-) -> list[str]:
+) -> Published:
     """Write the canonical table: append (default) or full overwrite (schema
     replaced), partitioned by ``partition_by`` when that column exists.
 
@@ -58,10 +73,14 @@ def publish(
     followed by a full rewrite.  ``layout="as_is"`` is the narrow write: no
     shuffle, but each task writes one file per date it holds, which explodes
     into small files when input files are not ordered by time.
-    Returns the partition columns used.
+    Returns the partition columns used and the partitions written, which are
+    gathered while the rows pass by.
     """
     cols = partition_columns(df, partition_by)
     data = conform(df)
+    met = Observation()
+    if cols:
+        data = data.observe(met, F.collect_set(F.struct(*[F.col(f"`{c}`") for c in cols])).alias("partitions"))
     if layout == "clustered":
         data = clustered(data, cols, CLUSTER_COLUMNS, num_partitions)
     elif layout != "as_is":
@@ -72,27 +91,92 @@ def publish(
     if cols:
         w = w.partitionBy(*cols)
     w.save(path)
-    return cols
+    return Published(cols, data.schema, sorted(_observed(met), key=str) if cols else [])
+
+
+def _observed(met: Observation) -> list[tuple]:
+    try:
+        return [tuple(p) for p in met.get["partitions"]]
+    except Py4JJavaError:  # adaptive execution leaves nothing to observe of a plan without rows
+        return []
+
+
+def add_columns(spark: SparkSession, name: str, schema: T.StructType) -> None:
+    """Add the columns of ``schema`` that the table does not have."""
+    known = {c.name.lower() for c in spark.catalog.listColumns(name)}
+    new = [f for f in schema.fields if f.name.lower() not in known]
+    if new:
+        listed = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in new)
+        spark.sql(f"ALTER TABLE IDENTIFIER(:t) ADD COLUMNS ({listed})", args={"t": name})
+
+
+def partition_spec(columns, values) -> str:
+    def literal(v):
+        return "null" if v is None else "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    return "PARTITION (" + ", ".join(f"`{c}` = {literal(v)}" for c, v in zip(columns, values)) + ")"
+
+
+def add_partitions(spark: SparkSession, name: str, columns, values: list[tuple]) -> None:
+    """Name these partitions to the catalog; the table's others are not looked at."""
+    for at in range(0, len(values), STATEMENT_PARTITIONS):
+        specs = " ".join(partition_spec(columns, v) for v in values[at : at + STATEMENT_PARTITIONS])
+        spark.sql(f"ALTER TABLE IDENTIFIER(:t) ADD IF NOT EXISTS {specs}", args={"t": name})
+
 
+def drop_partitions(spark: SparkSession, name: str, columns, values: list[tuple]) -> None:
+    """Take these partitions out of the catalog; an external table's files stay."""
+    for at in range(0, len(values), STATEMENT_PARTITIONS):
+        specs = ", ".join(partition_spec(columns, v) for v in values[at : at + STATEMENT_PARTITIONS])
+        spark.sql(f"ALTER TABLE IDENTIFIER(:t) DROP IF EXISTS {specs}", args={"t": name})
 
-def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet", partitioned: bool = True) -> None:
-    """Idempotent external-table registration; discovers partitions and columns
-    written since.
 
-    A partitioned file-source table only sees partitions in the catalog, so
-    partitions are recovered after every write (a no-op for new tables with
-    partition discovery, required after appends)."""
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
+def named_partitions(spark: SparkSession, name: str, columns) -> list[tuple]:
+    """Values, as text, of the partitions that the catalog has of a table."""
+    rows = spark.sql("SHOW PARTITIONS IDENTIFIER(:t)", args={"t": name}).collect()
+    specs = [dict(part.split("=", 1) for part in r["partition"].split("/")) for r in rows]
+    return [tuple(None if s[c] == NO_VALUE else unquote(s[c]) for c in columns) for s in specs]
+
+
+def _drop_others(spark: SparkSession, name: str, columns, values: list[tuple]) -> None:
+    kept = {tuple(None if v is None else str(v) for v in p) for p in values}
+    drop_partitions(spark, name, columns, [p for p in named_partitions(spark, name, columns) if p not in kept])
+
+
+def register_table(
+    spark: SparkSession,
+    name: str,
+    path: str,
+    fmt: str = "parquet",
+    partitioned: bool = True,
+    written: Published | None = None,
+    replaced: bool = False,
+) -> None:
+    """Idempotent external-table registration; adds partitions and columns written
+    since.
+
+    A partitioned file-source table only sees partitions in the catalog.  Given
+    ``written``, what the last ``publish`` returned, its partitions and columns are
+    added, at a cost that follows the write and not the table; without it all
+    partitions are recovered and all footers read.  ``replaced``: the write was all
+    of the table, so other partitions leave the catalog."""
     if not spark.catalog.tableExists(name):
         spark.catalog.createTable(name, path=path, source=fmt)  # external table over path
-    columns = spark.catalog.listColumns(name)
-    known = {c.name.lower() for c in columns}
-    written = spark.read.option("mergeSchema", True).format(fmt).load(path).schema
-    for f in written.fields:  # columns that later writes brought along
-        if f.name.lower() not in known:
-            column = f.name.replace("`", "``")
-            spark.sql(f"ALTER TABLE IDENTIFIER(:t) ADD COLUMNS (`{column}` {f.dataType.simpleString()})", args={"t": name})
-    if partitioned and any(c.isPartition for c in columns):
-        spark.catalog.recoverPartitions(name)
+        written = None  # whatever the folder held before is part of the table
+    columns = [c for c in spark.catalog.listColumns(name) if c.isPartition]
+    if written is not None:
+        add_columns(spark, name, written.schema)
+        if columns and partitioned:
+            if replaced:
+                _drop_others(spark, name, list(written), written.partitions)
+            add_partitions(spark, name, list(written), written.partitions)
+    else:
+        add_columns(spark, name, spark.read.option("mergeSchema", True).format(fmt).load(path).schema)
+        if columns and partitioned:
+            spark.catalog.recoverPartitions(name)
     spark.catalog.refreshTable(name)
 
 
@@ -142,9 +226,6 @@ def cluster(
     return path
 
 
-ADVISORY_SIZE = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-
-
 def compact(
     spark: SparkSession,
     path: str,
@@ -159,19 +240,19 @@ def compact(
     """Rewrite ``path`` into files of about ``target_file_bytes`` at ``out_path``
     (the input is never overwritten in place).
 
-    The size is the advisory partition size of this one write, which adaptive
-    execution applies to the REBALANCE of the ``cluster`` layout.  ``dates`` (first,
-    last) restricts the rewrite to a range of the partition column, so a large
-    table is compacted a range at a time."""
+    Each date's files are packed into bins of that size (``compaction.plan``), and
+    the number of tasks follows from their bytes; no session setting is touched, so
+    runs do not disturb each other.  ``dates`` (first, last) restricts the rewrite to
+    a range of the partition column.  A registered table is better compacted by
+    ``compaction.compact_table``, which leaves compact dates alone."""
+    from .compaction import file_sizes, plan, rewritten
+
     df = spark.read.option("mergeSchema", True).format(fmt).load(path)
+    cols = partition_columns(df, partition_by)
     if dates is not None:
-        df = df.where(F.col(partition_columns(df, partition_by)[0]).between(*[F.lit(d).cast("date") for d in dates]))
-    before = spark.conf.get(ADVISORY_SIZE, None)
-    spark.conf.set(ADVISORY_SIZE, str(int(target_file_bytes)))
-    try:
+        df = df.where(F.col(cols[0]).between(*[F.lit(d).cast("date") for d in dates]))
+    if not cols:
         return cluster(df, out_path, by=by, partition_by=partition_by, fmt=fmt)
-    finally:
-        if before is None:
-            spark.conf.unset(ADVISORY_SIZE)
-        else:
-            spark.conf.set(ADVISORY_SIZE, before)
+    everything = plan(file_sizes(df, cols[0]), target_file_bytes, min_saved=None)
+    rewritten(df, everything, cols[0], by, target_file_bytes).write.mode("overwrite").format(fmt).partitionBy(*cols).save(out_path)
+    return out_path

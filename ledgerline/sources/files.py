@@ -36,6 +36,10 @@ from ..operators.canonical import canonicalise, validate_required
 from ..spec import BATCH_SPEC, CURATED_RAW_SCHEMA, CanonicalSpec
 from .header_probe import first_lines, read_first_line  # noqa: F401 - re-exported
 
+class NoInput(ValueError):
+    """The files hold no rows that could be read: none there, or all of them empty."""
+
+
 CORRUPT_RECORD_COLUMN = "_corrupt_record"
 PATH_BUCKETS = 64
 
@@ -148,22 +152,24 @@ def _roots(path) -> list[str]:
 
 
 def read_sales_csv(
-    spark: SparkSession, path, spec: CanonicalSpec = BATCH_SPEC, *, sep: str = ",", required=(), layouts=None, roots=None, **options
+    spark: SparkSession, path, spec: CanonicalSpec = BATCH_SPEC, *, sep: str = ",", required=(), layouts=None, roots=None, shape=None, **options
 ) -> DataFrame:
     """Canonical rows from a folder of CSV files whose headers may differ.
 
     ``required`` names canonical fields (e.g. ``"order_id"``) every layout must
     provide; a layout without one fails here, before anything is written.
     ``layouts`` reuses a ``csv_layouts`` result instead of probing again; ``roots``
-    are the folders the files were listed from (default: ``path``)."""
+    are the folders the files were listed from (default: ``path``); ``shape`` is
+    applied to the canonical rows of each layout before they are put together."""
     parts = []
     for names, files in layouts if layouts is not None else csv_layouts(spark, path, sep, **options):
         raw = read_csv_layout(spark, names, files, roots or _roots(path), sep=sep, **options)
         if required:
             validate_required(raw, required, spec)
-        parts.append(canonicalise(raw, spec))
+        rows = canonicalise(raw, spec)
+        parts.append(shape(rows) if shape else rows)
     if not parts:
-        raise ValueError(f"no CSV files with a header under {path}")
+        raise NoInput(f"no CSV files with a header under {path}")
     return union_by_name(parts)
 
 
@@ -173,7 +179,7 @@ def read_raw_by_header(spark: SparkSession, path, *, sep: str = ",", layouts=Non
         layouts = csv_layouts(spark, path, sep, **options)
     parts = [read_csv_layout(spark, n, f, _roots(path), sep=sep, **options) for n, f in layouts]
     if not parts:
-        raise ValueError(f"no CSV files with a header under {path}")
+        raise NoInput(f"no CSV files with a header under {path}")
     return union_by_name(parts)
 
 
@@ -210,14 +216,16 @@ def read_raw(spark: SparkSession, path, fmt: str = "csv", how: str = "inferred",
 
 
 def read_sales(
-    spark: SparkSession, path, fmt: str = "csv", spec: CanonicalSpec = BATCH_SPEC, *, required=(), **options
+    spark: SparkSession, path, fmt: str = "csv", spec: CanonicalSpec = BATCH_SPEC, *, required=(), shape=None, **options
 ) -> DataFrame:
-    """Canonical sales rows from raw files of any supported format."""
+    """Canonical sales rows from raw files of any supported format (``shape``: see
+    ``read_sales_csv``; JSON has one layout)."""
     if fmt == "csv":
-        return read_sales_csv(spark, path, spec, required=required, **options)
+        return read_sales_csv(spark, path, spec, required=required, shape=shape, **options)
     paths = [path] if isinstance(path, str) else list(path)
     if fmt == "json":
-        return _sales_json(spark, paths, spec, required, options)
+        rows = _sales_json(spark, paths, spec, required, options)
+        return shape(rows) if shape else rows
     # Parquet: the files of one footer schema are one layout.  Canonical columns
     # have fixed types, so files that disagree on a type (INT vs BIGINT quantity,
     # which Parquet refuses to merge) still union cleanly.
@@ -226,9 +234,10 @@ def read_sales(
         raw = spark.read.options(**options).parquet(*files)
         if required:
             validate_required(raw, required, spec)
-        parts.append(canonicalise(raw, spec))
+        rows = canonicalise(raw, spec)
+        parts.append(shape(rows) if shape else rows)
     if not parts:
-        raise ValueError(f"no files under {path}")
+        raise NoInput(f"no files under {path}")
     return union_by_name(parts)
 
 
@@ -246,7 +255,7 @@ def parquet_layouts(spark: SparkSession, paths: list[str]) -> list[list[str]]:
 RECORD_COLUMN = "_record"
 
 
-def _key_path(name: str) -> str:
+def json_path(name: str) -> str:
     """JSON path of a top-level key that may hold dots, blanks or one kind of quote."""
     return f'$["{name}"]' if '"' not in name else f"$['{name}']"
 
@@ -258,11 +267,11 @@ def _sales_json(spark: SparkSession, paths: list[str], spec: CanonicalSpec, requ
     records = spark.read.options(**options).option("singleVariantColumn", RECORD_COLUMN).json(paths)
     raw = records.select(
         RECORD_COLUMN,
-        *[F.try_variant_get(RECORD_COLUMN, _key_path(f.name), f.dataType.simpleString()).alias(f.name) for f in schema.fields],
+        *[F.try_variant_get(RECORD_COLUMN, json_path(f.name), f.dataType.simpleString()).alias(f.name) for f in schema.fields],
     )
     if required:
         validate_required(raw, required, spec)
-    has = lambda name: F.variant_get(RECORD_COLUMN, _key_path(name), "variant").isNotNull()
+    has = lambda name: F.variant_get(RECORD_COLUMN, json_path(name), "variant").isNotNull()
     return canonicalise(raw, spec, present=has).drop(RECORD_COLUMN)
 
 

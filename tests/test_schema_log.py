@@ -1,0 +1,202 @@
+"""Types and names a stream learns: counts, widening, promotion, restart."""
+
+import datetime as dt
+import json
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerline.streaming import ingest, schema_log
+from ledgerline.streaming.ingest import columns_of, read_sink, run_available
+
+from . import fixtures as fx
+
+KINDS = {
+    "bigint": ["0", "-7", "9223372036854775807"],
+    "double": ["1", "2.50", "-1e3"],
+    "date": ["2024-02-29", "1999-01-01"],
+    "timestamp_ntz": ["2024-02-29", "2024-02-29 10:00", "2024-02-29T10:00:01.5"],
+    "boolean": ["true", "FALSE"],
+    "string": ["1", "x"],
+}
+
+
+def measured(spark, maps):
+    return schema_log.measured(spark.createDataFrame([(m,) for m in maps], "extras map<string,string>"))
+
+
+def kinds(log):
+    return {r.name: r.kind for r in log.where("name <> ''").select("name", schema_log.kind().alias("kind")).collect()}
+
+
+def test_a_type_holds_while_every_value_reads_as_it(spark):
+    maps = [{k: v[i % len(v)] for k, v in KINDS.items()} for i in range(6)]
+    assert kinds(measured(spark, maps)) == {k: k for k in KINDS}
+
+
+@pytest.mark.parametrize("value", ["007", "+5", "12a", "9223372036854775808x", "2024-02-30", "2024-2-3", "yes", "NaN", "1,5", "", " 1"])
+def test_what_reads_as_no_type_is_text(spark, value):
+    assert kinds(measured(spark, [{"a": value}])) == {"a": "string"}
+
+
+def test_counts_of_batches_add_up_to_those_of_all_rows(spark, scratch):
+    maps = [{"a": "1", "b": "2.5"}, {"A ": "2024-01-01"}, None, {"b": "7"}, {}, {"a": "1", "c": "true"}]
+    log = schema_log.empty(spark)
+    for i, m in enumerate(maps):
+        log = schema_log.write_version(log, measured(spark, [m]), scratch, str(i))
+    whole = schema_log.write_version(schema_log.empty(spark), measured(spark, maps), scratch, "all")
+    cols = ["name", *schema_log.COUNTS]
+    assert sorted(map(tuple, log.select(cols).collect())) == sorted(map(tuple, whole.select(cols).collect()))
+    assert {r.name: r.n for r in whole.collect()} == {"": 6, "a": 3, "b": 2, "c": 1}
+
+
+def test_promotion_is_by_share_and_for_good(spark, scratch):
+    log = schema_log.write_version(schema_log.empty(spark), measured(spark, [{"seen": "1"}, {"rare": "x", "batch": "1", "extras": "y"}]), scratch, "0", share=0.5)
+    assert [p.name for p in schema_log.promoted(log, ["total_price"], 0.5)] == ["rare", "seen"]  # reserved names never
+    later = schema_log.write_version(log, measured(spark, [{"other": "1"}] * 8), scratch, "1", share=0.5)
+    assert [p.name for p in schema_log.promoted(later, [], 0.5)] == ["other", "rare", "seen"]
+    assert [p.name for p in schema_log.promoted(later, ["Rare"], 0.5)] == ["other", "seen"]
+
+
+def drops(land, texts):
+    for i, text in enumerate(texts):
+        fx.write(land, f"{i}.csv", text)
+
+
+def stream(spark, scratch, **kw):
+    return run_available(spark, *(os.path.join(scratch, x) for x in ("land", "out", "ckpt")), **kw)
+
+
+def test_a_type_widens_over_three_drops_and_keeps_old_values(spark, scratch):
+    land = os.path.join(scratch, "land")
+    seen = []
+    for i, value in enumerate(["12", "7.50", "n/a"]):
+        fx.write(land, f"{i}.csv", f"order_id,weight,day,code\n{i},{value},2024-01-0{i + 1},00{i}\n")
+        out = stream(spark, scratch)  # each call restarts the stream: the log is read again
+        kind = dict(out.dtypes)
+        seen.append(kind["weight"])
+        assert kind["day"] == "date" and kind["code"] == "string"
+    assert seen == ["bigint", "double", "string"]
+    assert [(r.order_id, r.weight, r.day, r.code) for r in out.orderBy("order_id").collect()] == [
+        ("0", "12", dt.date(2024, 1, 1), "000"), ("1", "7.50", dt.date(2024, 1, 2), "001"), ("2", "n/a", dt.date(2024, 1, 3), "002"),
+    ]
+
+
+def test_a_restart_goes_on_from_the_log(spark, scratch):
+    land, out = os.path.join(scratch, "land"), os.path.join(scratch, "out")
+    fx.write(land, "a.csv", "order_id,size\n1,5\n2,6\n")
+    stream(spark, scratch)
+    fx.write(land, "b.csv", "order_id,size\n3,7.5\n")
+    stream(spark, scratch)
+    last = ingest.last_commit(spark, out)
+    totals = {r.name: (r.n, r.longs, r.doubles) for r in schema_log.read_version(spark, out, last.attempt).collect()}
+    assert totals == {"": (3, 0, 0), "size": (3, 2, 3)} and columns_of(spark, out) == [schema_log.Promoted("size", "double")]
+    assert sorted(r.size for r in read_sink(spark, out).select(F.col("size")).collect()) == [5.0, 6.0, 7.5]
+
+
+def test_names_without_number_leave_the_width_alone(spark, scratch):
+    """10,000 distinct unknown names, each in one row of 200."""
+    land = os.path.join(scratch, "land")
+    os.makedirs(land)
+    with open(os.path.join(land, "a.json"), "w") as f:
+        for i in range(200):
+            f.write(json.dumps({"order_id": str(i), "common": i, **{f"n{i}_{k}": f"v{i}.{k}" for k in range(50)}}) + "\n")
+    out = stream(spark, scratch, fmt="json")
+    assert out.columns[-2:] == ["extras", "common"] and len(out.columns) == len(ingest.CANONICAL_COLUMNS) + 2
+    rows = {r.order_id: r for r in out.select("order_id", "common", "extras").collect()}
+    assert all(rows[str(i)].extras == {f"n{i}_{k}": f"v{i}.{k}" for k in range(50)} and rows[str(i)].common == i for i in range(200))
+
+
+def test_values_from_before_the_promotion_are_in_the_column(spark, scratch):
+    land = os.path.join(scratch, "land")
+    many = "".join(f"{i}\n" for i in range(99))
+    fx.write(land, "a.csv", "order_id\n" + many)
+    fx.write(land, "b.csv", "order_id,Gift Note,gift note \nx,3,4\n")
+    stream(spark, scratch, max_files_per_trigger=1)
+    assert [p.name for p in columns_of(spark, os.path.join(scratch, "out"))] == []
+    fx.write(land, "c.csv", "order_id, GIFT note\n" + "".join(f"c{i},{i}\n" for i in range(50)))
+    got = {r.order_id: (r["gift note"], r.extras) for r in stream(spark, scratch).collect()}
+    assert got["c7"][0] == 7 and got["5"] == (None, None) and got["x"][0] == 3
+
+
+def test_json_nested_values_nulls_and_spellings(spark, scratch):
+    land = os.path.join(scratch, "land")
+    fx.write(land, "a.json", '{"ORDER_ID": "1", "tags": ["a", {"b": 1}], "Note": "x", "note": "y", "none": null, "ok": true}\n{"order_id": 2, "ok": false}\n')
+    got = {r.order_id: r for r in stream(spark, scratch, fmt="json").collect()}
+    assert json.loads(got["1"].tags) == ["a", {"b": 1}] and got["1"].ok is True and got["2"].ok is False
+    assert {got["1"].note} | set((got["1"].extras or {}).values()) >= {"x"} and "none" not in got["1"].asDict()
+    assert got["1"].order_id == "1"
+
+
+def test_a_reader_sees_every_row_once_while_a_batch_runs_again(spark, scratch):
+    land, out = os.path.join(scratch, "land"), os.path.join(scratch, "out")
+    fx.write(land, "a.csv", fx.F1)
+    write = ingest._write_batch(out, "csv", ingest.STREAM_SPEC, None, "sale_date", {})
+    paths = spark.createDataFrame([(os.path.join(land, "a.csv"),)], "path string")
+    write(paths, 0)
+    before = read_sink(spark, out)
+    fx.write(land, "a.csv", fx.F1 + "4,2024-01-09,c9,p9,A9,1,1.00,toys,s9\n")
+    real = ingest.time.time_ns
+
+    def at_commit():  # the new folders are written, the commit is not
+        assert read_sink(spark, out).count() == 3
+        return real()
+
+    ingest.time.time_ns = at_commit
+    try:
+        write(paths, 0)
+    finally:
+        ingest.time.time_ns = real
+    assert before.count() == 3 and read_sink(spark, out).count() == 4
+    assert len([d for _, ds, _ in os.walk(out) for d in ds if d.startswith("batch=")]) == 5
+
+
+def test_a_batch_that_fails_before_its_commit_is_invisible(spark, scratch, monkeypatch):
+    land, out = os.path.join(scratch, "land"), os.path.join(scratch, "out")
+    fx.write(land, "a.csv", fx.F1)
+    monkeypatch.setattr(ingest.time, "time_ns", lambda: 1 / 0)
+    with pytest.raises(Exception):
+        stream(spark, scratch)
+    assert any(f.endswith(".parquet") for _, _, fs in os.walk(out) for f in fs) and read_sink(spark, out).count() == 0
+    monkeypatch.undo()
+    assert stream(spark, scratch).count() == 3  # the same batch again
+
+
+def test_dates_come_first_and_a_date_filter_prunes(spark, scratch):
+    land, out = os.path.join(scratch, "land"), os.path.join(scratch, "out")
+    fx.write(land, "a.csv", fx.F1)
+    back = stream(spark, scratch, partition_by="sale_date")
+    assert all(p.startswith("sale_date=") or p[0] in "_." for p in os.listdir(out))
+    day = back.where(F.col("sale_date") == dt.date(2024, 1, 2))
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    pruned = plan.split("PartitionFilters: ")[1].split("]")[0]
+    assert "sale_date" in pruned and "batch" in pruned and day.count() == 1
+
+
+def test_registration_takes_committed_batches_only(spark, scratch):
+    land, out = os.path.join(scratch, "land"), os.path.join(scratch, "out")
+    fx.write(land, "a.csv", fx.F1)
+    stream(spark, scratch, partition_by="sale_date")
+    name = "registered_sink_test"
+    try:
+        assert ingest.register_sink(spark, name, out) and spark.table(name).count() == 3
+        fx.write(land, "b.csv", fx.F4.replace("\n", ",P\n").replace("customer_id,P", "customer_id,promo"))
+        stream(spark, scratch, partition_by="sale_date")
+        assert spark.table(name).count() == 3
+        ingest.register_sink(spark, name, out)
+        assert spark.table(name).count() == 5 and {r.promo for r in spark.table(name).collect()} == {None, "P"}
+        # batch 1 is committed again with other rows: its old folders leave the table
+        write = ingest._write_batch(out, "csv", ingest.STREAM_SPEC, None, "sale_date", {})
+        fx.write(land, "c.csv", fx.F5)
+        write(spark.createDataFrame([(os.path.join(land, "c.csv"),)], "path string"), 1)
+        ingest.register_sink(spark, name, out)
+        assert sorted(r.order_id for r in spark.table(name).collect()) == ["1", "2", "3", "9"]
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_empty_files_and_an_empty_sink(spark, scratch):
+    land, out = os.path.join(scratch, "land"), os.path.join(scratch, "out")
+    fx.write(land, "a.csv", "")
+    assert stream(spark, scratch).count() == 0 and read_sink(spark, out).columns[:2] == ["order_id", "customer_id"]

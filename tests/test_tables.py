@@ -1,0 +1,254 @@
+"""Registration by what was written, overwriting as one step, compaction by plan,
+marts from touched dates."""
+
+import datetime as dt
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerline.operators import mart_states, marts
+from ledgerline.plans import batch_ingest
+from ledgerline.sinks import compaction, tables, versions
+from ledgerline.sinks.tables import publish, register_table
+
+from . import fixtures as fx
+
+SCHEMA = "order_id string, sale_date date, total_price double, quantity long, product_id_canon string, category_canon string, seller_canon string"
+
+
+def sales(spark, days, start=0, per_day=3):
+    rows = [
+        (str(start + i * per_day + k), d, 1.25 * (i + k + 1), k + 1, f"p{(i + k) % 4}", ["toys", "books"][k % 2], f"s{k}")
+        for i, d in enumerate(days)
+        for k in range(per_day)
+    ]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def day(n):
+    return dt.date(2024, 1, 1) + dt.timedelta(n)
+
+
+def rows_of(df):
+    return sorted(map(str, (tuple(r) for r in df.collect())))
+
+
+@pytest.fixture
+def name(spark):
+    own = "tables_test"
+    yield own
+    spark.sql(f"DROP VIEW IF EXISTS {own}") if versions_view(spark, own) else spark.sql(f"DROP TABLE IF EXISTS {own}")
+    for t in [t.name for t in spark.catalog.listTables() if t.name.startswith(own)]:
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
+
+
+def versions_view(spark, own):
+    return spark.catalog.tableExists(own) and spark.catalog.getTable(own).tableType == "VIEW"
+
+
+def test_publish_tells_the_partitions_it_wrote(spark, scratch):
+    out = publish(sales(spark, [day(0), day(2), None, day(0)]), os.path.join(scratch, "t"))
+    assert out == ["sale_date"] and set(out.partitions) == {(None,), (day(0),), (day(2),)}
+    assert out.schema.names == [f.split()[0] for f in SCHEMA.split(", ")]
+    assert publish(sales(spark, []), os.path.join(scratch, "e")).partitions == []
+
+
+def test_registering_an_append_looks_at_nothing_old(spark, scratch, name, monkeypatch):
+    path = os.path.join(scratch, "t")
+    register_table(spark, name, path, written=publish(sales(spark, [day(n) for n in range(20)]), path))
+    later = sales(spark, [day(30), None, day(3)], start=500).withColumn("promo", F.lit("x"))
+    written = publish(later, path)
+    seen = []
+    real = type(spark).sql
+    monkeypatch.setattr(type(spark), "sql", lambda self, q, *a, **k: seen.append(q) or real(self, q, *a, **k))
+    monkeypatch.setattr(type(spark.catalog), "recoverPartitions", lambda *a: pytest.fail("listed the whole table"))
+    register_table(spark, name, path, written=written)
+    assert len(seen) == 2 and "ADD COLUMNS" in seen[0]
+    assert all((d in seen[1]) == (d in ("2024-01-31", "2024-01-04")) for d in ("2024-01-31", "2024-01-04", "2024-01-05", "2024-01-10"))
+    assert spark.table(name).count() == 69 and spark.table(name).where("promo = 'x'").count() == 9
+    assert spark.table(name).where("sale_date is null").count() == 3
+
+
+def test_partition_values_are_quoted(spark, scratch, name):
+    path = os.path.join(scratch, "t")
+    odd = spark.createDataFrame([("a'b", 1), ("c\\d", 2), ("e f", 3), (None, 4)], "k string, v int")
+    register_table(spark, name, path, written=publish(odd.where("v = 3"), path, partition_by="k"))
+    register_table(spark, name, path, written=publish(odd.where("v <> 3"), path, partition_by="k"))
+    assert rows_of(spark.table(name).select("k", "v")) == rows_of(odd)
+
+
+# ------------------------------------------------------------------- versions ---
+
+
+def test_replacing_a_table_is_one_step(spark, scratch, name):
+    root = os.path.join(scratch, "t")
+    first = versions.replace_table(spark, name, root, sales(spark, [day(0), day(1)]))
+    reader = spark.table(name)
+    versions.replace_table(spark, name, root, sales(spark, [day(5)], start=50).withColumn("promo", F.lit(1)))
+    assert spark.table(name).count() == 3 and "promo" in spark.table(name).columns
+    assert reader.count() == 6  # a query that had started goes on with the old version
+    assert versions.versions(spark, name)[0] == first.table and len(versions.versions(spark, name)) == 2
+
+
+def test_a_writer_that_fails_half_way_leaves_the_table_whole(spark, scratch, name):
+    root = os.path.join(scratch, "t")
+    versions.replace_table(spark, name, root, sales(spark, [day(0), day(1)]))
+    before = rows_of(spark.table(name))
+    broken = sales(spark, [day(n) for n in range(9)]).withColumn("quantity", F.when(F.col("order_id") == "20", F.raise_error(F.lit("half way")).cast("long")).otherwise(F.col("quantity")))
+    with pytest.raises(Exception, match="half way"):
+        versions.replace_table(spark, name, root, broken)
+    assert rows_of(spark.table(name)) == before and len(versions.versions(spark, name)) == 1
+
+
+def test_appends_and_dropping_old_versions(spark, scratch, name):
+    root = os.path.join(scratch, "t")
+    old = versions.replace_table(spark, name, root, sales(spark, [day(0)]))
+    new = versions.replace_table(spark, name, root, sales(spark, [day(1)]))
+    versions.append_to(spark, name, sales(spark, [day(2), None], start=9).withColumn("promo", F.lit("p")))
+    assert spark.table(name).count() == 9 and spark.table(name).where("promo = 'p'").count() == 6
+    assert versions.drop_versions(spark, name) == [old.table] and not os.path.exists(old.path)
+    assert os.path.exists(new.path) and spark.table(name).count() == 9 and versions.drop_versions(spark, name) == []
+    with pytest.raises(ValueError, match="no version"):
+        versions.append_to(spark, "tables_test_other", sales(spark, [day(1)]))
+
+
+def test_a_plain_table_is_not_replaced(spark, scratch, name):
+    path = os.path.join(scratch, "plain")
+    register_table(spark, name, path, written=publish(sales(spark, [day(0)]), path))
+    with pytest.raises(ValueError, match="is a table"):
+        versions.replace_table(spark, name, os.path.join(scratch, "t"), sales(spark, [day(1)]))
+    assert not os.path.exists(os.path.join(scratch, "t"))
+
+
+def test_the_batch_job_overwrites_as_one_step(spark, scratch, name):
+    src, args = os.path.join(scratch, "raw"), (os.path.join(scratch, "t"), os.path.join(scratch, "m"))
+    fx.write(src, "a.csv", fx.F1)
+    batch_ingest.run(spark, src, *args, table_name=name, overwrite=True, atomic=True)
+    fx.write(src, "a.csv", fx.F2)
+    res = batch_ingest.run(spark, src, *args, table_name=name, overwrite=True, atomic=True)
+    assert {r.order_id for r in spark.table(name).collect()} == {"4", "5"} == {r.order_id for r in res.table.collect()}
+    assert spark.read.parquet(res.marts["daily"]).count() == 1
+    with pytest.raises(ValueError, match="named table"):
+        batch_ingest.run(spark, src, *args, table_name=None, overwrite=True, atomic=True)
+
+
+def test_overwriting_drops_the_dates_that_are_gone(spark, scratch, name):
+    src, args = os.path.join(scratch, "raw"), (os.path.join(scratch, "t"), os.path.join(scratch, "m"))
+    for text, ids in ((fx.F1, {"1", "2", "3"}), (fx.F2, {"4", "5"})):
+        fx.write(src, "a.csv", text)
+        batch_ingest.run(spark, src, *args, table_name=name, overwrite=True)
+        assert {r.order_id for r in spark.table(name).collect()} == ids
+
+
+# ----------------------------------------------------------------- compaction ---
+
+
+def test_bins_hold_no_more_than_the_target_and_one_file(spark):
+    sizes = spark.createDataFrame([(d, f"{d}{i}", b) for d, bs in {"a": [70, 50, 30, 30, 20, 10, 5], "b": [500], "c": [90, 90], "d": [1] * 9}.items() for i, b in enumerate(bs)], "part string, file string, bytes long")
+    got = compaction.plan(sizes, target=100, min_saved=0.5).collect()
+    assert {r.part for r in got} == {"a", "d"}  # one file, or files that fill their bins, stay
+    assert {r.part for r in compaction.plan(sizes, 100, min_saved=None).collect()} == {"a", "b", "c", "d"}
+    held = {}
+    for r in got:
+        held.setdefault((r.part, r.bin), []).append(r.bytes)
+    assert all(sum(b) - max(b) <= 100 for b in held.values()) and len(held) == 4
+
+
+def small_files(spark, path, days, parts=4):
+    for k in range(parts):
+        w = publish(sales(spark, days, start=1000 * k), path)
+    return w
+
+
+def files_by_day(spark, name):
+    rows = spark.table(name).select("sale_date", F.col("_metadata.file_path").alias("f"))
+    return {str(r.sale_date): r.n for r in rows.groupBy("sale_date").agg(F.count_distinct("f").alias("n")).collect()}
+
+
+def test_a_second_compaction_rewrites_nothing(spark, scratch, name):
+    path, days = os.path.join(scratch, "t"), [day(0), day(1), None]
+    small_files(spark, path, days)
+    publish(sales(spark, [day(9)], start=9000), path)  # compact already
+    register_table(spark, name, path)
+    before = rows_of(spark.table(name))
+    assert files_by_day(spark, name) == {"2024-01-01": 4, "2024-01-02": 4, "None": 4, "2024-01-10": 1}
+    reader = spark.table(name)
+    done = compaction.compact_table(spark, name, os.path.join(scratch, "c"))
+    assert done.partitions == [None, day(0), day(1)]
+    assert files_by_day(spark, name) == {"2024-01-01": 1, "2024-01-02": 1, "None": 1, "2024-01-10": 1}
+    assert rows_of(spark.table(name)) == before == rows_of(reader)
+    assert compaction.compact_table(spark, name, os.path.join(scratch, "c")) == compaction.Compaction(None, [])
+
+
+def test_a_large_date_becomes_several_files(spark, scratch, name):
+    path = os.path.join(scratch, "t")
+    small_files(spark, path, [day(0)], parts=8)
+    register_table(spark, name, path)
+    size = max(r.bytes for r in compaction.file_sizes(spark.table(name), "sale_date").collect())
+    before = rows_of(spark.table(name))
+    compaction.compact_table(spark, name, os.path.join(scratch, "c"), target_file_bytes=2 * size)
+    assert 2 <= files_by_day(spark, name)["2024-01-01"] <= 5 and rows_of(spark.table(name)) == before
+
+
+def test_compaction_touches_no_setting(spark, scratch):
+    from ledgerline.sinks.tables import compact
+
+    path = os.path.join(scratch, "t")
+    small_files(spark, path, [day(0), None])
+    before = dict(spark.sparkContext.getConf().getAll()), spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    out = compact(spark, path, os.path.join(scratch, "c"), dates=("2024-01-01", "2024-01-01"))
+    assert spark.read.parquet(out).count() == 12
+    assert before == (dict(spark.sparkContext.getConf().getAll()), spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes"))
+
+
+# ---------------------------------------------------------------------- marts ---
+
+
+def expected(df):
+    return {"daily": marts.daily_aggregates(df), "top_products": marts.top_products_mart(df), "top_categories": marts.top_categories(df)}
+
+
+def test_marts_of_appends_equal_a_full_recompute(spark, scratch):
+    path, states = os.path.join(scratch, "t"), os.path.join(scratch, "s")
+    parts = [[day(0), day(1), None], [day(1), day(2)], [None], [day(0)] * 3]
+    for k, days in enumerate(parts):
+        written = publish(sales(spark, days, start=100 * k), path)
+        batch_ingest.refresh_states(spark, path, written, states)
+        batch_ingest.refresh_states(spark, path, written, states)  # again: nothing changes
+        want = expected(spark.read.parquet(path))
+        got = mart_states.finished(spark, states)
+        for m, df in want.items():
+            assert [tuple(r) for r in got[m].collect()] == [tuple(r) for r in df.collect()], (k, m)
+
+
+def test_a_refresh_reads_the_touched_dates_only(spark, scratch):
+    path = os.path.join(scratch, "t")
+    publish(sales(spark, [day(n) for n in range(10)] + [None]), path)
+    rows = spark.read.parquet(path).where(mart_states.of_dates([day(3), None]))
+    for state in mart_states.partial_states(rows).values():
+        plan = state._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [(cast(sale_date" in plan or "PartitionFilters: [(" in plan
+        assert "partial_" in plan
+    assert sorted(str(r.sale_date) for r in rows.select("sale_date").distinct().collect()) == ["2024-01-04", "None"]
+    assert len(rows.inputFiles()) >= 2 and len({os.path.dirname(f) for f in rows.select(F.col("_metadata.file_path").alias("f")).distinct().toPandas()["f"]}) == 2
+    assert mart_states.partial_states(spark.read.parquet(path).where(mart_states.of_dates([])))["daily"].count() == 0
+
+
+def test_states_of_a_table_that_was_there_before(spark, scratch):
+    path, states = os.path.join(scratch, "t"), os.path.join(scratch, "s")
+    publish(sales(spark, [day(0), day(1)]), path)
+    written = publish(sales(spark, [day(7)], start=70), path)
+    batch_ingest.refresh_states(spark, path, written, states)
+    assert [r.sale_date for r in mart_states.daily(spark, states).collect()] == [day(0), day(1), day(7)]
+
+
+def test_the_batch_job_refreshes_by_append(spark, scratch, name):
+    src, args = os.path.join(scratch, "raw"), (os.path.join(scratch, "t"), os.path.join(scratch, "m"))
+    for text in (fx.F1, fx.F2, fx.F4):
+        fx.write(src, "a.csv", text)
+        res = batch_ingest.run(spark, src, *args, table_name=name)
+    assert spark.table(name).count() == 7
+    for m, df in expected(spark.table(name)).items():
+        back = spark.read.parquet(res.marts[m])
+        assert rows_of(back.select(df.columns)) == rows_of(df), m
