@@ -21,6 +21,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.functions import ArrowUDFType, arrow_udf
 
 from .common import saved
 from .textfeatures import DIMS, code_points, letters_only, ngram_counts, unit
@@ -214,23 +215,20 @@ def identify(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> DataFr
     return predict(docs, fit(docs, per_language))
 
 
-def _accept_batches(model, min_score):
-    def run(batches):
+def _fits(model, min_score):
+    def run(texts):
         import pyarrow as pa
 
-        for b in batches:
-            texts = b.column(b.schema.get_field_index("text")).to_pylist()
-            yield b.filter(pa.array([model.fits(t, min_score) for t in texts], pa.bool_()))
+        return pa.array([model.fits(t.as_py(), min_score) for t in texts], pa.bool_())
 
-    return run
+    return arrow_udf(run, "boolean", ArrowUDFType.SCALAR)
 
 
 def accepted(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, min_score: float = MIN_SCORE) -> DataFrame:
     """Rows of ``docs`` whose language is recognised: not ``und``, a score of at least
     ``min_score``, and a text that fits a learned language (``Model.fits``).  All
     columns are kept."""
-    model = fit(docs, per_language)
-    return docs.mapInArrow(_accept_batches(model, min_score), docs.schema)
+    return docs.where(_fits(fit(docs, per_language), min_score)("text"))  # only the texts leave the JVM
 
 
 __all__ = ["DIMS", "accepted", "fit", "identify", "predict"]

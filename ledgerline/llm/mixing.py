@@ -1,19 +1,21 @@
 """Mixing documents to target domain weights by soft membership.
 
-1. A labelled table (doc_id, domain) fits a naive Bayes classifier: document
-   frequencies of words per domain over a bounded sample of labelled documents,
-   of which the words that tell most about the domain are kept.
-2. Every document gets posteriors over the domains (they sum to one) from the
-   vocabulary words it holds.
-3. Rates r >= 0 are fitted so that the expected tokens of each domain, the sum of
-   rate * tokens * posterior, match the targets: projected gradient descent on
-   the squared relative errors, from r = 1.  A step moves a document only along
-   its posteriors, so documents of equal (rounded) posteriors share a rate, and
+1. A labelled table (doc_id, domain) fits a multinomial logistic classifier on a
+   bounded sample of labelled documents.  Its features are the presence of the
+   words and symbol runs that tell most about the domain, and a few shares of the
+   text (symbols, capitals, repeats).  The weights have a prior of a fixed width, so
+   little evidence moves the posteriors little: they are probabilities, not scores.
+2. Every document gets posteriors over the domains (they sum to one) from the whole
+   of its text.
+3. Rates 0 <= r <= MAX_RATE are fitted so that the expected tokens of each domain,
+   the sum of rate * tokens * posterior, match the targets: projected gradient
+   descent on the squared relative errors, from r = 1.  A step moves a document only
+   along its posteriors, so documents of equal (rounded) posteriors share a rate, and
    each step is an aggregate over these cells.
 
-DataFrame and SQL functions throughout.  Texts are read twice (a sample, then
-all); after the exploded words met the vocabulary only its words remain, and
-they are added up per document within the task that read it.
+DataFrame and SQL functions and the DataFrame classifiers of Spark throughout.  A
+posterior and a rate depend on the row alone and on tables whose size is bounded
+(vocabulary, cells), so no text is shuffled.
 """
 
 from __future__ import annotations
@@ -21,19 +23,24 @@ from __future__ import annotations
 import logging
 import math
 
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import CountVectorizerModel, VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, saved
+from .common import saved
 
 TARGETS = {"good": 0.97, "poor": 0.02, "toxic": 0.01}
 SAMPLE = 20_000  # labelled documents the classifier is fitted on (expected number)
-VOCABULARY = 500  # words
-MIN_DOCUMENTS = 5  # of the sample that hold a vocabulary word
-MARKER = 5.0  # a word this many times as frequent in one domain as in any other marks it
+VOCABULARY = 500  # words and symbol runs
+WEIGHT_VARIANCE = 0.5  # of the classifier's weights, before any document is seen
+SHARE_SCALE = 10.0  # of a share against the presence of a word
+MAX_RATE = 8.0  # most copies of a document that the fit may ask for
 DECIMALS = 3  # posteriors are rounded to
 STEPS = 200
 STEPS_PER_TABLE = 20  # between two written tables of rates
+PLAIN_STEPS = 10  # after a scaled step that the bounds spoilt
 STALLED = 1e-5  # share of each target a step must move to be followed by another
 TOLERANCE = 1e-3  # relative error of each domain's tokens at which the fit ends
 
@@ -41,7 +48,7 @@ log = logging.getLogger(__name__)
 
 
 def words_of(text: Column) -> Column:
-    return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), r"[\x20\x09-\x0D]+"), "")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), "")
 
 
 def domains(labels: DataFrame) -> DataFrame:
@@ -53,112 +60,191 @@ def domains(labels: DataFrame) -> DataFrame:
 
 # -------------------------------------------------------------- classifier ---
 
+# What lies between words (runs of letters and digits), and symbols that are no punctuation of prose.
+_WORD_GAPS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_SYMBOL = r"[!#$%&*+|<>{}\[\]=~^@\\_]"
+
+
+def _runs(text: Column) -> Column:
+    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(_SYMBOL + "+"), F.lit(0))
+
+
+def marks_of(text: Column) -> Column:
+    """Distinct words of a text in lower case, and its distinct symbol runs."""
+    lower = F.lower(F.coalesce(text, F.lit("")))
+    return F.array_remove(F.array_distinct(F.concat(F.split(lower, _WORD_GAPS), _runs(text))), "")
+
+
+def shares_of(text: Column, tokens: Column) -> list[Column]:
+    """Shares in 0..1: symbols, capitals, repeated lines, marks against words."""
+    t = F.coalesce(text, F.lit(""))
+    chars = F.greatest(F.lit(1), F.length(t))
+    lines = F.split(t, "\n")
+    return [
+        F.length(F.array_join(_runs(text), "")) / chars,
+        F.regexp_count(t, F.lit("[A-Z]")) / chars,
+        F.lit(1.0) - F.size(F.array_distinct(lines)) / F.size(lines),
+        F.least(F.lit(1.0), F.size(marks_of(text)) / F.greatest(F.lit(1), tokens)),
+    ]
+
+
+SHARES = 4
+
 
 class Classifier:
-    """log prior by domain, and per word the log share of a domain's documents that
-    hold it.  Common words count only where present: texts have all lengths, and in
-    a short one an absent word says little.  The markers of one domain count where
-    absent, too."""
+    """Domain names, the vocabulary, and Spark's fitted model (None: no labelled
+    document, all domains equally likely everywhere)."""
+
+    def __init__(self, names: list[str], vocabulary: list[str], model):
+        self.names, self.vocabulary, self.model = names, vocabulary, model
+
+
+def _features(rows: DataFrame, vocabulary: list[str]) -> DataFrame:
+    """Rows with ``marks`` and ``shares`` -> the same with the vector ``features``."""
+    seen = CountVectorizerModel.from_vocabulary(vocabulary or ["\0"], inputCol="marks", outputCol="seen").setBinary(True)
+    scaled = rows.withColumn("scaled", array_to_vector(F.transform("shares", lambda x: x * SHARE_SCALE)))
+    return VectorAssembler(inputCols=["seen", "scaled"], outputCol="features").transform(seen.transform(scaled)).drop("seen", "scaled")
+
 
-    def __init__(self, names: list[str], bias: list[float], words: list[tuple[str, list[float]]]):
-        self.names, self.bias, self.words = names, bias, words
+def _measured(text: Column) -> list[Column]:
+    tokens = F.size(words_of(text))
+    return [tokens.cast("long").alias("tokens"), marks_of(text).alias("marks"), F.array(*shares_of(text, tokens)).alias("shares")]
 
 
 def fit(docs: DataFrame, labelled: DataFrame, names: list[str], sample: int = SAMPLE, vocabulary: int = VOCABULARY) -> Classifier:
-    """Naive Bayes over the most informative words.
+    """Logistic weights of the most informative words, symbol runs and shares.
 
     Labelled rows of other domains, without a doc_id or without a document are
-    ignored; a doc_id labelled twice counts twice.  Without any labelled document
-    all domains are equally likely everywhere.
+    ignored; a doc_id labelled twice counts twice.  One empty document per domain is
+    added, so each has a probability.  Without any labelled document all domains are
+    equally likely everywhere.
     """
     usable = labelled.where(F.col("domain").isin(names) & F.col("doc_id").isNotNull()).select("doc_id", "domain")
     total = usable.count()
     draw = F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.lit("mixing sample")), F.lit(1_000_000))
     drawn = draw < F.lit(1e6 * sample / max(1, total))
-    texts = docs.where(drawn).select("doc_id", F.array_distinct(words_of(F.col("text"))).alias("words"))
-    sampled = texts.join(usable.where(drawn), "doc_id")
+    texts = docs.where(drawn).select("doc_id", *_measured(F.col("text")))
+    rows = saved(texts.join(usable.where(drawn), "doc_id").select("domain", "marks", "shares"), "labelled")
     # the empty word stands for the document itself
-    exploded = sampled.select("domain", F.explode(F.concat(F.array(F.lit("")), "words")).alias("word"))
+    exploded = rows.select("domain", F.explode(F.concat(F.array(F.lit("")), "marks")).alias("word"))
     counts = exploded.groupBy("word").agg(*[F.count(F.when(F.col("domain") == d, 1)).alias(f"n{k}") for k, d in enumerate(names)])
     counts = saved(counts, "domain-words")
     sizes = counts.where("word = ''").first()
     sizes = [int(sizes[f"n{k}"]) if sizes else 0 for k in range(len(names))]
     n = sum(sizes)
-    bias = [math.log((s + 1) / (n + len(names))) for s in sizes]
     if not n:
-        return Classifier(names, bias, [])
-    # mutual information of presence and domain, smoothed
+        return Classifier(names, [], None)
+    # mutual information of presence and domain
     held = sum(F.col(f"n{k}") for k in range(len(names)))
     gain = F.lit(0.0)
     for k, s in enumerate(sizes):
         for part, all_ in ((F.col(f"n{k}"), held), (F.lit(s) - F.col(f"n{k}"), F.lit(n) - held)):
             gain = gain + F.when(part > 0, part / n * F.log(part * n / (all_ * F.lit(max(1, s))))).otherwise(0.0)
-    best = counts.where((F.col("word") != "") & (held >= MIN_DOCUMENTS)).orderBy(gain.desc(), "word").limit(vocabulary)
-    words = []
-    for r in best.collect():  # at most `vocabulary` rows
-        p = [(r[f"n{k}"] + 0.5) / (s + 1) for k, s in enumerate(sizes)]
-        others, top = sorted(p)[-2:] if len(p) > 1 else (p[0], p[0])
-        if top >= MARKER * others:  # a marker of one domain: its absence speaks against that one
-            bias = [b + math.log(1 - x) for b, x in zip(bias, p)]
-            words.append((r.word, [math.log(x / (1 - x)) for x in p]))
-        else:
-            words.append((r.word, [math.log(x) for x in p]))
-    return Classifier(names, bias, words)
+    best = counts.where((F.col("word") != "") & (held > 1)).orderBy(gain.desc(), "word").limit(vocabulary)
+    known = [r.word for r in best.select("word").collect()]  # at most `vocabulary` rows
+    number = F.array_position(F.array(*[F.lit(d) for d in names]), F.col("domain")) - 1
+    empty = rows.sparkSession.createDataFrame([(d, [], [0.0] * SHARES) for d in names], "domain string, marks array<string>, shares array<double>")
+    data = _features(rows.unionByName(empty).withColumn("label", number.cast("double")), known)
+    spread = 1.0 / (WEIGHT_VARIANCE * (n + len(names)))  # the prior against the mean loss
+    model = LogisticRegression(family="multinomial", maxIter=60, regParam=spread, standardization=False).fit(data)
+    return Classifier(names, known, model)
+
+
+def _rounded(parts: list[Column]) -> list[Column]:
+    """Shares that sum to one, rounded so that they still do and none is negative:
+    all are cut off, and the units left go to the largest rests, first ones first."""
+    unit = 10**DECIMALS
+    whole = [F.floor(p * unit) for p in parts]
+    rest = [p * unit - w for p, w in zip(parts, whole)]
+    left = F.lit(unit) - sum(whole, F.lit(0))
+    out = []
+    for i, r in enumerate(rest):
+        ahead = [((q > r) if j > i else (q >= r)).cast("int") for j, q in enumerate(rest) if j != i]
+        out.append((whole[i] + (sum(ahead, F.lit(0)) < left).cast("int")) / F.lit(float(unit)))
+    return out
+
+
+def _with_posteriors(rows: DataFrame, model: Classifier, text: str) -> DataFrame:
+    """``rows`` (whose columns include ``text``) with ``tokens``, white-space words,
+    and p0, p1 ..., the rounded posteriors."""
+    k = range(len(model.names))
+    kept = rows.columns
+    measured = rows.select(*kept, *_measured(F.col(text)))
+    if model.model is None:
+        parts = [F.lit(1.0 / len(model.names)) for _ in k]
+        scored = measured
+    else:
+        scored = model.model.transform(_features(measured, model.vocabulary)).withColumn("posterior", vector_to_array("probability"))
+        parts = [F.coalesce(F.try_element_at("posterior", F.lit(i + 1)), F.lit(0.0)) for i in k]
+    return scored.select(*kept, "tokens", *[p.alias(f"p{i}") for i, p in enumerate(_rounded(parts))])
+
+
+def _key(docs: DataFrame) -> list[Column]:
+    return [F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash")]
 
 
 def memberships(docs: DataFrame, model: Classifier) -> DataFrame:
     """(doc_id, text_hash, copies, tokens, p0, p1 ...) per distinct document: rows
     that repeat both doc_id and text are one, with their number in ``copies``.
     tokens are white-space words."""
-    spark = docs.sparkSession
-    k = range(len(model.names))
-    schema = "word string, marks int, " + ", ".join(f"w{i} double" for i in k)
-    table = spark.createDataFrame([("", 1, *[0.0 for _ in k])] + [(w, 0, *x) for w, x in model.words], schema)
-    words = words_of(F.col("text"))
-    rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"),
-        words.alias("words"),
-    ).select("doc_id", "text_hash", F.size("words").cast("long").alias("tokens"), F.array_distinct("words").alias("words"))
-    rows = rows.select("doc_id", "text_hash", "tokens", F.explode(F.concat(F.array(F.lit("")), "words")).alias("word"))
-    met = rows.join(F.broadcast(table), "word")  # vocabulary + 1 rows
-    sums = met.groupBy("doc_id", "text_hash").agg(
-        F.sum("marks").alias("copies"), F.max("tokens").alias("tokens"), *[F.sum(f"w{i}").alias(f"s{i}") for i in k]
-    )
-    sums = sums.select("doc_id", "text_hash", "copies", "tokens", *[(F.lit(model.bias[i]) + F.col(f"s{i}") / F.col("copies")).alias(f"s{i}") for i in k])
-    top = F.greatest(*[F.col(f"s{i}") for i in k]) if len(model.names) > 1 else F.col("s0")
-    sums = sums.select("doc_id", "text_hash", "copies", "tokens", *[F.exp(F.col(f"s{i}") - top).alias(f"e{i}") for i in k])
-    whole = sum(F.col(f"e{i}") for i in k)
-    parts = [F.round(F.col(f"e{i}") / whole, DECIMALS) for i in k]
-    last = F.round(F.lit(1.0) - sum(parts[:-1], F.lit(0.0)), DECIMALS)
-    return sums.select("doc_id", "text_hash", "copies", "tokens", *[(parts[i] if i < len(parts) - 1 else last).alias(f"p{i}") for i in k])
+    p = [f"p{i}" for i in range(len(model.names))]
+    rows = _with_posteriors(docs.select(*_key(docs), "text"), model, "text").drop("text")
+    counted = rows.groupBy("doc_id", "text_hash", "tokens", *p).agg(F.count("*").alias("copies"))
+    return counted.select("doc_id", "text_hash", "copies", "tokens", *p)
 
 
 # ------------------------------------------------------------------- rates ---
 
 
-def _moved(rate: Column, moves: list[list[float]], domains: range) -> Column:
+def _moved(rate: Column, moves: list[list[float]], domains: range, most: float) -> Column:
     """The rate after some steps; a move is step length times relative error by domain.
 
     The moves are one array literal, so every step of the fit has the same plan
     and runs the same compiled code."""
 
     def step(r, move):
-        return F.greatest(F.lit(0.0), r - sum((move[i] * F.col(f"p{i}") for i in domains), F.lit(0.0)))
+        return F.least(F.lit(most), F.greatest(F.lit(0.0), r - sum((move[i] * F.col(f"p{i}") for i in domains), F.lit(0.0))))
 
     return F.aggregate(F.lit(moves), rate, step)
 
 
-def solve(cells: DataFrame, targets: list[float], steps: int = STEPS, tolerance: float = TOLERANCE) -> DataFrame:
+def _read_sums(values, n: int):
+    """Tokens by domain, and the matrix of moments, from one row of sums."""
+    x = [float(v or 0.0) for v in values]
+    return x[:n], [x[n + i * n : n + (i + 1) * n] for i in range(n)]
+
+
+def _solved(matrix: list[list[float]], right: list[float]) -> list[float] | None:
+    """The solution of a small linear system by elimination; None if it has none to rely on."""
+    rows = [[*r, b] for r, b in zip(matrix, right)]
+    n, scale = len(rows), max((abs(x) for r in matrix for x in r), default=0.0)
+    for i in range(n):
+        pivot = max(range(i, n), key=lambda r: abs(rows[r][i]))
+        rows[i], rows[pivot] = rows[pivot], rows[i]
+        if abs(rows[i][i]) <= 1e-12 * scale:
+            return None
+        for r in range(n):
+            if r != i:
+                by = rows[r][i] / rows[i][i]
+                rows[r] = [x - by * y for x, y in zip(rows[r], rows[i])]
+    return [rows[i][n] / rows[i][i] for i in range(n)]
+
+
+def solve(
+    cells: DataFrame, targets: list[float], steps: int = STEPS, tolerance: float = TOLERANCE, most: float = float("inf")
+) -> DataFrame:
     """Cells (t, p0, p1 ...) -> the same rows with ``rate``.
 
     Minimises the sum over domains of (expected - target)^2 / target over rates
-    >= 0, in the inner product weighted by tokens.  There the gradient of a cell
+    from 0 to ``most``, in the inner product weighted by tokens.  There the gradient of a cell
     is its posteriors times the relative errors, and the largest curvature is at
     most the largest ratio of present to target tokens: posteriors sum to one.  The
     first step has that length, and it always lowers the cost; longer ones are
-    taken back if the cost rises above that of the last three.  A
-    domain with target zero is left out of the sum by a floor of one token.
+    taken back if the cost rises above that of the last three.  Where the cells
+    inside their bounds can meet the targets, the gradient is first scaled by their
+    token moments (domains x domains), which meets them in a few steps; such a step
+    is taken back unless it halves the cost.  A domain with target zero is left out
+    of the sum by a floor of one token.
 
     Raises RuntimeError if neither the targets are met nor the rates have settled
     after ``steps``.
@@ -168,22 +254,33 @@ def solve(cells: DataFrame, targets: list[float], steps: int = STEPS, tolerance:
     state = cells.withColumn("rate", F.lit(1.0))
     tokens = [F.sum(F.col("rate") * F.col("t") * F.col(f"p{i}")) for i in k]
     change = F.sum(F.col("t") * (F.col("rate") - F.col("last")) ** 2)
-    now = [float(x or 0.0) for x in state.agg(*tokens).first()]
+    inside = F.when((F.col("rate") > 0) & (F.col("rate") < most), F.col("t")).otherwise(0.0)
+    moments = [F.sum(inside * F.col(f"p{i}") * F.col(f"p{j}")) for i in k for j in k]
+    now, gram = _read_sums(state.agg(*tokens, *moments).first(), len(goal))
     safe = size = 1.0 / max(max(n / g for n, g in zip(now, goal)), 1e-9)
     errors = [(n - g) / g for n, g in zip(now, goal)]
     past, moves, base = [sum(e * e * g for e, g in zip(errors, goal))], [], state
+    plain = 0  # plain steps to take before the next scaled one
     for step in range(1, steps + 1):
         if all(abs(e) <= tolerance for e in errors):
             break
-        last = _moved(F.col("rate"), moves, k) if moves else F.col("rate")
-        moves.append([size * e for e in errors])
-        state = base.withColumns({"last": last, "rate": _moved(F.col("rate"), moves, k)})
-        *new, length = [float(x or 0.0) for x in state.agg(*tokens, change).first()]
+        last = _moved(F.col("rate"), moves, k, most) if moves else F.col("rate")
+        scaled = _solved(gram, [n - g for n, g in zip(now, goal)]) if not plain else None
+        moves.append(scaled or [size * e for e in errors])
+        state = base.withColumns({"last": last, "rate": _moved(F.col("rate"), moves, k, most)})
+        row = state.agg(change, *tokens, *moments).first()
+        length, (new, moment) = float(row[0] or 0.0), _read_sums(row[1:], len(goal))
         after = [(n - g) / g for n, g in zip(new, goal)]
         cost = sum(e * e * g for e, g in zip(after, goal))
-        if size > safe and cost > max(past[-3:]):  # too long: go back and take a shorter step
+        if scaled and cost > past[-1] / 2:  # the bounds are in the way
+            moves.pop()
+            state = base.withColumn("rate", _moved(F.col("rate"), moves, k, most)) if moves else base
+            plain = PLAIN_STEPS
+            continue
+        plain, gram = max(0, plain - 1), moment
+        if size > safe and not scaled and cost > max(past[-3:]):  # too long: go back and take a shorter step
             moves.pop()
-            state = base.withColumn("rate", _moved(F.col("rate"), moves, k)) if moves else base
+            state = base.withColumn("rate", _moved(F.col("rate"), moves, k, most)) if moves else base
             size = max(safe, size / 8)
             continue
         past.append(cost)
@@ -193,6 +290,8 @@ def solve(cells: DataFrame, targets: list[float], steps: int = STEPS, tolerance:
             moves = []
         moved, turned = [n - b for n, b in zip(new, now)], [x - y for x, y in zip(after, errors)]
         now, errors = new, after
+        if scaled:
+            continue
         if all(abs(m) <= STALLED * g for m, g in zip(moved, goal)):
             break  # the targets are out of reach, or the rest is not worth a step
         # next step length from the curvature met on this one (Barzilai and Borwein)
@@ -214,6 +313,19 @@ def report(fitted: DataFrame, names: list[str], targets: list[float]) -> dict[st
     return out
 
 
+def _fitted(soft: DataFrame, names: list[str], targets: dict[str, float], budget: float, max_rate: float) -> DataFrame:
+    """(p0, p1 ..., rate): the rates of all cells of documents of equal posteriors."""
+    p = [f"p{i}" for i in range(len(names))]
+    cells = saved(soft.groupBy(*p).agg(F.sum(F.col("tokens") * F.col("copies")).cast("double").alias("t")), "cells")
+    total = float(cells.agg(F.sum("t")).first()[0] or 0.0)
+    scale = budget * total / sum(targets.values())
+    goal = [targets[d] * scale for d in names]
+    fitted = saved(solve(cells, goal, most=max_rate).select(*p, "t", "rate"), "rates")
+    report(fitted, names, goal)
+    # of three domains there are at most 501,501 cells, some 20 MB
+    return F.broadcast(fitted.drop("t")) if len(names) <= 3 else fitted.drop("t")
+
+
 def rates(
     docs: DataFrame,
     labelled: DataFrame,
@@ -221,11 +333,12 @@ def rates(
     budget: float = 1.0,
     sample: int = SAMPLE,
     vocabulary: int = VOCABULARY,
+    max_rate: float = MAX_RATE,
 ) -> DataFrame:
     """(doc_id, text_hash, copies, tokens, p_<domain> ..., rate) per distinct document.
 
-    ``budget``: total tokens wanted, as a share of those present.  A document
-    without words has the domains' prior as posteriors and a rate, but no tokens;
+    ``budget``: total tokens wanted, as a share of those present; ``max_rate``: the
+    highest rate.  A document without words has posteriors and a rate, but no tokens;
     expected tokens and targets by domain are logged, missed ones as warnings;
     a NULL doc_id stays NULL.  An empty table gives an empty result; other columns
     are ignored.
@@ -234,26 +347,26 @@ def rates(
     model = fit(docs, labelled, names, sample, vocabulary)
     soft = saved(memberships(docs, model), "memberships")
     p = [f"p{i}" for i in range(len(names))]
-    cells = saved(soft.groupBy(*p).agg(F.sum(F.col("tokens") * F.col("copies")).cast("double").alias("t")), "cells")
-    total = float(cells.agg(F.sum("t")).first()[0] or 0.0)
-    scale = budget * total / sum(targets.values())
-    goal = [targets[d] * scale for d in names]
-    fitted = saved(solve(cells, goal).select(*p, "t", "rate"), "rates")
-    report(fitted, names, goal)
-    return soft.join(fitted.drop("t"), p).select(
+    return soft.join(_fitted(soft, names, targets, budget, max_rate), p).select(
         "doc_id", "text_hash", "copies", "tokens", *[F.col(c).alias(f"p_{d}") for c, d in zip(p, names)], "rate"
     )
 
 
-def mixed(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] = TARGETS, budget: float = 1.0) -> DataFrame:
+def mixed(
+    docs: DataFrame, labelled: DataFrame, targets: dict[str, float] = TARGETS, budget: float = 1.0, max_rate: float = MAX_RATE
+) -> DataFrame:
     """Rows of ``docs`` drawn by their rates: a rate of 2.3 gives two copies, and a
-    third with probability 0.3 by a hash of doc_id and text."""
-    fitted = rates(docs, labelled, targets, budget).select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("rate").alias("_rate")
-    )
-    chance = F.pmod(F.xxhash64("_id", "_hash", F.lit("mixing draw")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    fitted = fitted.select("_id", "_hash", F.floor(F.col("_rate") + chance).cast("int").alias("_copies"))
-    keyed = docs.withColumn("_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
-    same = keyed["doc_id"].cast("long").eqNullSafe(fitted["_id"]) & (keyed["_hash"] == fitted["_hash"])
-    drawn = keyed.join(fitted.where("_copies > 0"), same)
-    return drawn.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*[F.col(c) for c in docs.columns])
+    third with probability 0.3 by a hash of doc_id and text.
+
+    All columns are kept, whatever their names; NULL and empty texts and NULL ids are
+    drawn like others; repeated rows are drawn alike."""
+    names = sorted(targets)
+    model = fit(docs, labelled, names)
+    soft = saved(memberships(docs, model), "memberships")
+    p = [f"p{i}" for i in range(len(names))]
+    # the whole row travels as one column, beside columns of names of its own
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *_key(docs), F.col("text"))
+    met = _with_posteriors(rows, model, "text").drop("text").join(_fitted(soft, names, targets, budget, max_rate), p)
+    chance = F.pmod(F.xxhash64("doc_id", "text_hash", F.lit("mixing draw")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    copies = F.floor(F.col("rate") + chance).cast("int")
+    return met.select("row", F.explode(F.array_repeat(F.lit(1), copies)).alias("copy")).select("row.*")

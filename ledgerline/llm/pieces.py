@@ -90,6 +90,16 @@ def _array(data, first, end):
     return pa.Array.from_buffers(pa.binary(), first.size, [None, pa.py_buffer(offsets), pa.py_buffer(data)])
 
 
+def byte_strings(array) -> list[bytes]:
+    """The values of an Arrow binary array without NULLs, sliced from its buffer."""
+    import numpy as np
+
+    _, offsets, data = array.buffers()
+    ends = np.frombuffer(offsets, np.int32)[array.offset : array.offset + len(array) + 1].tolist()
+    data = data.to_pybytes() if data is not None else b""
+    return [data[a:b] for a, b in zip(ends, ends[1:])]
+
+
 def cut(texts: list[str], classes):
     """(Arrow array of the pieces of all texts, number of pieces of each text).
 

@@ -16,6 +16,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.functions import ArrowUDFType, arrow_udf
 
 from .common import saved, worker_cache
 from .textfeatures import DIMS, code_points, ngram_counts, unit
@@ -220,17 +221,15 @@ def classify(docs: DataFrame, sample: int = SAMPLE, keep: float = KEEP) -> DataF
     )
 
 
-def _keep_batches(model, keep):
-    def run(batches):
+def _keeps(model, keep):
+    def run(texts):
         import pyarrow as pa
 
-        for b in batches:
-            texts = b.column(b.schema.get_field_index("text")).to_pylist()
-            yield b.filter(pa.array([model.score(t)[1] >= keep for t in texts], pa.bool_()))
+        return pa.array([model.score(t.as_py())[1] >= keep for t in texts], pa.bool_())
 
-    return run
+    return arrow_udf(run, "boolean", ArrowUDFType.SCALAR)
 
 
 def kept(docs: DataFrame, sample: int = SAMPLE, keep: float = KEEP) -> DataFrame:
     """Rows of ``docs`` that score at least ``keep``, all columns."""
-    return docs.mapInArrow(_keep_batches(fit(docs, sample), keep), docs.schema)
+    return docs.where(_keeps(fit(docs, sample), keep)("text"))  # only the texts leave the JVM

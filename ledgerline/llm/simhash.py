@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import saved, unused
 from .components import components
 
 SHINGLE_WORDS = 3
@@ -75,6 +75,18 @@ def _fingerprint_batches(words):
     return run
 
 
+def _keyed_batches(words):
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for b in batches:
+            fps = np.fromiter((fingerprint(t, words) for t in b.column("text").to_pylist()), np.uint64, b.num_rows)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("hash"), pa.array(fps.view(np.int64))], ["doc_id", "hash", "fp"])
+
+    return run
+
+
 def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
     """(doc_id, fp LONG: the 64 bits, signed) for every row of ``docs``."""
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
@@ -261,6 +273,14 @@ def links(points: DataFrame, bits: int = MAX_BITS, shard_points: int = SHARD_POI
     return dealt.groupBy("shard").applyInArrow(_link_shard(bits), "a long, b long")
 
 
+def _placed(fps: DataFrame, bits: int, shard_points: int) -> DataFrame:
+    """(fp, low, root): every distinct fingerprint of ``fps`` (doc_id, fp ...), the
+    smallest doc_id that has it, and the fingerprint its component is known by."""
+    members = saved(fps.groupBy("fp").agg(F.min("doc_id").alias("low")), "points")
+    roots = components(links(members.select("fp"), bits, shard_points))
+    return members.join(roots, members.fp == roots.node, "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(
     docs: DataFrame, words: int = SHINGLE_WORDS, bits: int = MAX_BITS, shard_points: int = SHARD_POINTS
 ) -> DataFrame:
@@ -274,11 +294,7 @@ def near_duplicates(
     result; other columns are ignored.
     """
     fps = saved(fingerprints(docs, words), "fingerprints")
-    members = saved(fps.groupBy("fp").agg(F.min("doc_id").alias("low")), "points")
-    roots = components(links(members.select("fp"), bits, shard_points))
-    placed = members.join(roots, members.fp == roots.node, "left").select(
-        "fp", "low", F.coalesce("root", "fp").alias("root")
-    )
+    placed = _placed(fps, bits, shard_points)
     lows = placed.groupBy("root").agg(F.min("low").alias("component_id"))
     named = placed.join(lows, "root").select("fp", "component_id")
     return fps.join(named, "fp").select(
@@ -288,9 +304,21 @@ def near_duplicates(
 
 def deduplicated(docs: DataFrame, words: int = SHINGLE_WORDS, bits: int = MAX_BITS) -> DataFrame:
     """Rows of ``docs`` that stay: of each component the one with the smallest
-    doc_id (one row if that doc_id repeats).  Rows without a doc_id cannot be
-    named by a component and pass through unchanged."""
-    found = near_duplicates(docs, words, bits)
-    keep = found.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(docs.columns).unionByName(docs.where("doc_id is null"))
+    doc_id, and of several such rows the one whose text has the smallest hash.
+
+    A doc_id that stands for several texts keeps one row in each of their components.
+    Rows without a doc_id cannot be named by a component and pass through unchanged.
+    """
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
+    keyed = own.withColumn("hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    fps = saved(
+        keyed.mapInArrow(_keyed_batches(words), "doc_id long, hash long, fp long"), "fingerprints"
+    )
+    placed = _placed(fps, bits, SHARD_POINTS).select(F.col("fp").alias("_fp"), "root")
+    first = fps.groupBy("fp").agg(F.min(F.struct("doc_id", "hash")).alias("one"))
+    first = first.join(placed, F.col("fp") == F.col("_fp")).groupBy("root").agg(F.min("one").alias("one"))
+    number, mark = unused(docs, "_number"), unused(docs, "_mark")
+    keep = first.select(F.col("one.doc_id").alias(number), F.col("one.hash").alias(mark)).distinct()
+    rows = docs.withColumns({number: F.col("doc_id").cast("long"), mark: F.xxhash64(F.coalesce("text", F.lit("")))})
+    named = rows.join(keep, [number, mark], "left_semi").dropDuplicates([number, mark])
+    return named.select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(docs.where("doc_id is null"))

@@ -16,9 +16,11 @@ def _alphabet():
     cache = worker_cache("alphabet")
     if not cache:
         n = sys.maxunicode + 1
-        cps = [chr(i) if not 0xD800 <= i < 0xE000 else "\0" for i in range(n)]
-        cache["letter"] = np.fromiter((c.isalpha() for c in cps), bool, n)
-        cache["lower"] = np.fromiter((ord(c.lower()[0]) if c.isalpha() else i for i, c in enumerate(cps)), np.uint32, n)
+        letter = np.fromiter((chr(i).isalpha() for i in range(n)), bool, n)
+        lower = np.arange(n, dtype=np.uint32)
+        letters = np.flatnonzero(letter)
+        lower[letters] = np.fromiter((ord(chr(i).lower()[0]) for i in letters.tolist()), np.uint32, letters.size)
+        cache["letter"], cache["lower"] = letter, lower
     return cache["letter"], cache["lower"]
 
 

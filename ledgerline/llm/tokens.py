@@ -18,7 +18,7 @@ from . import pieces as pre
 from .common import worker_cache
 
 TOKENIZER = "byte_bpe_50k.json"
-KNOWN_PIECES = 1 << 17  # pieces a worker keeps
+KNOWN_PIECES = 1 << 18  # pieces a worker keeps
 LONG_PIECE = 64  # bytes of a piece that is not kept
 CHUNK_CHARS = 1 << 20  # characters handled at a time
 
@@ -101,13 +101,13 @@ class Encoder:
         merge = self.tokenizer.model.tokenize
         spelt = b"\0".join(pieces).decode("latin-1").translate(_byte_letters()).split(chr(256))  # no piece holds a NUL
         new = [[t.id for t in merge(p)] for p in spelt]
-        n, m = len(self.index), self.used + sum(map(len, new))
+        lengths = np.fromiter(map(len, new), np.int64, len(new))
+        n, m = len(self.index), self.used + int(lengths.sum())
         if m > self.ids.size:
             self.ids = np.concatenate([self.ids, np.empty(2 * m - self.ids.size, np.uint32)])
         if n + len(new) + 1 > self.starts.size:
             self.starts = np.concatenate([self.starts, np.zeros(n + 2 * len(new), np.int64)])
         self.ids[self.used : m] = np.fromiter(chain.from_iterable(new), np.uint32, m - self.used)
-        lengths = np.fromiter(map(len, new), np.int64, len(new))
         self.starts[n + 1 : n + 1 + len(new)] = self.used + np.cumsum(lengths)
         self.used = m
         self.index.update(zip(pieces, range(n, n + len(new))))
@@ -124,13 +124,16 @@ class Encoder:
 
         found, inner, counts = pre.cut(texts, _classes())
         coded = (found.filter(pa.array(inner)) if len(texts) > 1 else found).dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        new = [w for w in words if w not in self.index]
+        words, get = pre.byte_strings(coded.dictionary), self.index.get
+        number = np.array([get(w, -1) for w in words], np.int64)
+        missing = np.flatnonzero(number < 0).tolist()
+        new = [words[i] for i in missing]
         long = [w for w in new if len(w) > LONG_PIECE]
-        new = [w for w in new if len(w) <= LONG_PIECE] + long if long else new
         if new:
+            new = [w for w in new if len(w) <= LONG_PIECE] + long
             self._learn(new)
-        k = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))[coded.indices.to_numpy()]
+            number[missing] = [self.index[words[i]] for i in missing]
+        k = number[coded.indices.to_numpy()]
         start = self.starts[k]
         size = self.starts[k + 1] - start
         ends = np.cumsum(size)
