@@ -12,33 +12,52 @@ from ledgerline.llm.common import read, saved
 
 
 def language(spark, docs, sf_dir):
-    """Documents whose language is recognised."""
+    """Documents whose language is recognised.
+
+    NULL and empty texts and texts without a letter go; a very long text is judged
+    whole; repeated rows stay repeated, NULL ids and other columns as they are; an
+    empty table stays empty.
+    """
     return langid.accepted(docs)
 
 
 def good_quality(spark, docs, sf_dir):
-    """Documents the quality scorer keeps."""
+    """Documents the quality scorer keeps.
+
+    NULL, empty and white-space texts go; everything else as in ``language``.
+    """
     return quality.kept(docs)
 
 
 def near_duplicates(spark, docs, sf_dir):
-    """One document of each group of near-duplicates."""
+    """One document of each group of near-duplicates, the one with the smallest doc_id.
+
+    Of repeated rows one stays; texts that share a doc_id but are no near-duplicates
+    all stay; rows without a doc_id cannot be named by a group and all stay; empty
+    texts are near-duplicates of one another.
+    """
     return simhash.deduplicated(docs)
 
 
-# The quality stage has taken out the poor documents; what is left is weighed
-# between the other two domains, without multiplying a few survivors.
-TARGETS = {"good": 0.99, "toxic": 0.01}
+TARGETS = mixing.TARGETS
 
 
 def domain_mix(spark, docs, sf_dir):
-    """Documents drawn at rates that bring the domains to their target weights."""
+    """Documents drawn at rates that bring the domains to their target weights.
+
+    At most ``mixing.MAX_RATE`` copies of a document; NULL and empty texts carry no
+    tokens and are drawn by their posteriors; repeated rows are drawn alike; columns
+    of any name are kept; without labels every document stays once.
+    """
     return mixing.mixed(docs, mixing.domains(read(spark, sf_dir, "labels")), TARGETS)
 
 
 def pack(spark, docs, sf_dir):
-    """Pieces of packed sequences."""
-    return packing.packed(docs)
+    """Pieces of packed sequences with their token ids.
+
+    NULL and empty texts are the end id alone; a text longer than a sequence is cut.
+    """
+    return packing.packed(docs, with_ids=True)
 
 
 STAGES = [
