@@ -3,8 +3,9 @@
 1. A labelled table (doc_id, domain) fits a multinomial logistic classifier on a
    bounded sample of labelled documents.  Its features are the presence of the
    words and symbol runs that tell most about the domain, and a few shares of the
-   text (symbols, capitals, repeats).  The weights have a prior of a fixed width, so
-   little evidence moves the posteriors little: they are probabilities, not scores.
+   text (symbols, capitals, repeats).  A second one, fitted on the third of the sample
+   that the first has not seen, turns its scores into calibrated posteriors.  All
+   weights have a prior of a fixed width, so little evidence moves them little.
 2. Every document gets posteriors over the domains (they sum to one) from the whole
    of its text.
 3. Rates 0 <= r <= MAX_RATE are fitted so that the expected tokens of each domain,
@@ -34,13 +35,15 @@ from .common import saved
 TARGETS = {"good": 0.97, "poor": 0.02, "toxic": 0.01}
 SAMPLE = 20_000  # labelled documents the classifier is fitted on (expected number)
 VOCABULARY = 500  # words and symbol runs
-WEIGHT_VARIANCE = 0.5  # of the classifier's weights, before any document is seen
+WEIGHT_VARIANCE = 3.0  # of the classifier's weights, before any document is seen
 SHARE_SCALE = 10.0  # of a share against the presence of a word
 MAX_RATE = 8.0  # most copies of a document that the fit may ask for
 DECIMALS = 3  # posteriors are rounded to
-STEPS = 200
+STEPS = 300
 STEPS_PER_TABLE = 20  # between two written tables of rates
 PLAIN_STEPS = 10  # after a scaled step that the bounds spoilt
+LEAST_PART = 1 / 8  # of a scaled step that is tried
+SETTLED = 0.999  # of the cost before the plain steps: where more is left, the fit ends
 STALLED = 1e-5  # share of each target a step must move to be followed by another
 TOLERANCE = 1e-3  # relative error of each domain's tokens at which the fit ends
 
@@ -92,11 +95,11 @@ SHARES = 4
 
 
 class Classifier:
-    """Domain names, the vocabulary, and Spark's fitted model (None: no labelled
-    document, all domains equally likely everywhere)."""
+    """Domain names, the vocabulary, Spark's fitted model and the one that calibrates
+    its scores (None: no labelled document, all domains equally likely everywhere)."""
 
-    def __init__(self, names: list[str], vocabulary: list[str], model):
-        self.names, self.vocabulary, self.model = names, vocabulary, model
+    def __init__(self, names: list[str], vocabulary: list[str], model=None, calibrator=None):
+        self.names, self.vocabulary, self.model, self.calibrator = names, vocabulary, model, calibrator
 
 
 def _features(rows: DataFrame, vocabulary: list[str]) -> DataFrame:
@@ -123,8 +126,10 @@ def fit(docs: DataFrame, labelled: DataFrame, names: list[str], sample: int = SA
     total = usable.count()
     draw = F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.lit("mixing sample")), F.lit(1_000_000))
     drawn = draw < F.lit(1e6 * sample / max(1, total))
-    texts = docs.where(drawn).select("doc_id", *_measured(F.col("text")))
-    rows = saved(texts.join(usable.where(drawn), "doc_id").select("domain", "marks", "shares"), "labelled")
+    fold = F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.lit("calibration")), F.lit(3)).alias("fold")
+    texts = docs.where(drawn).select("doc_id", fold, *_measured(F.col("text")))
+    everything = saved(texts.join(usable.where(drawn), "doc_id").select("fold", "domain", "marks", "shares"), "labelled")
+    rows, unseen = everything.where("fold > 0").drop("fold"), everything.where("fold = 0").drop("fold")
     # the empty word stands for the document itself
     exploded = rows.select("domain", F.explode(F.concat(F.array(F.lit("")), "marks")).alias("word"))
     counts = exploded.groupBy("word").agg(*[F.count(F.when(F.col("domain") == d, 1)).alias(f"n{k}") for k, d in enumerate(names)])
@@ -133,7 +138,7 @@ def fit(docs: DataFrame, labelled: DataFrame, names: list[str], sample: int = SA
     sizes = [int(sizes[f"n{k}"]) if sizes else 0 for k in range(len(names))]
     n = sum(sizes)
     if not n:
-        return Classifier(names, [], None)
+        return Classifier(names, [])
     # mutual information of presence and domain
     held = sum(F.col(f"n{k}") for k in range(len(names)))
     gain = F.lit(0.0)
@@ -145,9 +150,18 @@ def fit(docs: DataFrame, labelled: DataFrame, names: list[str], sample: int = SA
     number = F.array_position(F.array(*[F.lit(d) for d in names]), F.col("domain")) - 1
     empty = rows.sparkSession.createDataFrame([(d, [], [0.0] * SHARES) for d in names], "domain string, marks array<string>, shares array<double>")
     data = _features(rows.unionByName(empty).withColumn("label", number.cast("double")), known)
-    spread = 1.0 / (WEIGHT_VARIANCE * (n + len(names)))  # the prior against the mean loss
-    model = LogisticRegression(family="multinomial", maxIter=60, regParam=spread, standardization=False).fit(data)
-    return Classifier(names, known, model)
+    model = _logistic(n + len(names)).fit(data)
+    held = model.transform(_features(unseen.unionByName(empty).withColumn("label", number.cast("double")), known))
+    held = held.select("label", F.col("rawPrediction").alias("scores"))
+    return Classifier(names, known, model, _logistic(unseen.count() + len(names), "scores", "calibrated").fit(held))
+
+
+def _logistic(n: int, features: str = "features", posterior: str = "probability") -> LogisticRegression:
+    """Multinomial regression over ``n`` documents, its prior weighed against their mean loss."""
+    return LogisticRegression(
+        featuresCol=features, probabilityCol=posterior, rawPredictionCol=f"raw_{posterior}" if posterior != "probability" else "rawPrediction",
+        predictionCol=f"of_{posterior}", family="multinomial", maxIter=60, regParam=1.0 / (WEIGHT_VARIANCE * n), standardization=False,
+    )
 
 
 def _rounded(parts: list[Column]) -> list[Column]:
@@ -174,7 +188,8 @@ def _with_posteriors(rows: DataFrame, model: Classifier, text: str) -> DataFrame
         parts = [F.lit(1.0 / len(model.names)) for _ in k]
         scored = measured
     else:
-        scored = model.model.transform(_features(measured, model.vocabulary)).withColumn("posterior", vector_to_array("probability"))
+        scored = model.model.transform(_features(measured, model.vocabulary)).withColumnRenamed("rawPrediction", "scores")
+        scored = model.calibrator.transform(scored).withColumn("posterior", vector_to_array("calibrated"))
         parts = [F.coalesce(F.try_element_at("posterior", F.lit(i + 1)), F.lit(0.0)) for i in k]
     return scored.select(*kept, "tokens", *[p.alias(f"p{i}") for i, p in enumerate(_rounded(parts))])
 
@@ -243,7 +258,7 @@ def solve(
     taken back if the cost rises above that of the last three.  Where the cells
     inside their bounds can meet the targets, the gradient is first scaled by their
     token moments (domains x domains), which meets them in a few steps; such a step
-    is taken back unless it halves the cost.  A domain with target zero is left out
+    is shortened, then left for plain ones, unless it lowers the cost accordingly.  A domain with target zero is left out
     of the sum by a floor of one token.
 
     Raises RuntimeError if neither the targets are met nor the rates have settled
@@ -260,24 +275,27 @@ def solve(
     safe = size = 1.0 / max(max(n / g for n, g in zip(now, goal)), 1e-9)
     errors = [(n - g) / g for n, g in zip(now, goal)]
     past, moves, base = [sum(e * e * g for e, g in zip(errors, goal))], [], state
-    plain = 0  # plain steps to take before the next scaled one
+    plain, part, mark = 0, 1.0, past[0]  # plain steps before the next scaled one; part of it to take; cost before the plain ones
     for step in range(1, steps + 1):
         if all(abs(e) <= tolerance for e in errors):
             break
         last = _moved(F.col("rate"), moves, k, most) if moves else F.col("rate")
         scaled = _solved(gram, [n - g for n, g in zip(now, goal)]) if not plain else None
-        moves.append(scaled or [size * e for e in errors])
+        moves.append([part * x for x in scaled] if scaled else [size * e for e in errors])
         state = base.withColumns({"last": last, "rate": _moved(F.col("rate"), moves, k, most)})
         row = state.agg(change, *tokens, *moments).first()
         length, (new, moment) = float(row[0] or 0.0), _read_sums(row[1:], len(goal))
         after = [(n - g) / g for n, g in zip(new, goal)]
         cost = sum(e * e * g for e, g in zip(after, goal))
-        if scaled and cost > past[-1] / 2:  # the bounds are in the way
+        if scaled and cost > (1 - part / 2) * past[-1]:  # the bounds are in the way
             moves.pop()
             state = base.withColumn("rate", _moved(F.col("rate"), moves, k, most)) if moves else base
-            plain = PLAIN_STEPS
+            if part > LEAST_PART:
+                part /= 2
+            else:
+                plain, part, mark = PLAIN_STEPS, 1.0, past[-1]
             continue
-        plain, gram = max(0, plain - 1), moment
+        gram = moment
         if size > safe and not scaled and cost > max(past[-3:]):  # too long: go back and take a shorter step
             moves.pop()
             state = base.withColumn("rate", _moved(F.col("rate"), moves, k, most)) if moves else base
@@ -291,7 +309,11 @@ def solve(
         moved, turned = [n - b for n, b in zip(new, now)], [x - y for x, y in zip(after, errors)]
         now, errors = new, after
         if scaled:
+            part = min(1.0, 2 * part)
             continue
+        if plain == 1 and past[-1] > SETTLED * mark:
+            break  # all of the plain steps together were not worth it
+        plain = max(0, plain - 1)
         if all(abs(m) <= STALLED * g for m, g in zip(moved, goal)):
             break  # the targets are out of reach, or the rest is not worth a step
         # next step length from the curvature met on this one (Barzilai and Borwein)
