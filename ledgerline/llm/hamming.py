@@ -32,8 +32,9 @@ TOP = 10
 
 def codes(vectors: DataFrame, bits: int = BITS) -> DataFrame:
     """(id, code LONG): bit i is 1 where element i is above zero; NULL, NaN and
-    missing elements and elements beyond ``bits`` give 0.  Rows without an id or a
-    vector have no code and are left out."""
+    missing elements give 0.  Rows without an id or a vector have no code and are
+    left out.  A vector of more than ``bits`` elements raises: its code would leave
+    out the rest of it."""
 
     def run(batches):
         import numpy as np
@@ -42,7 +43,9 @@ def codes(vectors: DataFrame, bits: int = BITS) -> DataFrame:
         for b in batches:
             out = np.zeros(b.num_rows, np.uint64)
             for k in range(b.num_rows):
-                v = np.array([x if x is not None else 0.0 for x in b.column(1)[k].as_py()[:bits]], float)
+                v = np.array([x if x is not None else 0.0 for x in b.column(1)[k].as_py()], float)
+                if v.size > bits:
+                    raise ValueError(f"a vector of {v.size} elements does not fit a code of {bits} bits")
                 on = np.flatnonzero(v > 0).astype(np.uint64)
                 out[k] = np.bitwise_or.reduce(np.uint64(1) << on) if on.size else 0
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out.view(np.int64))], ["id", "code"])
@@ -157,7 +160,8 @@ def top_k(
 
     Both tables have vec_id and embedding.  Rows with a NULL id or vector are left
     out; empty vectors have code zero; a vec_id that repeats with the same code
-    counts once; no query or no row gives an empty result; other columns are
+    counts once, one with several codes is a row for each of them; vectors wider than
+    the code raise; no query or no row gives an empty result; other columns are
     ignored.
     """
     index = saved(codes(vectors, bits).distinct(), "codes")

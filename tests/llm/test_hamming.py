@@ -40,7 +40,7 @@ def test_top_k_over_shards_and_blocks(spark):
     v = rng.normal(size=(400, 64))
     v[50:90] = v[3]
     rows = [(i, [float(x) for x in row], 0) for i, row in enumerate(v)]
-    rows += [rows[7], rows[7], (400, [], 0), (401, [None] * 64, 0), (402, [float("nan"), 1.0], 0), (403, [1.0] * 80, 0), (None, [1.0], 0), (405, None, 0)]
+    rows += [rows[7], rows[7], (400, [], 0), (401, [None] * 64, 0), (402, [float("nan"), 1.0], 0), (None, [1.0], 0), (405, None, 0)]
     df = table(spark, rows).selectExpr("*", "1 as id", "2 as code", "3 as shard")
     got = hamming.top_k(df, df.where("vec_id % 50 = 0"), 5, shard_rows=100, block_queries=4)
     code = lambda e: sum(1 << i for i, x in enumerate((e or [])[:64]) if x is not None and x > 0)
@@ -53,3 +53,15 @@ def test_small_tables(spark):
     one = table(spark, [(0, [1.0], 0), (1, [1.0], 0)])
     assert hamming.top_k(none, none).collect() == [] == hamming.top_k(one, none).collect() == hamming.top_k(none, one).collect()
     assert [tuple(r) for r in hamming.top_k(one, one.where("vec_id = 0")).collect()] == [(0, 1, 1, 0)]
+
+
+def test_a_vector_wider_than_the_code_raises(spark):
+    """Two vectors that differ beyond the code's bits must not come back as equal."""
+    wide = table(spark, [(0, [1.0] * 128, 0), (1, [1.0] * 64 + [-1.0] * 64, 0)])
+    with pytest.raises(Exception, match="does not fit a code of 64 bits"):
+        hamming.top_k(wide, wide).collect()
+
+
+def test_one_id_with_two_codes(spark):
+    df = table(spark, [(0, [1.0], 0), (1, [1.0], 0), (1, [-1.0], 0)])
+    assert sorted(tuple(r) for r in hamming.top_k(df, df.where("vec_id = 0")).collect()) == [(0, 1, 1, 0), (0, 2, 1, 1)]
