@@ -37,13 +37,13 @@ SAMPLE = 20_000  # labelled documents the classifier is fitted on (expected numb
 VOCABULARY = 500  # words and symbol runs
 WEIGHT_VARIANCE = 3.0  # of the classifier's weights, before any document is seen
 SHARE_SCALE = 10.0  # of a share against the presence of a word
-MAX_RATE = 8.0  # most copies of a document that the fit may ask for
+MAX_RATE = 1.9  # most copies of a document that the fit may ask for: none is multiplied
 DECIMALS = 3  # posteriors are rounded to
 STEPS = 300
 STEPS_PER_TABLE = 20  # between two written tables of rates
 PLAIN_STEPS = 10  # after a scaled step that the bounds spoilt
 LEAST_PART = 1 / 8  # of a scaled step that is tried
-SETTLED = 0.999  # of the cost before the plain steps: where more is left, the fit ends
+SETTLED = 0.99  # of the cost before the plain steps: where more is left, the fit ends
 STALLED = 1e-5  # share of each target a step must move to be followed by another
 TOLERANCE = 1e-3  # relative error of each domain's tokens at which the fit ends
 
@@ -223,10 +223,15 @@ def _moved(rate: Column, moves: list[list[float]], domains: range, most: float)
     return F.aggregate(F.lit(moves), rate, step)
 
 
-def _read_sums(values, n: int):
-    """Tokens by domain, and the matrix of moments, from one row of sums."""
-    x = [float(v or 0.0) for v in values]
-    return x[:n], [x[n + i * n : n + (i + 1) * n] for i in range(n)]
+def _moments(state: DataFrame, errors: list[float], most: float) -> list[list[float]]:
+    """Token moments (domains x domains) of the cells that a step can move: not of
+    those at a bound that the gradient points beyond."""
+    k = range(len(errors))
+    slope = sum((F.col(f"p{i}") * errors[i] for i in k), F.lit(0.0))
+    free = ((F.col("rate") > 0) | (slope < 0)) & ((F.col("rate") < most) | (slope > 0))
+    t = F.when(free, F.col("t")).otherwise(0.0)
+    values = [float(v or 0.0) for v in state.agg(*[F.sum(t * F.col(f"p{i}") * F.col(f"p{j}")) for i in k for j in k]).first()]
+    return [values[i * len(errors) : (i + 1) * len(errors)] for i in k]
 
 
 def _solved(matrix: list[list[float]], right: list[float]) -> list[float] | None:
@@ -255,9 +260,9 @@ def solve(
     is its posteriors times the relative errors, and the largest curvature is at
     most the largest ratio of present to target tokens: posteriors sum to one.  The
     first step has that length, and it always lowers the cost; longer ones are
-    taken back if the cost rises above that of the last three.  Where the cells
-    inside their bounds can meet the targets, the gradient is first scaled by their
-    token moments (domains x domains), which meets them in a few steps; such a step
+    taken back if the cost rises above that of the last three.  The
+    gradient is first scaled by the token moments (domains x domains) of the cells it
+    can move, which meets targets within reach in a few steps; such a step
     is shortened, then left for plain ones, unless it lowers the cost accordingly.  A domain with target zero is left out
     of the sum by a floor of one token.
 
@@ -269,22 +274,24 @@ def solve(
     state = cells.withColumn("rate", F.lit(1.0))
     tokens = [F.sum(F.col("rate") * F.col("t") * F.col(f"p{i}")) for i in k]
     change = F.sum(F.col("t") * (F.col("rate") - F.col("last")) ** 2)
-    inside = F.when((F.col("rate") > 0) & (F.col("rate") < most), F.col("t")).otherwise(0.0)
-    moments = [F.sum(inside * F.col(f"p{i}") * F.col(f"p{j}")) for i in k for j in k]
-    now, gram = _read_sums(state.agg(*tokens, *moments).first(), len(goal))
+    now = [float(x or 0.0) for x in state.agg(*tokens).first()]
     safe = size = 1.0 / max(max(n / g for n, g in zip(now, goal)), 1e-9)
     errors = [(n - g) / g for n, g in zip(now, goal)]
     past, moves, base = [sum(e * e * g for e, g in zip(errors, goal))], [], state
+    gram = None
     plain, part, mark = 0, 1.0, past[0]  # plain steps before the next scaled one; part of it to take; cost before the plain ones
     for step in range(1, steps + 1):
         if all(abs(e) <= tolerance for e in errors):
             break
         last = _moved(F.col("rate"), moves, k, most) if moves else F.col("rate")
-        scaled = _solved(gram, [n - g for n, g in zip(now, goal)]) if not plain else None
+        scaled = None
+        if not plain:
+            if gram is None:
+                gram = _moments(state, errors, most)
+            scaled = _solved(gram, [n - g for n, g in zip(now, goal)])
         moves.append([part * x for x in scaled] if scaled else [size * e for e in errors])
         state = base.withColumns({"last": last, "rate": _moved(F.col("rate"), moves, k, most)})
-        row = state.agg(change, *tokens, *moments).first()
-        length, (new, moment) = float(row[0] or 0.0), _read_sums(row[1:], len(goal))
+        length, *new = [float(x or 0.0) for x in state.agg(change, *tokens).first()]
         after = [(n - g) / g for n, g in zip(new, goal)]
         cost = sum(e * e * g for e, g in zip(after, goal))
         if scaled and cost > (1 - part / 2) * past[-1]:  # the bounds are in the way
@@ -295,14 +302,13 @@ def solve(
             else:
                 plain, part, mark = PLAIN_STEPS, 1.0, past[-1]
             continue
-        gram = moment
         if size > safe and not scaled and cost > max(past[-3:]):  # too long: go back and take a shorter step
             moves.pop()
             state = base.withColumn("rate", _moved(F.col("rate"), moves, k, most)) if moves else base
             size = max(safe, size / 8)
             continue
         past.append(cost)
-        state = state.drop("last")
+        state, gram = state.drop("last"), None
         if len(moves) == STEPS_PER_TABLE:
             state = base = saved(state, "rates")
             moves = []
