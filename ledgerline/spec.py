@@ -32,7 +32,6 @@ DEFAULT_PRICE = 0.0
 DEFAULT_QUANTITY = 1
 DEFAULT_CATEGORY = "unknown"
 
-SAMPLE_ROWS_FOR_SCHEMA = 1000
 DEFAULT_PARTITION_COLUMN = "sale_date"
 CLUSTER_COLUMNS = ("seller_canon", "product_id_canon")
 

@@ -236,14 +236,17 @@ LAST_REGISTERED = "ledgerline.last_commit"
 
 
 def register_sink(spark: SparkSession, table_name: str, output_path: str) -> bool:
-    """Create the table over the sink if it is not there, then add the folders of
-    the commits made since the last call; uncommitted folders are no partitions of
+    """Create the table over the sink if it is not there (False: nothing is committed
+    yet), then add the folders of the commits made since the last call; uncommitted folders are no partitions of
     it, and those of a batch that was committed again give way to the new ones.
 
     Only new commits are looked at (their dates come from the folder names), so a
     call costs what they hold.  Promoted columns are text in the table, as stored;
     ``read_sink`` gives them their types."""
-    stored, by = _stored_schema(last_commit(spark, output_path), columns_of(spark, output_path))
+    last = last_commit(spark, output_path)
+    if last is None:
+        return False
+    stored, by = _stored_schema(last, columns_of(spark, output_path))
     kept = T.StructType([f for f in stored.fields if f.name not in by] + [stored[c] for c in by])
     if not spark.catalog.tableExists(table_name):
         names = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in kept.fields)
