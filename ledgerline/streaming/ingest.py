@@ -104,7 +104,8 @@ def _read_json(spark: SparkSession, paths: list[str], spec: CanonicalSpec, optio
         return reduce(or_, [F.variant_get(RECORD_COLUMN, json_path(k), "variant").isNotNull() for k in spelt[name]])
 
     rows = conform(canonicalise(raw, spec, present=has))
-    text = F.transform_values(fields, lambda k, v: F.coalesce(F.try_variant_get(v, "$", "string"), F.to_json(v)))
+    known = F.map_filter(fields, lambda k, v: ~F.is_variant_null(v))
+    text = F.transform_values(known, lambda k, v: F.coalesce(F.try_variant_get(v, "$", "string"), F.to_json(v)))
     taken = F.array(*[F.lit(c) for c in CANONICAL_COLUMNS])
     others = F.map_filter(text, lambda k, v: v.isNotNull() & ~F.array_contains(taken, schema_log.normal(k)))
     return rows.select(*CANONICAL_COLUMNS, others.alias(EXTRAS))

@@ -151,6 +151,6 @@ def typed(rows: DataFrame, columns: list[Promoted]) -> DataFrame:
     texts = rows.withColumn(EXTRAS, F.col(EXTRAS).try_cast("map<string,string>"))
     values = {p.name: F.coalesce(F.col(f"`{p.name}`"), F.try_element_at(_entries(p.name), F.lit(1))["value"]) for p in columns}
     out = [v.try_cast(p.kind).alias(p.name) if p.kind != "string" else v.alias(p.name) for p, v in ((p, values[p.name]) for p in columns)]
-    names = [p.name for p in columns]
-    left = F.map_filter(EXTRAS, lambda k, v: ~normal(k).isin(*names)) if names else F.col(EXTRAS)
+    used = [F.when(F.col(f"`{p.name}`").isNull(), F.try_element_at(_entries(p.name), F.lit(1))["key"]) for p in columns]
+    left = F.map_filter(EXTRAS, lambda k, v: ~F.array_contains(F.array_compact(F.array(*used)), k)) if used else F.col(EXTRAS)
     return texts.select(*[F.when(F.size(left) > 0, left).alias(c) if c == EXTRAS else F.col(f"`{c}`") for c in base], *out)
