@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_WHOLE = r"^[\x00-\x20\x7f]*[+-]?[0-9]+[\x00-\x20\x7f]*\z"  # the only texts a cast to BIGINT takes
 _TIMELIKE = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
@@ -35,8 +36,9 @@ def to_long(c: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, _INTEGRAL):
         return c.cast("long")
     if isinstance(dtype, T.StringType):
-        # exact BIGINT text first (no precision loss), then the DOUBLE route
-        return F.coalesce(c.try_cast("long"), c.try_cast("double").try_cast("long"))
+        # exact BIGINT text first (no precision loss), then the DOUBLE route; other
+        # texts are not tried, as each failed cast builds an exception
+        return F.coalesce(F.when(c.rlike(_WHOLE), c.try_cast("long")), c.try_cast("double").try_cast("long"))
     return c.try_cast("long")
 
 

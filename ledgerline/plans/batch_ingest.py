@@ -94,7 +94,12 @@ def run(
             register_table(spark, table_name, output_path, partitioned=bool(cols), written=cols, replaced=overwrite)
 
     # through the catalog, neither folders nor footers of older dates are looked at
-    table = spark.table(table_name) if table_name else spark.read.option("mergeSchema", True).parquet(path)
+    if table_name:
+        table = spark.table(table_name)
+    elif overwrite:  # all there is was just written
+        table = spark.read.schema(cols.schema).parquet(path)
+    else:
+        table = spark.read.option("mergeSchema", True).parquet(path)
     if cols == [mart_states.DATE]:
         states = f"{marts_root.rstrip('/')}/_states"
         refresh_states(spark, table, cols, states, whole=overwrite)

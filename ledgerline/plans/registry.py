@@ -237,21 +237,28 @@ _ERAS = (
 )
 
 
+def _written(rows: DataFrame, path: str, *by: str) -> DataFrame:
+    """``rows`` written once and read back, where several jobs need them."""
+    rows.write.partitionBy(*by).parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def q_batch_ingest(spark, sf_dir):
     """The batch job end to end: raw CSV drops with drifting headers -> per-layout
     read -> canonicalise -> publish (sale_date partitions) -> marts; returns the
     published table read back."""
     base = scratch_path(spark, "batch-ingest")  # also makes sure the checkpoint dir is set
-    # three era writes read the joined view: materialise it once in the shared
-    # checkpoint folder instead of recomputing the joins per era
-    view = sales_view(spark, sf_dir).checkpoint()
-    year = F.year("order_date")
-    for i, (_, keep, names) in enumerate(_ERAS):
-        cols = [F.col(c).alias(names.get(c, c)) for c in view.columns]
+    # the joined view is written once, by era, so each era's write reads its own rows
+    year, era = F.year("order_date"), F.lit(None).cast("int")
+    for i, (_, keep, _) in reversed(list(enumerate(_ERAS))):
+        era = F.when(keep(year), F.lit(i)).otherwise(era)
+    view = _written(sales_view(spark, sf_dir).withColumn("_era", era), f"{base}/view", "_era")
+    for i, (_, _, names) in enumerate(_ERAS):
+        cols = [F.col(c).alias(names.get(c, c)) for c in view.columns if c != "_era"]
         if i == 1:
             cols.reverse()
         (
-            view.where(keep(year)).select(*cols)
+            view.where(F.col("_era") == i).select(*cols)
             .write.mode("append").option("header", True)
             .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
             .csv(f"{base}/raw")

@@ -21,6 +21,7 @@ from ..spec import CANONICAL_SCHEMA, CLUSTER_COLUMNS, DEFAULT_PARTITION_COLUMN
 
 TARGET_FILE_BYTES = 256 * 1024 * 1024
 STATEMENT_PARTITIONS = 500  # partitions named in one statement
+LEAST_SHARES = 1000  # hash shares that the dates of a clustered write are dealt to
 
 
 class Published(list):
@@ -201,7 +202,15 @@ def clustered(df: DataFrame, partition_cols: list[str], by=CLUSTER_COLUMNS, num_
     several tasks -- no sampling pass over the input (a range repartition would
     read the input twice) and no task that has to hold a third of the rows.
     Each date lands in few files, and the sort makes Parquet min/max statistics
-    on seller/product selective (the point-lookup goal of Z-ordering)."""
+    on seller/product selective (the point-lookup goal of Z-ordering).
+
+    A share that is split gives each of its tasks all of its dates, so a share must
+    hold few dates: there are at least ``LEAST_SHARES``, whatever the number of
+    shuffle partitions, and AQE puts small ones together again."""
+    if num_partitions is None and partition_cols:
+        conf = df.sparkSession.conf
+        if conf.get("spark.sql.adaptive.enabled") == "true" and conf.get("spark.sql.adaptive.coalescePartitions.enabled") == "true":
+            num_partitions = max(LEAST_SHARES, int(conf.get("spark.sql.shuffle.partitions")))
     args: list = ([int(num_partitions)] if num_partitions else []) + list(partition_cols)
     laid = df.hint("rebalance", *args) if args else df.hint("rebalance")
     keys = list(partition_cols) + [c for c in by if c in df.columns]
