@@ -64,8 +64,7 @@ def refresh(sales: DataFrame, root: str, dates=None) -> None:
     Give None after a job that published rows and failed before this step."""
     spark = sales.sparkSession
     rows = sales if dates is None else sales.where(of_dates(dates))
-    columns = ["order_id", "total_price", "quantity", "product_id_canon", "category_canon", DATE]
-    rows = rows.select(*columns).persist()  # read once for three states
+    # each state reads its own columns; keeping the rows would take memory that grows with the table
     month = F.coalesce(F.date_format(DATE, "yyyy-MM"), F.lit(NO_DATE)).alias(MONTH)
     for name, state in partial_states(rows).items():
         data = state.select("*", month).select(*STATES[name].names)
@@ -76,7 +75,6 @@ def refresh(sales: DataFrame, root: str, dates=None) -> None:
             data = data.unionByName(spark.read.schema(STATES[name]).parquet(path))
         w = data.hint("rebalance", MONTH).write.mode("overwrite").partitionBy(MONTH)
         w.option("partitionOverwriteMode", "static" if dates is None else "dynamic").parquet(f"{root}/{name}")
-    rows.unpersist()
 
 
 def read_state(spark: SparkSession, root: str, name: str) -> DataFrame:

@@ -42,3 +42,14 @@ def test_files_of_a_date_do_not_follow_the_splits_of_its_share(spark, scratch):
     finally:
         spark.conf.unset(key)
     assert len(glob.glob(f"{scratch}/t/*/part-*")) <= 1.2 * dates
+
+
+def test_states_keep_no_rows_in_memory(spark, scratch, monkeypatch):
+    day = datetime.date(2020, 1, 1)
+    data = [("a", 1.5, 2, "p", "c", day), ("b", 2.5, 1, "p", "d", None), ("b", None, 1, None, None, day)]
+    sales = spark.createDataFrame(data, "order_id string, total_price double, quantity long, product_id_canon string, category_canon string, sale_date date")
+    for name in ("persist", "cache"):
+        monkeypatch.setattr(type(sales), name, lambda *a, **k: pytest.fail("rows kept"))
+    mart_states.refresh(sales, scratch)
+    got = {r.sale_date: (r.revenue, r.units_sold, r.orders) for r in mart_states.daily(spark, scratch).collect()}
+    assert got == {day: (1.5, 3, 2), None: (2.5, 1, 1)}
