@@ -53,3 +53,15 @@ def test_states_keep_no_rows_in_memory(spark, scratch, monkeypatch):
     mart_states.refresh(sales, scratch)
     got = {r.sale_date: (r.revenue, r.units_sold, r.orders) for r in mart_states.daily(spark, scratch).collect()}
     assert got == {day: (1.5, 3, 2), None: (2.5, 1, 1)}
+
+
+def test_replaced_table_joins_the_raw_rows_once(spark, monkeypatch):
+    written, plain = [], registry.versions.replace_table
+
+    def replace(spark, name, root, df: DataFrame, **how):
+        written.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return plain(spark, name, root, df, **how)
+
+    monkeypatch.setattr(registry.versions, "replace_table", replace)
+    registry.QUERIES["replaced_table"](spark, SF_SMALL)
+    assert len(written) == 2 and not any("Join" in p for p in written)
