@@ -90,14 +90,14 @@ def _array(data, first, end):
     return pa.Array.from_buffers(pa.binary(), first.size, [None, pa.py_buffer(offsets), pa.py_buffer(data)])
 
 
-def byte_strings(array) -> list[bytes]:
-    """The values of an Arrow binary array without NULLs, sliced from its buffer."""
+def buffer_of(array):
+    """Bytes of an Arrow binary array without NULLs as a numpy array, and where its values end, from 0."""
     import numpy as np
 
     _, offsets, data = array.buffers()
-    ends = np.frombuffer(offsets, np.int32)[array.offset : array.offset + len(array) + 1].tolist()
-    data = data.to_pybytes() if data is not None else b""
-    return [data[a:b] for a, b in zip(ends, ends[1:])]
+    ends = np.frombuffer(offsets, np.int32)[array.offset : array.offset + len(array) + 1]
+    data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return data[ends[0] : ends[-1]], ends - ends[0]
 
 
 def cut(texts: list[str], classes):

@@ -2,9 +2,9 @@
 
 A byte-level BPE merges inside the pieces its splitting pattern yields, so the
 ids of a text are those of its pieces in turn.  Texts of plain characters are cut
-with numpy (``pieces.py``), a million characters together, and only their distinct
-pieces are looked at one by one: each worker keeps the ids of the pieces it has
-met most and asks the tokenizer for the others.  Texts with characters outside the
+with numpy (``pieces.py``), a million characters together.  The distinct pieces of
+some million characters are looked up together, by Arrow, among those whose ids the
+worker keeps; only the others are looked at one by one, by the tokenizer.  Texts with characters outside the
 plain range below go to the tokenizer whole, and so do all texts if the tokenizer
 does not split by that pattern.
 """
@@ -20,7 +20,8 @@ from .common import worker_cache
 TOKENIZER = "byte_bpe_50k.json"
 KNOWN_PIECES = 1 << 18  # pieces a worker keeps
 LONG_PIECE = 64  # bytes of a piece that is not kept
-CHUNK_CHARS = 1 << 20  # characters handled at a time
+CHUNK_CHARS = 1 << 20  # characters cut at a time
+GROUP_CHARS = 1 << 23  # characters whose distinct pieces are looked up together
 
 # Plain characters: every version of Unicode agrees on their classes.
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
@@ -59,13 +60,32 @@ def parts(text: str, size: int = CHUNK_CHARS):
     yield text[at:]
 
 
+def _runs(texts, chars: int):
+    """Slices of consecutive texts of at most ``chars`` characters, or of one text."""
+    at = 0
+    while at < len(texts):
+        end, n = at + 1, len(texts[at])
+        while end < len(texts) and n + len(texts[end]) <= chars:
+            n += len(texts[end])
+            end += 1
+        yield slice(at, end)
+        at = end
+
+
 def _byte_letters():
     """The letter a byte-level model knows each byte by: visible Latin-1 characters
     stand for themselves, the other bytes for the code points from 256 on, in order."""
-    # fixed values: the visible ones
-    own = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    others = (b for b in range(256) if b not in own)
-    return {b: 256 + n for n, b in enumerate(others)}
+    import numpy as np
+
+    cache = worker_cache("byte letters")
+    if not cache:
+        # fixed values: the visible ones
+        own = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        out = np.arange(256, dtype="<u2")
+        others = [b for b in range(256) if b not in own]
+        out[others] = 256 + np.arange(len(others))
+        cache["table"] = out
+    return cache["table"]
 
 
 class Encoder:
@@ -77,6 +97,7 @@ class Encoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         import numpy as np
+        import pyarrow as pa
         from tokenizers import Tokenizer
 
         if path is None:
@@ -84,11 +105,12 @@ class Encoder:
 
             path = public_tokenizers.path(TOKENIZER)
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = list(self.tokenizer.get_added_tokens_decoder().values())
+        self.special = [s.content for s in self.tokenizer.get_added_tokens_decoder().values()]
         settings = json.loads(self.tokenizer.to_str())
         how = settings.get("pre_tokenizer") or {}
         self.splits = settings["model"]["type"] == "BPE" and settings.get("normalizer") is None and _SPLITS == {k: how.get(k) for k in _SPLITS}
-        self.known, self.index = known, {}
+        # pieces kept; the NUL between two texts is one of no ids
+        self.known, self.index = known, pa.array([b"\0"], pa.binary())
         self.ids, self.starts = np.empty(1 << 16, np.uint32), np.zeros(1 << 16, np.int64)
         self.used = 0  # ids in use; starts[: len(index) + 1] is in use
 
@@ -96,11 +118,13 @@ class Encoder:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, pieces):
+        """Ids of the pieces (an Arrow array), numbered after those kept."""
         import numpy as np
 
         merge = self.tokenizer.model.tokenize
-        spelt = b"\0".join(pieces).decode("latin-1").translate(_byte_letters()).split(chr(256))  # no piece holds a NUL
-        new = [[t.id for t in merge(p)] for p in spelt]
+        data, ends = pre.buffer_of(pieces)
+        spelt, ends = _byte_letters()[data].tobytes().decode("utf-16-le"), ends.tolist()
+        new = [[t.id for t in merge(spelt[a:b])] for a, b in zip(ends, ends[1:])]
         lengths = np.fromiter(map(len, new), np.int64, len(new))
         n, m = len(self.index), self.used + int(lengths.sum())
         if m > self.ids.size:
@@ -109,40 +133,42 @@ class Encoder:
             self.starts = np.concatenate([self.starts, np.zeros(n + 2 * len(new), np.int64)])
         self.ids[self.used : m] = np.fromiter(chain.from_iterable(new), np.uint32, m - self.used)
         self.starts[n + 1 : n + 1 + len(new)] = self.used + np.cumsum(lengths)
-        self.used = m
-        self.index.update(zip(pieces, range(n, n + len(new))))
-
-    def _forget(self, pieces):
-        for p in pieces:
-            del self.index[p]
-        self.used = int(self.starts[len(self.index)])
 
     def _plain(self, texts):
-        """Ids of plain texts, and how many ids each has."""
+        """Ids of plain texts."""
         import numpy as np
         import pyarrow as pa
-
-        found, inner, counts = pre.cut(texts, _classes())
-        coded = (found.filter(pa.array(inner)) if len(texts) > 1 else found).dictionary_encode()
-        words, get = pre.byte_strings(coded.dictionary), self.index.get
-        number = np.array([get(w, -1) for w in words], np.int64)
-        missing = np.flatnonzero(number < 0).tolist()
-        new = [words[i] for i in missing]
-        long = [w for w in new if len(w) > LONG_PIECE]
-        if new:
-            new = [w for w in new if len(w) <= LONG_PIECE] + long
+        import pyarrow.compute as pc
+
+        found, counts = [], [np.zeros(1, np.int64)]
+        for group in _runs(texts, CHUNK_CHARS):
+            cut, _, n = pre.cut(texts[group], _classes())
+            n[:-1] += 1  # the NUL after a text
+            found.append(cut)
+            counts.append(n)
+        coded = pa.concat_arrays(found).dictionary_encode()
+        words = coded.dictionary
+        number = pc.index_in(words, value_set=self.index).fill_null(-1).to_numpy().copy()
+        missing = np.flatnonzero(number < 0)
+        kept = 0
+        if missing.size:
+            long = pc.binary_length(words).to_numpy()[missing] > LONG_PIECE
+            missing = missing[np.argsort(long, kind="stable")]
+            new = words.take(pa.array(missing))
             self._learn(new)
-            number[missing] = [self.index[words[i]] for i in missing]
-        k = number[coded.indices.to_numpy()]
-        start = self.starts[k]
-        size = self.starts[k + 1] - start
+            number[missing] = len(self.index) + np.arange(missing.size)
+            kept = max(0, min(self.known - len(self.index), missing.size - int(long.sum())))
+        k = coded.indices.to_numpy()
+        start, size = self.starts[number], self.starts[number + 1] - self.starts[number]
+        size = size[k]
         ends = np.cumsum(size)
-        flat = self.ids[np.arange(ends[-1] if ends.size else 0) + np.repeat(start - ends + size, size)]
-        bounds = np.concatenate([[0], ends])[np.cumsum([0, *counts.tolist()])]
-        room = max(0, self.known - len(self.index) + len(new))
-        kept = min(room, len(new) - len(long))
-        if kept < len(new):
-            self._forget(new[kept:])
+        flat = np.repeat(start[k] - ends + size, size)
+        flat += np.arange(flat.size)
+        flat = self.ids.take(flat)
+        bounds = np.concatenate([[0], ends])[np.cumsum(np.concatenate(counts))].tolist()
+        if kept:
+            self.index = pa.concat_arrays([self.index, new[:kept]])
+            self.used = int(self.starts[len(self.index)])
         return [flat[a:b] for a, b in zip(bounds, bounds[1:])]
 
     def encode(self, texts: list[str]):
@@ -154,14 +180,9 @@ class Encoder:
                 pieces.append(p)
                 owner.append(i)
         out: list = [[] for _ in texts]
-        at = 0
-        while at < len(pieces):
-            end, chars = at, 0
-            while end < len(pieces) and (end == at or chars + len(pieces[end]) <= CHUNK_CHARS):
-                chars += len(pieces[end])
-                end += 1
-            group = range(at, end)
-            plain = [i for i in group if self.splits and _PLAIN.fullmatch(pieces[i]) and not any(s.content in pieces[i] for s in self.special)]
+        for run in _runs(pieces, GROUP_CHARS):
+            group = range(run.start, run.stop)
+            plain = [i for i in group if self.splits and _PLAIN.fullmatch(pieces[i]) and not any(s in pieces[i] for s in self.special)]
             other = sorted(set(group) - set(plain))
             got = dict(zip(plain, self._plain([pieces[i] for i in plain]) if plain else []))
             if other:
@@ -169,7 +190,6 @@ class Encoder:
                 got |= {i: np.array(x, np.uint32) for i, x in zip(other, whole)}
             for i in group:
                 out[owner[i]].append(got[i])
-            at = end
         return [x[0] if len(x) == 1 else np.concatenate(x) for x in out]
 
 
@@ -190,9 +210,9 @@ def documents(batches, path: str | None, end_id: int):
     for b in batches:
         ids, texts = b.column(0), b.column(1)
         at = 0
-        while at < b.num_rows:  # as many rows as make up one chunk of characters
+        while at < b.num_rows:  # as many rows as make up one group of characters
             end, chars, group = at, 0, []
-            while end < b.num_rows and chars < CHUNK_CHARS:
+            while end < b.num_rows and chars < GROUP_CHARS:
                 group.append(texts[end].as_py() or "")
                 chars += len(group[-1])
                 end += 1

@@ -32,6 +32,16 @@ def test_encoder_equals_the_tokenizer(plain, known):
     assert e.encode([]) == []
 
 
+def test_pieces_of_some_million_characters_are_looked_up_once(plain):
+    e, merged = Encoder(known=1), []
+    learn = e._learn
+    e._learn = lambda pieces: (merged.append(len(pieces)), learn(pieces))
+    texts = ["one two three " * 50000 + end for end in ("", "x9", "é")]
+    assert [x.tolist() for x in e.encode(texts)] == [plain(s) for s in texts]
+    # "one", " one", " two", " three", the last blank, " x", "9", " é"
+    assert merged == [8] and len(e.index) == 1
+
+
 def test_parts_are_the_text():
     for t in ODD:
         assert "".join(parts(t, 1000)) == t
