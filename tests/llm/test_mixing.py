@@ -69,6 +69,17 @@ def test_memberships_equal_brute_force(spark, docs_of):
         assert abs(r.p0 + r.p1 + r.p2 - 1) < 1e-9 and min(r.p0, r.p1, r.p2) >= 0
 
 
+def test_texts_are_measured_once(spark, docs_of):
+    rows, labels = corpus(60)
+    rows += [(900, "tab\tfeed\x0c\x0breturn\r\n two  \n")]
+    model = mixing.fit(docs_of(rows), spark.createDataFrame(labels, "doc_id long, domain string"), NAMES, vocabulary=30)
+    out = mixing.memberships(docs_of(rows), model)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"lower\(coalesce\(text#", plan)) == 1 and "lambda" not in plan
+    assert len(re.findall(r"regexp_\w+\(coalesce\(text#", plan)) == 1
+    assert {r.doc_id: r.tokens for r in out.collect()} == {i: len(words(t)) for i, t in rows}
+
+
 def test_rounded_shares_sum_to_one_and_are_not_negative(spark):
     cases = [(0.3336, 0.3336, 0.3326, 0.0002), (1.0, 0.0, 0.0, 0.0), (0.25, 0.25, 0.25, 0.25), (0.9996, 0.0002, 0.0001, 0.0001), (0.0005, 0.9985, 0.0005, 0.0005)]
     df = spark.createDataFrame(cases, "a double, b double, c double, d double")
