@@ -57,7 +57,7 @@ class Shard:
             words.append(bits)
             counts.append(np.concatenate([np.zeros(1, np.uint32), np.cumsum(per, dtype=np.uint32)]))
             zeros.append(int(ids.size - counts[-1][-1]))
-            x = np.concatenate([x.take(np.flatnonzero(~ones)), x.take(np.flatnonzero(ones))])  # 5 times as fast as by masks
+            x = np.concatenate([x.take(np.flatnonzero(~ones)), x.take(np.flatnonzero(ones))])
         return cls(ids.size, zeros, words, counts, list(doc_ids), list(lengths), tuple(key))
 
     def to_bytes(self) -> bytes:
