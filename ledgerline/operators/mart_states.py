@@ -18,6 +18,8 @@ The finished marts equal those of ``operators/marts.py`` over the whole table.
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,10 +60,27 @@ def month_of(d) -> str:
     return NO_DATE if d is None else f"{d:%Y-%m}"
 
 
-def refresh(sales: DataFrame, root: str, dates=None) -> None:
+def month_cuts(dates, n: int) -> list[datetime.date]:
+    """First days of months that deal ``dates`` to about ``n`` runs of months."""
+    known = sorted(d for d in dates if d is not None)
+    cuts = {known[len(known) * i // n].replace(day=1) for i in range(1, n)} if known else set()
+    return sorted(c for c in cuts if c > known[0])
+
+
+def _between(cuts: list[datetime.date]) -> list[Column]:
+    """Conditions of the runs of months; each row, dated or not, meets one of them."""
+    if not cuts:
+        return [F.lit(True)]
+    first = (F.col(DATE) < cuts[0]) | F.col(DATE).isNull()
+    return [first, *[(F.col(DATE) >= a) & (F.col(DATE) < b) for a, b in zip(cuts, cuts[1:])], F.col(DATE) >= cuts[-1]]
+
+
+def refresh(sales: DataFrame, root: str, dates=None, cuts=()) -> None:
     """Write the states of ``dates`` (None: of all, and of no others) of ``sales``.
 
-    Give None after a job that published rows and failed before this step."""
+    Give None after a job that published rows and failed before this step.  With
+    ``cuts`` (see ``month_cuts``) all products are made a run of months at a time: they
+    are hardly fewer than the rows, and are shuffled twice."""
     spark = sales.sparkSession
     rows = sales if dates is None else sales.where(of_dates(dates))
     # each state reads its own columns; keeping the rows would take memory that grows with the table
@@ -73,8 +92,10 @@ def refresh(sales: DataFrame, root: str, dates=None) -> None:
             path = scratch_path(spark, f"state-{name}")
             held.write.parquet(path)  # read before its folders are overwritten
             data = data.unionByName(spark.read.schema(STATES[name]).parquet(path))
-        w = data.hint("rebalance", MONTH).write.mode("overwrite").partitionBy(MONTH)
-        w.option("partitionOverwriteMode", "static" if dates is None else "dynamic").parquet(f"{root}/{name}")
+        runs = _between([*cuts]) if dates is None and name == "products" else [F.lit(True)]
+        for i, run in enumerate(runs):
+            w = data.where(run).hint("rebalance", MONTH).write.mode("append" if i else "overwrite").partitionBy(MONTH)
+            w.option("partitionOverwriteMode", "static" if dates is None else "dynamic").option("compression", "zstd").parquet(f"{root}/{name}")
 
 
 def read_state(spark: SparkSession, root: str, name: str) -> DataFrame:

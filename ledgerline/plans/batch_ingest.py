@@ -2,7 +2,8 @@
 
     read (per-layout CSV, or JSON/Parquet)   one scan of the raw input
     -> canonicalise                          one projection, no UDF
-    -> publish (partitioned, clustered)      one shuffle, the only pass over raw data
+    -> publish (partitioned, clustered)      one shuffle, the only pass over raw data;
+                                             an overwrite takes large layouts in turn
     -> register + recover partitions
     -> states of the dates just written, computed from the *published* table
        (column-pruned Parquet; the raw files and the other dates are not read)
@@ -21,16 +22,21 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ..functions.resolve import resolve
 from ..operators import mart_states, marts
-from ..sinks.tables import publish, register_table, write_mart
+from ..operators.canonical import canonical_columns, canonicalise
+from ..session import shuffles_dropped
+from ..sinks.tables import KEY, Late, publish, register_table, write_mart
 from ..sinks.versions import replace_table
-from ..sources.files import csv_layouts, read_raw, read_raw_by_header, read_sales, read_sales_csv
+from ..sources.files import conformed, csv_layouts, layout_passes, read_csv_layout, read_raw, read_raw_by_header, read_sales, read_sales_csv
 from ..sources.raw import detected_columns, schema_preview
-from ..spec import BATCH_SPEC, CANONICAL_SCHEMA, DEFAULT_PARTITION_COLUMN, CanonicalSpec
+from ..spec import BATCH_SPEC, CANONICAL_COLUMNS, CANONICAL_SCHEMA, DEFAULT_PARTITION_COLUMN, CanonicalSpec
 
 # What the marts read: their columns are never looked up in file footers.
 MART_COLUMNS = [f for f in CANONICAL_SCHEMA.fields if f.name in ("order_id", "total_price", "quantity", "product_id_canon", "category_canon", "sale_date")]
 
+STATE_ROWS, STATE_RUNS = 1_000_000, 6  # rows that a run of months has at least, and runs at most, when all states are made
+
 
 @dataclass
 class IngestResult:
@@ -52,7 +58,11 @@ def refresh_states(spark: SparkSession, table: DataFrame | str, written, states:
         mart_states.read_state(spark, states, "categories").schema  # noqa: B018 - written last: all three are there
     except AnalysisException:
         whole = True
-    mart_states.refresh(rows, states, None if whole else [p[0] for p in written.partitions])
+    dates = [p[0] for p in written.partitions]
+    if whole:
+        mart_states.refresh(rows, states, cuts=mart_states.month_cuts(dates, min(STATE_RUNS, 1 + written.rows // STATE_ROWS)))
+    else:
+        mart_states.refresh(rows, states, dates)
 
 
 def run(
@@ -71,14 +81,52 @@ def run(
     required=("order_id",),
     mart_format: str = "parquet",
     atomic: bool = False,
+    codec: str = "zstd",
 ) -> IngestResult:
     """Run the job; ``atomic`` (with ``overwrite`` and a ``table_name``) replaces the
     table as one step: the rows go to a new folder below ``output_path`` and the
-    name, a view, is pointed to them at the end (``sinks/versions.py``)."""
+    name, a view, is pointed to them at the end (``sinks/versions.py``).  ``codec``:
+    compression of the table's files."""
+    with shuffles_dropped(spark):
+        return _run(
+            spark, input_path, output_path, marts_root, table_name, input_format, partition_by, preview_fraction,
+            overwrite, layout, spec, required, mart_format, atomic, codec,
+        )
+
+
+def _parts(spark: SparkSession, path: str, layouts, canonical: DataFrame, spec: CanonicalSpec, in_turn: bool):
+    """The rows of ``canonical`` for ``publish``, large layouts by themselves."""
+    # where only the dates of one write are replaced, all dates must be in it
+    in_turn = in_turn and spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+    groups = layout_passes(spark, path, layouts) if in_turn else [layouts]
+    if len(groups) == 1 < len(layouts):
+        return canonical
+    parts = [
+        _late(read_csv_layout(spark, *g[0], roots=[path] if isinstance(path, str) else path), spec, canonical.schema)
+        if len(g) == 1
+        else conformed(read_sales_csv(spark, path, spec, layouts=g), canonical.schema)
+        for g in groups
+    ]
+    return parts if len(parts) > 1 else parts[0]
+
+
+def _late(raw: DataFrame, spec: CanonicalSpec, schema: T.StructType) -> Late:
+    """Canonical rows of one layout, of which the raw columns and the date pass the shuffle."""
+    date = dict(zip(CANONICAL_COLUMNS, canonical_columns(raw, resolve(raw.columns, spec), spec)))[mart_states.DATE]
+    key = KEY + mart_states.DATE
+    return Late(raw.select("*", date.alias(key)), lambda rows: conformed(canonicalise(rows.drop(key), spec), schema))
+
+
+def _run(
+    spark, input_path, output_path, marts_root, table_name, input_format, partition_by, preview_fraction,
+    overwrite, layout, spec, required, mart_format, atomic, codec,
+) -> IngestResult:
     if input_format == "csv":
         layouts = csv_layouts(spark, input_path)  # one header probe serves both reads
         raw = read_raw_by_header(spark, input_path, layouts=layouts)
         canonical = read_sales_csv(spark, input_path, spec, required=required, layouts=layouts)
+        # an append stays one job, so that one that fails leaves nothing
+        canonical = _parts(spark, input_path, layouts, canonical, spec, in_turn=overwrite)
     else:
         raw = read_raw(spark, input_path, input_format)
         canonical = read_sales(spark, input_path, input_format, spec, required=required)
@@ -86,10 +134,10 @@ def run(
     if atomic:
         if not (overwrite and table_name):
             raise ValueError("atomic is for overwriting a named table")
-        version = replace_table(spark, table_name, output_path, canonical, partition_by=partition_by, layout=layout)
+        version = replace_table(spark, table_name, output_path, canonical, partition_by=partition_by, layout=layout, codec=codec)
         path, cols = version.path, version.written
     else:
-        cols = publish(canonical, output_path, overwrite=overwrite, partition_by=partition_by, layout=layout)
+        cols = publish(canonical, output_path, overwrite=overwrite, partition_by=partition_by, layout=layout, codec=codec)
         if table_name:
             register_table(spark, table_name, output_path, partitioned=bool(cols), written=cols, replaced=overwrite)
 

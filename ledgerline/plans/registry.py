@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..operators import charts, cli, mart_states, marts, reports
 from ..operators.canonical import canonicalise
 from ..operators.mart_states import of_dates
-from ..session import scratch_path
+from ..session import scratch_path, shuffles_dropped
 from ..sinks import versions
 from ..sinks.compaction import compact_table
 from ..sinks.tables import cluster, compact, publish, register_table, write_mart
@@ -236,6 +236,8 @@ _ERAS = (
     ),
 )
 
+DROP_ROWS = 1_000_000  # of a raw file at most
+
 
 def _written(rows: DataFrame, path: str, *by: str) -> DataFrame:
     """``rows`` written once and read back, where several jobs need them."""
@@ -248,21 +250,22 @@ def q_batch_ingest(spark, sf_dir):
     read -> canonicalise -> publish (sale_date partitions) -> marts; returns the
     published table read back."""
     base = scratch_path(spark, "batch-ingest")  # also makes sure the checkpoint dir is set
-    # the joined view is written once, by era, so each era's write reads its own rows
-    year, era = F.year("order_date"), F.lit(None).cast("int")
-    for i, (_, keep, _) in reversed(list(enumerate(_ERAS))):
-        era = F.when(keep(year), F.lit(i)).otherwise(era)
-    view = _written(sales_view(spark, sf_dir).withColumn("_era", era), f"{base}/view", "_era")
-    for i, (_, _, names) in enumerate(_ERAS):
-        cols = [F.col(c).alias(names.get(c, c)) for c in view.columns if c != "_era"]
-        if i == 1:
-            cols.reverse()
-        (
-            view.where(F.col("_era") == i).select(*cols)
-            .write.mode("append").option("header", True)
-            .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
-            .csv(f"{base}/raw")
-        )
+    view = sales_view(spark, sf_dir)
+    # each era is joined by itself, so neither the joined view nor the shuffles of all
+    # its rows are on disk at once; drops are gzipped, and small as gzip is read whole
+    with shuffles_dropped(spark):
+        for i, (_, keep, names) in enumerate(_ERAS):
+            cols = [F.col(c).alias(names.get(c, c)) for c in view.columns]
+            if i == 1:
+                cols.reverse()
+            (
+                view.where(keep(F.year("order_date"))).select(*cols)
+                .write.mode("append").option("header", True)
+                .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+                .option("compression", "gzip").option("zlib.compress.level", "THREE")
+                .option("maxRecordsPerFile", DROP_ROWS)
+                .csv(f"{base}/raw")
+            )
     res = batch_ingest.run(spark, f"{base}/raw", f"{base}/table", f"{base}/marts", table_name=None, overwrite=True)
     return res.table.select(*CANONICAL_COLUMNS, "region")
 

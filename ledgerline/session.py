@@ -9,6 +9,7 @@ roughly 128-256 MB at the target scale, AQE coalesces the rest.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -74,6 +75,20 @@ def shared_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+@contextlib.contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """Shuffle files of each query that runs inside go when it ends.  Otherwise they
+    stay until the driver happens to collect its garbage, and the disk holds those of
+    all steps of a job at once."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder path under the shared root (not created)."""
     return os.path.join(shared_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")

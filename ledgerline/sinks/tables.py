@@ -9,6 +9,8 @@ append and a streaming sink never share a directory (the stream's
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import NamedTuple
 from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
@@ -27,11 +29,24 @@ LEAST_SHARES = 1000  # hash shares that the dates of a clustered write are dealt
 class Published(list):
     """The partition columns of a write, with what it wrote: ``schema``, and
     ``partitions``, the distinct values of the partition columns (a tuple each),
-    both known from the write itself, without looking at the table."""
+    with the number of ``rows`` in them, all known from the write itself, without
+    looking at the table."""
 
-    def __init__(self, columns, schema: T.StructType, partitions: list[tuple]):
+    def __init__(self, columns, schema: T.StructType, partitions: list[tuple], rows: int = 0):
         super().__init__(columns)
-        self.schema, self.partitions = schema, partitions
+        self.schema, self.partitions, self.rows = schema, partitions, rows
+
+
+KEY = "_key_"
+
+
+class Late(NamedTuple):
+    """Rows of which some columns follow from others: ``finish(rows)`` has them all.
+    In a clustered write only ``rows`` pass the shuffle, with the partition columns
+    under ``KEY`` and their name, which ``finish`` leaves out."""
+
+    rows: DataFrame
+    finish: Callable[[DataFrame], DataFrame]
 
 
 def partition_columns(df: DataFrame, partition_by) -> list[str]:
@@ -54,7 +69,7 @@ def conform(df: DataFrame) -> DataFrame:
 
 
 def publish(
-    df: DataFrame,
+    df: DataFrame | Late | list[DataFrame | Late],
     path: str,
     *,
     overwrite: bool = False,
@@ -63,6 +78,7 @@ def publish(
     layout: str = "clustered",
     num_partitions: int | None = None,
     max_records_per_file: int | None = 5_000_000,
+    codec: str | None = None,
 ) -> Published:
     """Write the canonical table: append (default) or full overwrite (schema
     replaced), partitioned by ``partition_by`` when that column exists.
@@ -76,30 +92,68 @@ def publish(
     into small files when input files are not ordered by time.
     Returns the partition columns used and the partitions written, which are
     gathered while the rows pass by.
+
+    Several frames of one schema are written one after the other (``in_turn``).
+    ``codec``: compression of the files (None: the session's).
     """
-    cols = partition_columns(df, partition_by)
-    data = conform(df)
+    if isinstance(df, list):
+        how = dict(partition_by=partition_by, fmt=fmt, layout=layout, num_partitions=num_partitions, max_records_per_file=max_records_per_file, codec=codec)
+        return in_turn(df, path, overwrite, how)
+    finish = (lambda rows: conform(df.finish(rows))) if isinstance(df, Late) else None
+    data = conform(df) if finish is None else finish(df.rows)
+    schema, cols = data.schema, partition_columns(data, partition_by)
+    keys = cols
+    if finish is not None and layout == "clustered" and cols and {KEY + c for c in cols} <= {*df.rows.columns}:
+        data, keys = df.rows, [KEY + c for c in cols]
     met = Observation()
     if cols:
-        data = data.observe(met, F.collect_set(F.struct(*[F.col(f"`{c}`") for c in cols])).alias("partitions"))
+        found = F.collect_set(F.struct(*[F.col(f"`{c}`") for c in keys]))
+        data = data.observe(met, found.alias("partitions"), F.count(F.lit(1)).alias("rows"))
     if layout == "clustered":
-        data = clustered(data, cols, CLUSTER_COLUMNS, num_partitions)
+        data = clustered(data, cols, CLUSTER_COLUMNS, num_partitions, keys, finish if keys != cols else None)
     elif layout != "as_is":
         raise ValueError(f"unknown layout {layout!r}")
     w = data.write.mode("overwrite" if overwrite else "append").format(fmt)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
+    if codec:
+        w = w.option("compression", codec)
     if cols:
         w = w.partitionBy(*cols)
     w.save(path)
-    return Published(cols, data.schema, sorted(_observed(met), key=str) if cols else [])
+    partitions, rows = _observed(met) if cols else ([], 0)
+    return Published(cols, schema, sorted(partitions, key=str), rows)
 
 
-def _observed(met: Observation) -> list[tuple]:
+def in_turn(parts: list[DataFrame | Late], path: str, overwrite: bool, how: dict) -> Published:
+    """Publish ``parts`` one after the other, so that the disk holds the shuffle of
+    one of them at a time (in ``session.shuffles_dropped``).  An overwrite that fails
+    leaves an empty folder, as it does in one piece; appended parts are appends of
+    their own, of which those done stay."""
+    done: list[Published] = []
     try:
-        return [tuple(p) for p in met.get["partitions"]]
+        for part in parts:
+            done.append(publish(part, path, overwrite=overwrite and not done, **how))
+    except BaseException:
+        if overwrite and done:
+            empty_folder(SparkSession.active(), path)
+        raise
+    partitions = sorted({p for written in done for p in written.partitions}, key=str)
+    return Published(done[0], done[0].schema, partitions, sum(written.rows for written in done))
+
+
+def empty_folder(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.delete(folder, True)
+    files.mkdirs(folder)
+
+
+def _observed(met: Observation) -> tuple[list[tuple], int]:
+    try:
+        return [tuple(p) for p in met.get["partitions"]], met.get["rows"]
     except Py4JJavaError:  # adaptive execution leaves nothing to observe of a plan without rows
-        return []
+        return [], 0
 
 
 def add_columns(spark: SparkSession, name: str, schema: T.StructType) -> None:
@@ -193,7 +247,9 @@ def write_mart(df: DataFrame, root: str, name: str, fmt: str = "parquet") -> str
     return path
 
 
-def clustered(df: DataFrame, partition_cols: list[str], by=CLUSTER_COLUMNS, num_partitions: int | None = None) -> DataFrame:
+def clustered(
+    df: DataFrame, partition_cols: list[str], by=CLUSTER_COLUMNS, num_partitions: int | None = None, dealt_by: list[str] | None = None, finish=None
+) -> DataFrame:
     """Lay rows out for a partitioned write: a REBALANCE on the partition
     columns, then a sort on (partition columns, *by) inside each task.
 
@@ -206,14 +262,19 @@ def clustered(df: DataFrame, partition_cols: list[str], by=CLUSTER_COLUMNS, num_
 
     A share that is split gives each of its tasks all of its dates, so a share must
     hold few dates: there are at least ``LEAST_SHARES``, whatever the number of
-    shuffle partitions, and AQE puts small ones together again."""
+    shuffle partitions, and AQE puts small ones together again.
+
+    ``dealt_by``: the columns of the REBALANCE where ``finish`` gives the rows their
+    partition columns after it (see ``Late``)."""
     if num_partitions is None and partition_cols:
         conf = df.sparkSession.conf
         if conf.get("spark.sql.adaptive.enabled") == "true" and conf.get("spark.sql.adaptive.coalescePartitions.enabled") == "true":
             num_partitions = max(LEAST_SHARES, int(conf.get("spark.sql.shuffle.partitions")))
-    args: list = ([int(num_partitions)] if num_partitions else []) + list(partition_cols)
+    args: list = ([int(num_partitions)] if num_partitions else []) + list(dealt_by or partition_cols)
     laid = df.hint("rebalance", *args) if args else df.hint("rebalance")
-    keys = list(partition_cols) + [c for c in by if c in df.columns]
+    if finish is not None:
+        laid = finish(laid)
+    keys = list(partition_cols) + [c for c in by if c in laid.columns]
     return laid.sortWithinPartitions(*keys) if keys else laid
 
 

@@ -42,6 +42,8 @@ class NoInput(ValueError):
 
 CORRUPT_RECORD_COLUMN = "_corrupt_record"
 PATH_BUCKETS = 64
+PASS_BYTES = 64 * 1024 * 1024  # of the files of a pass at least, where its layouts have as many
+PASSES = 4  # a pass holds this share of all bytes at least, as far
 
 
 def file_paths(spark: SparkSession, path) -> DataFrame:
@@ -173,6 +175,25 @@ def read_sales_csv(
     return union_by_name(parts)
 
 
+def layout_passes(spark: SparkSession, path, layouts) -> list[list[tuple[list[str], list[str]]]]:
+    """The layouts in groups whose files have about a share of all bytes each, the
+    largest first; a layout is never split, so the files of a date multiply only where
+    layouts share dates, and then by the number of groups (below 2 x ``PASSES``)."""
+    sizes = {r["path"]: r["length"] for r in spark.read.format("binaryFile").load(_roots(path)).select("path", "length").collect()}
+    own = [sum(sizes.get(f, 0) for f in files) for _, files in layouts]
+    most = max(PASS_BYTES, sum(own) / PASSES)
+    groups: list[list] = []
+    room = 0.0
+    for layout, size in zip(layouts, own):
+        if not groups or size > room:
+            groups.append([])
+            room = most
+        groups[-1].append((size, layout))
+        room -= size
+    groups.sort(key=lambda g: -sum(size for size, _ in g))
+    return [[layout for _, layout in g] for g in groups]
+
+
 def read_raw_by_header(spark: SparkSession, path, *, sep: str = ",", layouts=None, **options) -> DataFrame:
     """All-STRING raw rows of every layout, aligned by column *name*."""
     if layouts is None:
@@ -275,6 +296,14 @@ def _sales_json(spark: SparkSession, paths: list[str], spec: CanonicalSpec, requ
     return canonicalise(raw, spec, present=has).drop(RECORD_COLUMN)
 
 
+def conformed(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``df`` with the columns of ``schema``, NULL where it has none of that name."""
+    own = {c.lower(): c for c in df.columns}
+    return df.select(
+        *[(F.col(f"`{own[f.name.lower()]}`") if f.name.lower() in own else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields]
+    )
+
+
 def union_by_name(parts: list[DataFrame]) -> DataFrame:
     """Union by name; columns of one name but several types become STRING."""
     kinds: dict[str, set] = {}
